@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import packing, sharding, token_count, url_filter
+from . import packing, quality, sharding, simhash, token_count, url_filter
 
 #: A rule fits its host and subdomains if the path starts with the rule's; the longest wins.
 _OP4_SQL = """
@@ -40,6 +40,8 @@ def queries() -> dict:
         "op4_url_filters": url_filter.op4_url_filters,
         "op5_token_counts": token_count.op5_token_counts,
         "op6_packing": packing.op6_packing,
+        "op7_quality": quality.op7_quality,
+        "op8_simhash": simhash.op8_simhash,
     }
 
 
