@@ -55,3 +55,34 @@ def free_name(df: DataFrame, base: str) -> str:
 
 def batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, type=f.type) for x, f in zip(columns, schema)], schema=schema)
+
+
+def whole_groups(batches, columns: tuple[str, ...], rows: int = 50_000):
+    """Tables of about so many rows, of batches sorted by columns, in which every group is
+    whole, each with the number of its row's group. Only the last group is held back."""
+    import numpy as np
+
+    def numbered(t: pa.Table):
+        new = np.zeros(t.num_rows, np.int64)
+        for c in columns:
+            x = t[c].to_numpy()
+            new[1:] |= x[1:] != x[:-1]
+        return np.cumsum(new)
+
+    held, n = [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        n += b.num_rows
+        if n < rows:
+            continue
+        t = pa.Table.from_batches(held)
+        group = numbered(t)
+        cut = int(np.searchsorted(group, group[-1]))
+        if cut:
+            yield t.slice(0, cut), group[:cut]
+        held, n = t.slice(cut).combine_chunks().to_batches(), t.num_rows - cut
+    if held:
+        t = pa.Table.from_batches(held)
+        yield t, numbered(t)

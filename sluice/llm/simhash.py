@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, batch, spool, table
+from .common import arrow_rows, batch, spool, table, whole_groups
 from .graph import components, local_components
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -100,10 +100,9 @@ def chain_ok(x: np.ndarray, start: np.ndarray) -> np.ndarray:
     return ok
 
 
-def _links(key: np.ndarray, fp: np.ndarray, side: np.ndarray, mark: np.ndarray | None, tau: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs under one key (sorted) that link. side: 0 a row of a single block; in a
+def _links(key: np.ndarray, start: np.ndarray, fp: np.ndarray, side: np.ndarray, mark: np.ndarray | None, tau: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs in one group (sorted) that link. side: 0 a row of a single block; in a
     pair of blocks 1 and 2, of which only pairs across count."""
-    start = ((key >> 25) & 3).astype(np.int64)
     out_a, out_b = [], []
     a = np.arange(len(key) - 1)
     step = 1
@@ -151,48 +150,22 @@ def near_links(nodes: DataFrame, tau: int = 3, similarity: float | None = None,
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-
-        def solve(rows: pa.Table):
-            key = rows["key"].to_numpy()
-            # blocks of one key are apart: give each (key, p, q) a number, with the key's start bits kept
-            group = np.cumsum(np.concatenate([[0], (np.diff(key) != 0) | (np.diff(rows["p"].to_numpy()) != 0) | (np.diff(rows["q"].to_numpy()) != 0)]).astype(np.int64))
-            code = ((key >> 25) << 25) | 0
+        for rows, group in whole_groups(batches, ("key", "p", "q")):
+            start = (rows["key"].to_numpy() >> 25) & 3
             fp, ids = rows["fp"].to_numpy().view(np.uint64), rows["id"].to_numpy()
             mark = None
             if similarity is not None:
                 mark = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
-            a, b = _grouped(group, code, fp, rows["side"].to_numpy(), mark, tau, similarity or 0.0)
+            a, b = _links(group, start, fp, rows["side"].to_numpy(), mark, tau, similarity or 0.0)
             if len(a):
                 root = local_components(len(ids), a, b)
                 part = np.unique(np.concatenate([a, b]))
                 part = part[root[part] != part]
-                return batch(schema, [ids[root[part]], ids[part]])
-            return None
-
-        for b in batches:
-            held.append(b)
-            if sum(x.num_rows for x in held) < 50_000:
-                continue
-            rows = pa.Table.from_batches(held)
-            last = rows.slice(rows.num_rows - 1)
-            same = (rows["key"].to_numpy() == last["key"][0].as_py()) & (rows["p"].to_numpy() == last["p"][0].as_py()) & (rows["q"].to_numpy() == last["q"][0].as_py())
-            cut = int(np.flatnonzero(same)[0])
-            if cut:
-                if (out := solve(rows.slice(0, cut))) is not None:
-                    yield out
-            held = rows.slice(cut).combine_chunks().to_batches()
-        if held and (out := solve(pa.Table.from_batches(held))) is not None:
-            yield out
+                yield batch(schema, [ids[root[part]], ids[part]])
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _grouped(group: np.ndarray, code: np.ndarray, fp: np.ndarray, side: np.ndarray, mark, tau: int, least: float):
-    """_links over groups: the low bits of the key number the group, the high ones keep the start."""
-    return _links(code | group, fp, side, mark, tau, least)
-
-
 def near_duplicates(docs: DataFrame, key: str, text: str, shingle: int = 3, tau: int = 3, similarity: float | None = None, slots: int = 128, block: int = 4096) -> DataFrame:
     """(key, fingerprint as 16 hex digits, component_id). Equal fingerprints (with
     ``similarity``: and equal sketches) are one node of the graph."""
