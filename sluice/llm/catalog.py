@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import nn_descent, packing, quality, sharding, simhash, token_count, url_filter
+from . import nn_descent, packing, quality, sharding, simhash, substring, token_count, url_filter
 
 #: A rule fits its host and subdomains if the path starts with the rule's; the longest wins.
 _OP4_SQL = """
@@ -43,6 +43,7 @@ def queries() -> dict:
         "op7_quality": quality.op7_quality,
         "op8_simhash": simhash.op8_simhash,
         "op9_embedding_dedup": nn_descent.op9_embedding_dedup,
+        "op10_substring_dedup": substring.op10_substring_dedup,
     }
 
 
