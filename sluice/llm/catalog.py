@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import nn_descent, packing, quality, sharding, simhash, substring, token_count, url_filter
+from . import line_dedup, mixing, nn_descent, packing, quality, sharding, simhash, substring, token_count, url_filter
 
 #: A rule fits its host and subdomains if the path starts with the rule's; the longest wins.
 _OP4_SQL = """
@@ -33,9 +33,41 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
+#: Ten rounds of raking as a recursion with window sums.
+_OP1_SQL = r"""
+WITH RECURSIVE marked AS (
+  SELECT doc_id, coalesce(source, '\N') AS source, coalesce(lang, '\N') AS lang,
+    't' || ((instr('0123456789abcdef', substr(md5(lower(regexp_extract(coalesce(text, ''), '[^\x20\x09-\x0D]+'))), 1, 1)) - 1) % 8) AS topic,
+    greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 1)::BIGINT AS tokens
+  FROM documents
+), cells AS (
+  SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM marked GROUP BY ALL
+), s AS (SELECT source, CASE WHEN source = 'src0' THEN 2.0 ELSE 1.0 END::DOUBLE AS w FROM (SELECT DISTINCT source FROM cells)),
+l AS (SELECT lang, CASE lang WHEN 'en' THEN 4.0 WHEN 'de' THEN 2.0 WHEN 'fr' THEN 2.0 WHEN 'es' THEN 2.0 ELSE 1.0 END::DOUBLE AS w FROM (SELECT DISTINCT lang FROM cells)),
+t AS (SELECT topic, 1.0::DOUBLE AS w FROM (SELECT DISTINCT topic FROM cells)),
+start AS (
+  SELECT c.source, c.lang, c.topic, c.tokens, c.tokens / sum(c.tokens) OVER () AS fitted,
+    s.w / (SELECT sum(w) FROM s) AS ts, l.w / (SELECT sum(w) FROM l) AS tl, t.w / (SELECT sum(w) FROM t) AS tt
+  FROM cells c JOIN s USING (source) JOIN l USING (lang) JOIN t USING (topic)
+), raked AS (
+  SELECT 0 AS k, * FROM start
+  UNION ALL
+  SELECT k + 1, source, lang, topic, tokens, f2 * tt / sum(f2) OVER (PARTITION BY topic), ts, tl, tt FROM (
+    SELECT *, f1 * tl / sum(f1) OVER (PARTITION BY lang) AS f2 FROM (
+      SELECT *, fitted * ts / sum(fitted) OVER (PARTITION BY source) AS f1 FROM raked WHERE k < 10))
+), odds AS (
+  SELECT source, lang, topic, least(1.0, fitted * (SELECT sum(tokens) FROM cells) * 0.5 / tokens) AS p FROM raked WHERE k = 10
+)
+SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability,
+  (('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0) < p AS sampled
+FROM marked JOIN odds USING (source, lang, topic)
+"""
+
 
 def queries() -> dict:
     return {
+        "op1_source_mixing": mixing.op1_source_mixing,
+        "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_sharding": sharding.op3_sharding,
         "op4_url_filters": url_filter.op4_url_filters,
         "op5_token_counts": token_count.op5_token_counts,
@@ -48,4 +80,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filters": _OP4_SQL}
+    return {"op1_source_mixing": _OP1_SQL, "op4_url_filters": _OP4_SQL}

@@ -200,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, target: str =
     return Field.fit([(r["masks"], int(r["y"] > 0)) for r in rows if r["masks"]])
 
 
-def judge(docs: DataFrame, key: str, text: str, field: Field, content_share: float = 0.5, least_words: int = 20, most_repeated: int = 30) -> DataFrame:
+def judge(docs: DataFrame, key: str, text: str, field: Field, **limits) -> DataFrame:
     """Counts and verdict of every row, with n_content_words, the words in content lines."""
     arrow_rows(docs.sparkSession)
     longs = ("key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_content_words")
@@ -211,9 +211,7 @@ def judge(docs: DataFrame, key: str, text: str, field: Field, content_share: flo
             cols: list[list] = [[] for _ in schema.names]
             for k, value in zip(b.column(0).to_pylist(), b.column(1)):
                 p = Profile(value.as_py())
-                content = sum(s for s, y in zip(p.sizes, field.decode(p.masks)) if y)
-                failed = p.n_words < least_words or 100 * p.n_repeat_words > most_repeated * p.n_words
-                for col, x in zip(cols, (k, p.n_words, p.word_chars, p.n_symbols, p.n_dup_lines, p.n_repeat_words, content, failed, not failed and content >= content_share * p.n_words)):
+                for col, x in zip(cols, (k, p.n_words, p.word_chars, p.n_symbols, p.n_dup_lines, p.n_repeat_words, *verdict(p, field, **limits))):
                     col.append(x)
             yield batch(schema, cols)
 
@@ -221,6 +219,25 @@ def judge(docs: DataFrame, key: str, text: str, field: Field, content_share: flo
     return source.mapInArrow(run, ", ".join(f"{c} long" for c in longs) + ", base_failed boolean, kept boolean").withColumnRenamed("key", key)
 
 
+def verdict(p: Profile, field: Field, content_share: float = 0.5, least_words: int = 20, most_repeated: int = 30) -> tuple[int, bool, bool]:
+    """(words in content lines, base_failed, kept) of one text."""
+    content = sum(s for s, y in zip(p.sizes, field.decode(p.masks)) if y)
+    failed = p.n_words < least_words or 100 * p.n_repeat_words > most_repeated * p.n_words
+    return content, failed, not failed and content >= content_share * p.n_words
+
+
+def keep_good(docs: DataFrame, text: str, field: Field, **limits) -> DataFrame:
+    """The rows that are kept, with all their columns; nothing is shuffled."""
+    arrow_rows(docs.sparkSession)
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([verdict(Profile(v.as_py() or ""), field, **limits)[2] for v in b.column(place)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_quality(spark, sf_dir: str) -> DataFrame:
     """Every document judged by the counting rules and the field."""
     docs = table(spark, sf_dir, "documents")

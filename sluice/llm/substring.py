@@ -30,69 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, batch, spool, table
-
-_M64 = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15 | 5
-_RNG = np.random.default_rng(20240229)
-_BYTE = _RNG.integers(1, _M64, 256, dtype=np.uint64)
-_BYTE[32] = 0
-_MIX = _RNG.integers(1, _M64, (3, 64), dtype=np.uint64) | np.uint64(1)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-class Words:
-    """Word codes of many texts: a polynomial of each word's bytes, by prefix sums."""
-
-    def __init__(self):
-        self.power = self.inverse = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.power) < n:
-            n = max(n, 1 << 20)
-            for name, base in (("power", _BASE), ("inverse", pow(_BASE, -1, 1 << 64))):
-                x = np.full(n, base, np.uint64)
-                x[0] = 1
-                setattr(self, name, np.multiply.accumulate(x))
-
-    def codes(self, texts: list[bytes], chunk: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-        """(codes of all words, words of each text, the words)."""
-        split = [t.split() for t in texts]
-        counts = np.array([len(w) for w in split], np.int64)
-        parts, held, size = [], [], 0
-        for w in split:
-            if w:
-                held.append(b" ".join(w))
-                size += len(held[-1]) + 1
-            if size >= chunk:
-                parts.append(self._hash(b" ".join(held) + b" "))
-                held, size = [], 0
-        if held:
-            parts.append(self._hash(b" ".join(held) + b" "))
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint64), counts, split
-
-    def _hash(self, joined: bytes) -> np.ndarray:
-        buf = np.frombuffer(joined, np.uint8)
-        self._grow(len(buf))
-        ends = np.flatnonzero(buf == 32)
-        total = np.cumsum(_BYTE[buf] * self.power[: len(buf)])
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        at_end = total[ends]
-        before = np.concatenate([np.zeros(1, np.uint64), at_end[:-1]])
-        return _mix((at_end - before) * self.inverse[starts] + (ends - starts).astype(np.uint64))
-
+from .wordcodes import MIX, Words, five, from_five, from_planes, mix, planes, tables
 
 def _grams(h: np.ndarray, k: int, seed: int) -> np.ndarray:
     """A code of each run of k words, over text borders too."""
     n = max(len(h) - k + 1, 0)
     out = np.zeros(n, np.uint64)
     for j in range(k):
-        out += h[j : j + n] * _MIX[seed, j]
-    return _mix(out)
+        out += h[j : j + n] * MIX[seed, j]
+    return mix(out)
 
 
 class Windows:
@@ -123,25 +69,6 @@ class Windows:
         return out >> np.uint64(1)
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Numbers under 2**32 as the byte planes of their steps: where they rise slowly, planes of zeros compress away."""
-    return np.diff(x.astype("<u4"), prepend=np.zeros(1, "<u4")).view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _from_planes(b: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").ravel(), dtype=np.uint32).astype(np.int64)
-
-
-def _five(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
-
-def _from_five(b: bytes) -> np.ndarray:
-    x = np.zeros((len(b) // 5, 8), np.uint8)
-    x[:, :5] = np.frombuffer(b, np.uint8).reshape(-1, 5)
-    return x.view("<u8").ravel().astype(np.uint64)
-
-
 _SCAN = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("buckets", pa.binary()), ("ord", pa.binary()), ("code", pa.binary()), ("words", pa.int64()), ("leads", pa.list_(pa.int64()))])
 _SCAN_DDL = "part int, ids binary, buckets binary, ord binary, code binary, words long, leads array<long>"
 #: Every so many suffixes, in order, one goes into the order statistics.
@@ -176,7 +103,7 @@ def _scan(parts: int, window: int, gram: int, flush: int = 16 << 20):
                     at = order[cuts[p] : cuts[p + 1]]
                     if len(at):
                         used, ordinal = np.unique(text[at], return_inverse=True)
-                        yield batch(_SCAN, [[p], [ids_a[used].tobytes()], [buckets_a[used].tobytes()], [_planes(ordinal)], [_five(code[at] // np.uint64(parts))], [None], [None]])
+                        yield batch(_SCAN, [[p], [ids_a[used].tobytes()], [buckets_a[used].tobytes()], [planes(ordinal)], [five(code[at] // np.uint64(parts))], [None], [None]])
 
         for b in batches:
             keys, where, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), [v.as_py().encode() for v in b.column(2)]
@@ -218,33 +145,17 @@ _REPLY = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binar
 _REPLY_DDL = "bucket int, kind int, a binary, b binary"
 
 
-def _tables(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
-    """The rows of each value of column, of batches sorted by it."""
-    held: list[pa.RecordBatch] = []
-    for b in batches:
-        x = b.column(b.schema.get_field_index(column)).to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.flatnonzero(x[1:] != x[:-1]) + 1).tolist(), len(x)]
-        for s, e in zip(cuts, cuts[1:]):
-            if e > s:
-                if held and held[0].column(held[0].schema.get_field_index(column))[0].as_py() != x[s]:
-                    yield pa.Table.from_batches(held)
-                    held = []
-                held.append(b.slice(s, e - s))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _shared_anchors(parts: int):
     """Anchors that stand in two texts at least, told to the buckets of their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _tables(batches, "part"):
+        for t in tables(batches, "part"):
             ids, buckets, codes = [], [], []
             for i, b, o, c in zip(*(t[n].to_pylist() for n in ("ids", "buckets", "ord", "code"))):
-                ordinal = _from_planes(o)
+                ordinal = fromplanes(o)
                 ids.append(np.frombuffer(i, "<i8")[ordinal])
                 buckets.append(np.frombuffer(b, "<i4")[ordinal])
-                codes.append(_from_five(c))
+                codes.append(fromfive(c))
             doc, bucket, code = np.concatenate(ids), np.concatenate(buckets), np.concatenate(codes)
             order = np.argsort(code, kind="stable")
             first = np.flatnonzero(np.concatenate([[True], code[order][1:] != code[order][:-1]]))
@@ -255,7 +166,7 @@ def _shared_anchors(parts: int):
                 by = np.argsort(bucket[at], kind="stable")
                 cut = np.flatnonzero(np.diff(bucket[at][by])) + 1
                 for g in np.split(by, cut):
-                    yield batch(_REPLY, [[int(bucket[at[g[0]]])], [0], [doc[at[g]].astype("<i8").tobytes()], [_five(full[g])]])
+                    yield batch(_REPLY, [[int(bucket[at[g[0]]])], [0], [doc[at[g]].astype("<i8").tobytes()], [five(full[g])]])
 
     return run
 
@@ -268,20 +179,20 @@ class Unit:
     """A bucket of texts: its candidate windows, one entry a window code."""
 
     def __init__(self, texts: pa.Table, replies: pa.Table, window: int, gram: int, cuts: np.ndarray):
-        order = np.argsort(texts["key"].to_numpy(), kind="stable")
-        self.keys = texts["key"].to_numpy()[order]
-        raw = texts["text"].to_pylist()
+        raw, keys = texts["text"].to_pylist(), texts["key"].to_numpy()
+        order = sorted(range(len(raw)), key=lambda i: (keys[i], raw[i]))  # the same in every pass
+        self.keys = keys[order]
         h, self.counts, self.split = Words().codes([raw[i].encode() for i in order])
         kinds = replies["kind"].to_numpy() if replies.num_rows else np.zeros(0, np.int32)
         a, b = replies["a"].to_pylist(), replies["b"].to_pylist()
         gone = np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(a[i], "<i8") for i in np.flatnonzero(kinds == 2))])
         self.copies = np.isin(self.keys, gone)
         docs = np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(a[i], "<i8") for i in np.flatnonzero(kinds == 0))])
-        codes = np.concatenate([np.zeros(0, np.uint64), *(_from_five(b[i]) for i in np.flatnonzero(kinds == 0))])
+        codes = np.concatenate([np.zeros(0, np.uint64), *(fromfive(b[i]) for i in np.flatnonzero(kinds == 0))])
         self.bits = {int.from_bytes(a[i], "little"): b[i] for i in np.flatnonzero(kinds == 1)}
         w = Windows(h, self.counts, window, gram)
-        told = np.unique(_mix(docs.astype(np.uint64)) + codes)
-        mine = _mix(self.keys[w.text].astype(np.uint64)) + (w.anchor & np.uint64((1 << 40) - 1))
+        told = np.unique(mix(docs.astype(np.uint64)) + codes)
+        mine = mix(self.keys[w.text].astype(np.uint64)) + (w.anchor & np.uint64((1 << 40) - 1))
         at = np.flatnonzero(~self.copies[w.text] & np.isin(mine, told))
         self.start, self.text = w.start[at], w.text[at]
         code, check = _windows(h, self.start, window, 1), _windows(h, self.start, window, 2)
@@ -304,8 +215,8 @@ class Unit:
 def _windows(h: np.ndarray, start: np.ndarray, window: int, seed: int) -> np.ndarray:
     out = np.zeros(len(start), np.uint64)
     for j in range(window):
-        out += h[start + j] * _MIX[seed, j]
-    return _mix(out)
+        out += h[start + j] * MIX[seed, j]
+    return mix(out)
 
 
 def _cuts(leads: DataFrame, groups: int) -> np.ndarray:
@@ -369,14 +280,14 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_
         rows = []
         for p, g in u.sent.items():
             used, ordinal = np.unique(u.first_text[g], return_inverse=True)
-            rows.append((p, left["bucket"][0].as_py(), u.keys[used].astype("<i8").tobytes(), _planes(ordinal), u.code[g].astype("<u8").tobytes(), np.ascontiguousarray(u.check[g].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :4]).tobytes()))
+            rows.append((p, left["bucket"][0].as_py(), u.keys[used].astype("<i8").tobytes(), planes(ordinal), u.code[g].astype("<u8").tobytes(), np.ascontiguousarray(u.check[g].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :4]).tobytes()))
         return pa.Table.from_batches([batch(_SENT, [list(c) for c in zip(*rows)])]) if rows else _SENT.empty_table()
 
     def tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _tables(batches, "part"):
+        for t in tables(batches, "part"):
             docs_, codes, checks, sizes = [], [], [], []
             for d, o, c, k in zip(*(t[n].to_pylist() for n in ("docs", "ord", "code", "check"))):
-                docs_.append(np.frombuffer(d, "<i8")[_from_planes(o)])
+                docs_.append(np.frombuffer(d, "<i8")[fromplanes(o)])
                 codes.append(np.frombuffer(c, "<u8"))
                 checks.append(np.frombuffer(k, "<u4"))
                 sizes.append(len(codes[-1]))
