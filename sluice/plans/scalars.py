@@ -6,20 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import amounts, keys, listing, suppliers, text, titles
 from ..session import table
+from .registry import Family
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return keep
-
+query = Family()
+QUERIES, ORACLES = query.queries, query.oracles
 
 #: The ways an amount is published, by order key, in both dialects.
 AMOUNT_VARIANTS = """
