@@ -52,7 +52,7 @@ def size_balanced(docs: DataFrame, key: str, size: str, batches: int, group: str
     (a manifest); without one the whole input is a group."""
     rows = docs.select(*([group] if group else []), key, size)
     rows = rows if group else rows.withColumn("_g", F.lit(0))
-    schema = rows.schema.add("batch", "int")
+    schema = rows.schema.add("batch", "integer")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         placed = balance(list(zip(pdf[key], pdf[size])), batches, cap)
