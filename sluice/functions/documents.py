@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import collapse, none_if_blank
+from .text import collapse, let, none_if_blank
 
 #: The extraction record, as parsed.
 EXTRACTION = (
@@ -104,13 +104,16 @@ def document_title(text: Column) -> Column:
 
 def classify(text: Column) -> Column:
     """struct(class, title, confidential): length first, then headings, then the title's subject."""
-    t, head, title = F.coalesce(text, F.lit("")), F.substring(F.coalesce(text, F.lit("")), 1, HEAD_CHARS), document_title(text)
-    kind = F.when((F.length(t) < FRAGMENT_CHARS) & title.isNull(), "empty_or_fragment").when(F.length(t) > PACKAGE_CHARS, "meeting_package")
-    for name, pattern in HEAD_RULES:
-        kind = kind.when(head.rlike(pattern), name)
-    kind = kind.when(F.substring(F.ltrim(F.regexp_replace(t, r"(?U)^\s+", "")), 1, 120).rlike(ATTACHMENT), "attachment_or_map").when(title.isNull(), "UNCLASSIFIED")
-    for name, pattern in SUBJECT_RULES:
-        kind = kind.when(title.rlike(f"(?i){pattern}"), name)
-    kind = kind.otherwise("other_titled")
-    titled = kind.isin("other_titled", *(n for n, _ in SUBJECT_RULES))
-    return F.struct(kind.alias("class"), F.when(titled, title).alias("title"), F.substring(t, 1, 3000).rlike(CONFIDENTIAL).alias("confidential"))
+    whole = F.coalesce(text, F.lit(""))
+    head = F.substring(whole, 1, HEAD_CHARS)
+
+    def classed(title: Column) -> Column:
+        kind = F.when((F.length(whole) < FRAGMENT_CHARS) & title.isNull(), "empty_or_fragment").when(F.length(whole) > PACKAGE_CHARS, "meeting_package")
+        for name, pattern in HEAD_RULES:
+            kind = kind.when(head.rlike(pattern), name)
+        kind = kind.when(F.substring(F.regexp_replace(whole, r"(?U)^\s+", ""), 1, 120).rlike(ATTACHMENT), "attachment_or_map").when(title.isNull(), "UNCLASSIFIED")
+        for name, pattern in SUBJECT_RULES:
+            kind = kind.when(title.rlike(f"(?i){pattern}"), name)
+        return let(kind.otherwise("other_titled"), lambda k: F.struct(k.alias("class"), F.when(k.isin("other_titled", *(n for n, _ in SUBJECT_RULES)), title).alias("title"), F.substring(whole, 1, 3000).rlike(CONFIDENTIAL).alias("confidential")))
+
+    return let(document_title(text), classed)

@@ -45,8 +45,8 @@ def award_document_number(title: Column) -> Column:
 
 
 def contract_number(text: Column) -> Column:
-    """A contract number such as 21ECS-TI-02SP in a project's text."""
-    return none_if_blank(F.regexp_extract(text, r"\b(\d{2}[A-Z]{2,4}-[A-Z]{2}-\d{2,3}[A-Z]{0,2})\b", 1))
+    """A construction contract number such as 25ECS-MI-02SW in a project's name."""
+    return none_if_blank(F.regexp_extract(text, r"(?U)\b(\d{2}[A-Z]{2,4}(?:-[A-Z0-9]+){1,3})\b", 1))
 
 
 def native_ref(*candidates: Column) -> Column:

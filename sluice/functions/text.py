@@ -5,10 +5,17 @@ White space is Unicode white space (``(?U)``), a dot stops at ``\\n`` only (``(?
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body over a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without leading and trailing white space of any kind."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def unique_in(names: list[str]) -> list[str]:
@@ -24,7 +25,7 @@ def unique_in(names: list[str]) -> list[str]:
 
 def unique_names(rows: DataFrame, group: str, order: str, name: str) -> DataFrame:
     """(group, order, name, unique_name): one listing at a time, in order; a listing is bounded."""
-    schema = rows.select(group, order, name).schema.add("unique_name", "string")
+    schema = T.StructType([*rows.select(group, order, name).schema.fields, T.StructField("unique_name", T.StringType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
@@ -52,7 +53,7 @@ def size_balanced(docs: DataFrame, key: str, size: str, batches: int, group: str
     (a manifest); without one the whole input is a group."""
     rows = docs.select(*([group] if group else []), key, size)
     rows = rows if group else rows.withColumn("_g", F.lit(0))
-    schema = rows.schema.add("batch", "integer")
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.IntegerType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         placed = balance(list(zip(pdf[key], pdf[size])), batches, cap)

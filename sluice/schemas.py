@@ -37,7 +37,7 @@ TABLES = {
         TableSpec("ariba_posting", "rfx_id string, document_number string, title string, status string, categories array<string>, amount_min double, amount_max double, currency string, start_date string, end_date string, url string", ("rfx_id",)),
         TableSpec("suspended_firm", "supplier_name_raw string, status string, suspension_start string, suspension_end string, suspension_type string, council_authority string, supplier_id long", ("supplier_name_raw", "council_authority"), ("council_authority",)),
         TableSpec("supplier", "supplier_key string, display_name string, variants array<string>", ("supplier_key",)),
-        TableSpec("capital_project", "name string, contract_number string, division string, status string, description string", ("name",)),
+        TableSpec("capital_project", "name string, contract_number string, type_of_work string, scope string, delivery_division string, owner_division string, target_sourcing_year string, target_award_year string, sourcing_type string, estimated_range string, estimated_term_months string, source string", ("name",)),
         TableSpec("bid", "reference string, document_number string, bidder_name_raw string, bid_price string, bid_price_numeric double, hst_basis string, price_header string, source string, supplier_id long", ("reference", "document_number", "bidder_name_raw", "bid_price", "source"), ("reference", "document_number", "bid_price")),
         TableSpec("council_item", "reference string, meeting string, title string, decision_text string", ("reference",)),
         TableSpec("background_pdf", "url string, reference string, document_number string, kind string, sha256 string, text string, path string", ("url",)),
