@@ -26,10 +26,10 @@ def fold_batch(batch: DataFrame, keys: list[str], seq: Column, mode: str = "over
     One aggregate, combined before the shuffle, so a key with many records stays small."""
     pick: Callable = F.max_by if mode == "overwrite" else F.min_by
     on = [_key(k, k in nullable).alias(f"_k{i}") for i, k in enumerate(keys)]
-    ordered = batch.select("*", *on, seq.alias("_seq"))
+    ordered = batch.select("*", *on, seq.alias("_order"))
     kept = [c for c in batch.columns if c not in keys or c in nullable]
     # an order by null sorts out the records where the column is null
-    values = [pick(F.col(c), F.when(F.col(c).isNotNull(), F.col("_seq"))).alias(c) for c in kept]
+    values = [pick(F.col(c), F.when(F.col(c).isNotNull(), F.col("_order"))).alias(c) for c in kept]
     folded = ordered.groupBy([f"_k{i}" for i in range(len(keys))]).agg(*values)
     return folded.select(*(F.col(c) if c in kept else F.col(f"_k{keys.index(c)}").alias(c) for c in batch.columns))
 

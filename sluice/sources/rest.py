@@ -103,6 +103,7 @@ def read_feed(spark: SparkSession, url: str, fields: str, **options) -> DataFram
     """A feed's records with its declared fields."""
     from pyspark.sql import functions as F
 
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PagedRest)
     raw = spark.read.format("paged_rest").option("url", url).options(**options).load()
     return raw.select(F.from_json("record", fields).alias("r")).select("r.*")
