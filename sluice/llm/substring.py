@@ -152,10 +152,10 @@ def _shared_anchors(parts: int):
         for t in tables(batches, "part"):
             ids, buckets, codes = [], [], []
             for i, b, o, c in zip(*(t[n].to_pylist() for n in ("ids", "buckets", "ord", "code"))):
-                ordinal = fromplanes(o)
+                ordinal = from_planes(o)
                 ids.append(np.frombuffer(i, "<i8")[ordinal])
                 buckets.append(np.frombuffer(b, "<i4")[ordinal])
-                codes.append(fromfive(c))
+                codes.append(from_five(c))
             doc, bucket, code = np.concatenate(ids), np.concatenate(buckets), np.concatenate(codes)
             order = np.argsort(code, kind="stable")
             first = np.flatnonzero(np.concatenate([[True], code[order][1:] != code[order][:-1]]))
@@ -188,7 +188,7 @@ class Unit:
         gone = np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(a[i], "<i8") for i in np.flatnonzero(kinds == 2))])
         self.copies = np.isin(self.keys, gone)
         docs = np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(a[i], "<i8") for i in np.flatnonzero(kinds == 0))])
-        codes = np.concatenate([np.zeros(0, np.uint64), *(fromfive(b[i]) for i in np.flatnonzero(kinds == 0))])
+        codes = np.concatenate([np.zeros(0, np.uint64), *(from_five(b[i]) for i in np.flatnonzero(kinds == 0))])
         self.bits = {int.from_bytes(a[i], "little"): b[i] for i in np.flatnonzero(kinds == 1)}
         w = Windows(h, self.counts, window, gram)
         told = np.unique(mix(docs.astype(np.uint64)) + codes)
@@ -287,7 +287,7 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_
         for t in tables(batches, "part"):
             docs_, codes, checks, sizes = [], [], [], []
             for d, o, c, k in zip(*(t[n].to_pylist() for n in ("docs", "ord", "code", "check"))):
-                docs_.append(np.frombuffer(d, "<i8")[fromplanes(o)])
+                docs_.append(np.frombuffer(d, "<i8")[from_planes(o)])
                 codes.append(np.frombuffer(c, "<u8"))
                 checks.append(np.frombuffer(k, "<u4"))
                 sizes.append(len(codes[-1]))
