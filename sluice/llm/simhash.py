@@ -19,8 +19,10 @@ one id count once; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate, repeat
 
 import numpy as np
@@ -36,6 +38,10 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SEED = 42
 
 
+def _words(text: str) -> list[bytes]:
+    return _WORD.findall(text.encode().lower())
+
+
 def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
     """XXH64 of each run of ``width`` words joined by a space; of all words if there are fewer."""
     if not words:
@@ -59,35 +65,36 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def sketch(hashes: np.ndarray, slots: int) -> bytes:
-    """One-permutation MinHash, a byte a slot: shares of equal slots estimate the Jaccard
-    similarity of shingle sets. Empty slots borrow from the next filled one."""
-    if not len(hashes):
-        return b"\0" * slots
-    slot, rest = (hashes % np.uint64(slots)).astype(np.int64), hashes // np.uint64(slots)
-    least = np.full(slots, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(least, slot, rest)
-    filled = np.flatnonzero(np.bincount(slot, minlength=slots))
-    nxt = filled[np.searchsorted(filled, np.arange(slots)) % len(filled)]
-    return ((least[nxt] * np.uint64(0x9E3779B97F4A7C15) + (nxt - np.arange(slots)).astype(np.uint64)) >> np.uint64(56)).astype(np.uint8).tobytes()
+def rehashed(hashes: np.ndarray, turn: int) -> np.ndarray:
+    """Independent hashes of what hashes are of; turn 0: they themselves."""
+    if not turn:
+        return hashes
+    x = hashes + np.uint64((turn * 0x9E3779B97F4A7C15) & ((1 << 64) - 1))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 3, sketch_shingle: int = 5, slots: int = 0) -> DataFrame:
-    """(key, fp as a signed long, sketch): A-Z lower-cased, shingles with repeats."""
+def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 3, turns: int = 1, set_shingle: int | None = None) -> DataFrame:
+    """(key, fp0.. as signed longs, digest): A-Z lower-cased, shingles with repeats. digest: of the
+    set of ``set_shingle``-word shingles, where that is asked for."""
     arrow_rows(docs.sparkSession)
-    schema = pa.schema([("key", pa.int64()), ("fp", pa.int64()), ("sketch", pa.binary())])
+    names = [f"fp{k}" for k in range(turns)]
+    schema = pa.schema([("key", pa.int64()), *((n, pa.int64()) for n in names), ("digest", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps, marks = [], []
+            fps, digests = [], []
             for value in b.column(1):
-                words = _WORD.findall(value.as_py().encode().lower())
-                fps.append(majority(shingle_hashes(words, shingle)))
-                marks.append(sketch(shingle_hashes(words, sketch_shingle), slots) if slots else None)
-            yield batch(schema, [b.column(0), np.array(fps, np.uint64).view(np.int64), marks])
+                words = _words(value.as_py())
+                hashes = shingle_hashes(words, shingle)
+                fps.append([majority(rehashed(hashes, k)) for k in range(turns)])
+                digests.append(hashlib.blake2b(np.unique(shingle_hashes(words, set_shingle)).tobytes(), digest_size=16).digest() if set_shingle else None)
+            columns = np.array(fps, np.uint64).reshape(-1, turns).T
+            yield batch(schema, [b.column(0), *(np.ascontiguousarray(c).view(np.int64) for c in columns), digests])
 
     source = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return source.mapInArrow(run, "key long, fp long, sketch binary").withColumnRenamed("key", key)
+    return source.mapInArrow(run, f"key long, {', '.join(f'{n} long' for n in names)}, digest binary").withColumnRenamed("key", key)
 
 
 def chain_ok(x: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -100,7 +107,7 @@ def chain_ok(x: np.ndarray, start: np.ndarray) -> np.ndarray:
     return ok
 
 
-def _links(key: np.ndarray, start: np.ndarray, fp: np.ndarray, side: np.ndarray, mark: np.ndarray | None, tau: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+def _links(key: np.ndarray, start: np.ndarray, fp: np.ndarray, side: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs in one group (sorted) that link. side: 0 a row of a single block; in a
     pair of blocks 1 and 2, of which only pairs across count."""
     out_a, out_b = [], []
@@ -119,9 +126,6 @@ def _links(key: np.ndarray, start: np.ndarray, fp: np.ndarray, side: np.ndarray,
             i, j, x = i[ok], j[ok], x[ok]
             ok = np.bitwise_count(x) <= tau
             i, j = i[ok], j[ok]
-            if mark is not None and len(i):
-                ok = (mark[i] == mark[j]).mean(axis=1) >= least
-                i, j = i[ok], j[ok]
             out_a.append(i)
             out_b.append(j)
         step += 1
@@ -129,9 +133,27 @@ def _links(key: np.ndarray, start: np.ndarray, fp: np.ndarray, side: np.ndarray,
     return np.concatenate(out_a or [empty]), np.concatenate(out_b or [empty])
 
 
-def near_links(nodes: DataFrame, tau: int = 3, similarity: float | None = None, block: int = 4096) -> DataFrame:
-    """Edges (a, b) that join the links of nodes (id, fp, sketch), whose ids are distinct. With
-    ``similarity``, the sketches must agree in that share of slots too."""
+def _paired(rows: DataFrame, count: str, block: int) -> DataFrame:
+    """rows (of a group of ``count``) dealt to pairs of blocks p <= q of their group; side: 0 in a
+    single block, else 1 or 2. Only pairs across the two sides of a pair count."""
+    rows = rows.withColumn("_blocks", F.ceil(F.col(count) / block).cast("int")).withColumn("_mine", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda o: F.struct(F.least("_mine", o).alias("p"), F.greatest("_mine", o).alias("q"), F.when(F.col("_mine") == o, 0).when(F.col("_mine") < o, 1).otherwise(2).cast("int").alias("side")))
+    return rows.withColumn("_pair", F.explode(pairs)).select(*[c for c in rows.columns if c not in ("_blocks", "_mine", count)], "_pair.p", "_pair.q", "_pair.side")
+
+
+_EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _star(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch | None:
+    """A spanning forest of links between places of ids."""
+    root = local_components(len(ids), a, b)
+    part = np.unique(np.concatenate([a, b]))
+    part = part[root[part] != part]
+    return batch(_EDGES, [ids[root[part]], ids[part]]) if len(part) else None
+
+
+def near_links(nodes: DataFrame, tau: int = 3, block: int = 4096) -> DataFrame:
+    """Edges (a, b) that join the links of nodes (id, fp), whose ids and fingerprints are distinct."""
     if not 0 <= tau <= 3:
         raise ValueError("keys hold for up to three differing bits")
     seg = [F.call_function("shiftrightunsigned", F.col("fp"), F.lit(16 * k)).bitwiseAND(F.lit(0xFFFF)) for k in range(4)]
@@ -140,42 +162,85 @@ def near_links(nodes: DataFrame, tau: int = 3, similarity: float | None = None,
         for half in range(2):
             part = F.call_function("shiftrightunsigned", seg[(k + 1) % 4], F.lit(8 * half)).bitwiseAND(F.lit(0xFF))
             keys.append(F.lit((k * 2 + half) << 24).cast("long").bitwiseOR(F.call_function("shiftleft", seg[k], F.lit(8))).bitwiseOR(part))
-    filed = nodes.select("id", "fp", "sketch", F.explode(F.array(*keys)).alias("key"))
+    filed = nodes.select("id", "fp", F.explode(F.array(*keys)).alias("key"))
     sizes = filed.groupBy("key").count().filter("count > 1")
-    filed = filed.join(sizes, "key").withColumn("blocks", F.ceil(F.col("count") / block).cast("int"))
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("mine", o).alias("p"), F.greatest("mine", o).alias("q"), F.when(F.col("mine") == o, 0).when(F.col("mine") < o, 1).otherwise(2).cast("int").alias("side")))
-    dealt = filed.withColumn("mine", mine).withColumn("pair", F.explode(pairs)).select("key", F.col("pair.p").alias("p"), F.col("pair.q").alias("q"), F.col("pair.side").alias("side"), "id", "fp", "sketch")
-    dealt = dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    dealt = _paired(filed.join(sizes, "key"), "count", block).repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, group in whole_groups(batches, ("key", "p", "q")):
             start = (rows["key"].to_numpy() >> 25) & 3
-            fp, ids = rows["fp"].to_numpy().view(np.uint64), rows["id"].to_numpy()
-            mark = None
-            if similarity is not None:
-                mark = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
-            a, b = _links(group, start, fp, rows["side"].to_numpy(), mark, tau, similarity or 0.0)
-            if len(a):
-                root = local_components(len(ids), a, b)
-                part = np.unique(np.concatenate([a, b]))
-                part = part[root[part] != part]
-                yield batch(schema, [ids[root[part]], ids[part]])
+            a, b = _links(group, start, rows["fp"].to_numpy().view(np.uint64), rows["side"].to_numpy(), tau)
+            if len(a) and (out := _star(rows["id"].to_numpy(), a, b)) is not None:
+                yield out
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def alike(sets: list[np.ndarray], side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets whose Jaccard similarity is ``least`` at least, by an inverted index: one
+    count over the postings of each set's members. Empty sets are alike."""
+    size = np.array([len(s) for s in sets], np.int64)
+    _, member = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(member, kind="stable")
+    posted, bound = owner[order], np.concatenate([[0], np.cumsum(np.bincount(member))]) if len(member) else np.zeros(1, np.int64)
+    at, out_a, out_b = np.concatenate([[0], np.cumsum(size)]), [], []
+    for x in range(len(sets)):
+        mine = member[at[x] : at[x + 1]]
+        first, many = bound[mine], bound[mine + 1] - bound[mine]
+        places = np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) if len(mine) else np.zeros(0, np.int64)
+        shared = np.bincount(posted[places], minlength=len(sets)) if len(places) else np.zeros(len(sets), np.int64)
+        ok = (shared >= least * (size + size[x] - shared) - 1e-9) & ((side == 0) | (side != side[x]))
+        y = np.flatnonzero(ok)
+        y = y[y > x]
+        out_a.append(np.full(len(y), x))
+        out_b.append(y)
+    return np.concatenate(out_a), np.concatenate(out_b)
+
+
+def confirmed_links(docs: DataFrame, key: str, text: str, groups: DataFrame, similarity: float, width: int = 5, block: int = 256) -> DataFrame:
+    """Edges (a, b) that join the pairs in a group (id, component) whose sets of ``width``-word
+    shingles have that Jaccard similarity exactly, in pairs of bounded blocks."""
+    arrow_rows(docs.sparkSession, 200)
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    sizes = groups.groupBy("component").count()
+    members = texts.join(groups.join(sizes, "component"), "id")
+    dealt = _paired(members, "count", block).repartition("component", "p", "q").sortWithinPartitions("component", "p", "q")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, group in whole_groups(batches, ("component", "p", "q"), 256):
+            ids, side, texts_ = rows["id"].to_numpy(), rows["side"].to_numpy(), rows["text"].to_pylist()
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+            for s, e in zip(cuts, cuts[1:]):
+                if e - s > 1:
+                    sets = [np.unique(shingle_hashes(_words(t), width)) for t in texts_[s:e]]
+                    a, b = alike(sets, side[s:e], similarity)
+                    if len(a) and (out := _star(ids[s:e], a, b)) is not None:
+                        yield out
 
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str, text: str, shingle: int = 3, tau: int = 3, similarity: float | None = None, slots: int = 128, block: int = 4096) -> DataFrame:
-    """(key, fingerprint as 16 hex digits, component_id). Equal fingerprints (with
-    ``similarity``: and equal sketches) are one node of the graph."""
-    fps = spool(fingerprints(docs, key, text, shingle, slots=slots if similarity is not None else 0), "fps")
-    same = ["fp", "sketch"] if similarity is not None else ["fp"]
-    nodes = fps.groupBy(*same).agg(F.min(key).alias("id"))
-    nodes = spool(nodes if similarity is not None else nodes.withColumn("sketch", F.lit(None).cast("binary")), "nodes")
-    found = components(near_links(nodes, tau, similarity, block))
+def near_duplicates(docs: DataFrame, key: str, text: str, shingle: int = 3, tau: int = 3, turns: int = 1, similarity: float | None = None, block: int = 4096) -> DataFrame:
+    """(key, fingerprint as 16 hex digits, component_id). Documents link if their fingerprints of
+    any of ``turns`` independent hashes differ in ``tau`` bits at most. With ``similarity``, what
+    so hangs together is only proposed: within it those link whose sets of five-word shingles have
+    that Jaccard similarity. Equal documents are one node."""
+    fps = spool(fingerprints(docs, key, text, shingle, turns, 5 if similarity is not None else None), "fps")
+    names = [f"fp{k}" for k in range(turns)]
+    same = names if similarity is None else [*names, "digest"]
+    nodes = spool(fps.groupBy(*same).agg(F.min(key).alias("id")), "nodes")
+    links = []
+    for n in names:
+        heads = spool(nodes.groupBy(F.col(n).alias("fp")).agg(F.min("id").alias("id")), "heads")
+        links.append(near_links(heads, tau, block))
+        if len(same) > 1:
+            links.append(nodes.select(F.col(n).alias("fp"), F.col("id").alias("b")).join(heads, "fp").filter("id <> b").select(F.col("id").alias("a"), "b"))
+    found = components(reduce(DataFrame.unionByName, links))
+    if similarity is not None:
+        found = components(confirmed_links(docs, key, text, found, similarity))
     classes = nodes.join(found, "id", "left").select(*same, F.coalesce("component", "id").alias("component_id"))
-    return fps.join(classes, same).select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return fps.join(classes, same).select(key, F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
