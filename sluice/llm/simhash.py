@@ -22,7 +22,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import reduce
 from itertools import accumulate, repeat
 
 import numpy as np
@@ -75,12 +74,11 @@ def rehashed(hashes: np.ndarray, turn: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 3, turns: int = 1, set_shingle: int | None = None) -> DataFrame:
-    """(key, fp0.. as signed longs, digest): A-Z lower-cased, shingles with repeats. digest: of the
-    set of ``set_shingle``-word shingles, where that is asked for."""
+def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 3, turns: int = 1, distinct: bool = False, set_shingle: int | None = None) -> DataFrame:
+    """(key, fps as signed longs, digest): A-Z lower-cased, shingles with repeats or, if
+    ``distinct``, without. digest: of the set of ``set_shingle``-word shingles, where asked for."""
     arrow_rows(docs.sparkSession)
-    names = [f"fp{k}" for k in range(turns)]
-    schema = pa.schema([("key", pa.int64()), *((n, pa.int64()) for n in names), ("digest", pa.binary())])
+    schema = pa.schema([("key", pa.int64()), ("fps", pa.list_(pa.int64())), ("digest", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -88,13 +86,13 @@ def fingerprints(docs: DataFrame, key: str, text: str, shingle: int = 3, turns:
             for value in b.column(1):
                 words = _words(value.as_py())
                 hashes = shingle_hashes(words, shingle)
-                fps.append([majority(rehashed(hashes, k)) for k in range(turns)])
+                hashes = np.unique(hashes) if distinct else hashes
+                fps.append(np.array([majority(rehashed(hashes, k)) for k in range(turns)], np.uint64).view(np.int64))
                 digests.append(hashlib.blake2b(np.unique(shingle_hashes(words, set_shingle)).tobytes(), digest_size=16).digest() if set_shingle else None)
-            columns = np.array(fps, np.uint64).reshape(-1, turns).T
-            yield batch(schema, [b.column(0), *(np.ascontiguousarray(c).view(np.int64) for c in columns), digests])
+            yield batch(schema, [b.column(0), fps, digests])
 
     source = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return source.mapInArrow(run, f"key long, {', '.join(f'{n} long' for n in names)}, digest binary").withColumnRenamed("key", key)
+    return source.mapInArrow(run, "key long, fps array<long>, digest binary").withColumnRenamed("key", key)
 
 
 def chain_ok(x: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -153,16 +151,19 @@ def _star(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch | Non
 
 
 def near_links(nodes: DataFrame, tau: int = 3, block: int = 4096) -> DataFrame:
-    """Edges (a, b) that join the links of nodes (id, fp), whose ids and fingerprints are distinct."""
+    """Edges (a, b) that join the links of nodes (id, fps): those of whose fingerprints at one
+    place of ``fps`` differ in ``tau`` bits at most."""
     if not 0 <= tau <= 3:
         raise ValueError("keys hold for up to three differing bits")
+    turned = nodes.select("id", F.posexplode("fps").alias("turn", "fp"))
     seg = [F.call_function("shiftrightunsigned", F.col("fp"), F.lit(16 * k)).bitwiseAND(F.lit(0xFFFF)) for k in range(4)]
     keys = []
     for k in range(4):
         for half in range(2):
             part = F.call_function("shiftrightunsigned", seg[(k + 1) % 4], F.lit(8 * half)).bitwiseAND(F.lit(0xFF))
             keys.append(F.lit((k * 2 + half) << 24).cast("long").bitwiseOR(F.call_function("shiftleft", seg[k], F.lit(8))).bitwiseOR(part))
-    filed = nodes.select("id", "fp", F.explode(F.array(*keys)).alias("key"))
+    turn = F.call_function("shiftleft", F.col("turn").cast("long"), F.lit(27))
+    filed = turned.select("id", "fp", F.explode(F.array(*keys)).alias("key"), "turn").select("id", "fp", F.col("key").bitwiseOR(turn).alias("key"))
     sizes = filed.groupBy("key").count().filter("count > 1")
     dealt = _paired(filed.join(sizes, "key"), "count", block).repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
 
@@ -221,26 +222,19 @@ def confirmed_links(docs: DataFrame, key: str, text: str, groups: DataFrame, sim
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str, text: str, shingle: int = 3, tau: int = 3, turns: int = 1, similarity: float | None = None, block: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str, text: str, shingle: int = 3, tau: int = 3, turns: int = 1, distinct: bool = False, similarity: float | None = None, block: int = 4096) -> DataFrame:
     """(key, fingerprint as 16 hex digits, component_id). Documents link if their fingerprints of
     any of ``turns`` independent hashes differ in ``tau`` bits at most. With ``similarity``, what
     so hangs together is only proposed: within it those link whose sets of five-word shingles have
     that Jaccard similarity. Equal documents are one node."""
-    fps = spool(fingerprints(docs, key, text, shingle, turns, 5 if similarity is not None else None), "fps")
-    names = [f"fp{k}" for k in range(turns)]
-    same = names if similarity is None else [*names, "digest"]
+    fps = spool(fingerprints(docs, key, text, shingle, turns, distinct, 5 if similarity is not None else None), "fps")
+    same = ["fps"] if similarity is None else ["fps", "digest"]
     nodes = spool(fps.groupBy(*same).agg(F.min(key).alias("id")), "nodes")
-    links = []
-    for n in names:
-        heads = spool(nodes.groupBy(F.col(n).alias("fp")).agg(F.min("id").alias("id")), "heads")
-        links.append(near_links(heads, tau, block))
-        if len(same) > 1:
-            links.append(nodes.select(F.col(n).alias("fp"), F.col("id").alias("b")).join(heads, "fp").filter("id <> b").select(F.col("id").alias("a"), "b"))
-    found = components(reduce(DataFrame.unionByName, links))
+    found = components(near_links(nodes, tau, block))
     if similarity is not None:
         found = components(confirmed_links(docs, key, text, found, similarity))
     classes = nodes.join(found, "id", "left").select(*same, F.coalesce("component", "id").alias("component_id"))
-    return fps.join(classes, same).select(key, F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id")
+    return fps.join(classes, same).select(key, F.lpad(F.lower(F.hex(F.get("fps", F.lit(0)))), 16, "0").alias("fingerprint"), "component_id")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:

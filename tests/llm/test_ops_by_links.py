@@ -110,8 +110,8 @@ def dense_fingerprints():
 @pytest.mark.parametrize("block", [4096, 7])
 def test_pigeonring_loses_no_link(spark, block):
     fps = dense_fingerprints()
-    signed = [(i, f - (1 << 64) if f >> 63 else f) for i, f in fps.items()]
-    nodes = spark.createDataFrame(signed, "id long, fp long")
+    signed = [(i, [f - (1 << 64) if f >> 63 else f]) for i, f in fps.items()]
+    nodes = spark.createDataFrame(signed, "id long, fps array<long>")
     found = {r.id: r.component for r in graph.components(simhash.near_links(nodes, 3, block=block)).collect()}
     parts = brute_components(sorted(fps), near(fps, 3))
     assert {i: found.get(i, i) for i in fps} == parts
