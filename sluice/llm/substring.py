@@ -270,7 +270,7 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_
                 yield batch(schema, [np.frombuffer(i, "<i8"), np.frombuffer(k, "<i4"), [d[j : j + 16] for j in range(0, len(d), 16)]])
 
     each = stats.select("ids", "buckets", "code").mapInArrow(unpack, "key long, bucket int, digest binary")
-    least = each.groupBy("digest").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1").select("digest", "least")
+    least = spool(each.groupBy("digest").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1").select("digest", "least"), "copied")
     copies = each.join(least, "digest").filter("key > least").select("bucket", F.lit(2).alias("kind"), _little("key").alias("a"), F.lit(None).cast("binary").alias("b"))
     anchors = scanned.filter("part >= 0").select("part", "ids", "buckets", "ord", "code").repartition("part").sortWithinPartitions("part")
     replies = spool(anchors.mapInArrow(_shared_anchors(parts), _REPLY_DDL).unionByName(copies), "replies")
