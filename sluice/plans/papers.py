@@ -383,3 +383,46 @@ def archived_titles(spark, sf_dir):
     folder = F.concat(F.lit("Doc"), (F.lit(2922000000).cast("long") + F.col("page_id")).cast("string"))
     pages = p.select(document_number(folder).alias("document_number"), "page_id", clean_title(links.page_title(html)).alias("title"))
     return pages.groupBy("document_number").agg(F.min_by("title", "page_id").alias("title")).filter("title is not null")
+
+
+@query("bow_classifiers")
+def bow_classifiers(spark, sf_dir):
+    """Quality classes by bag of words, out of fold."""
+    from ..operators.classify import cross_validate
+
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "text", F.col("quality").cast("string").alias("kind"))
+    return cross_validate(d, "doc_id", "kind", {"word 1gram + logistic": ("logistic", "word 1"), "word 1gram + bayes": ("bayes", "word 1")})
+
+
+@query("download_queue", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN sha256('%PDF' || page_id) END AS sha256, CASE WHEN page_id % 3 = 1 THEN 'not the expected kind of file' WHEN page_id % 3 = 2 THEN 'no answer' END AS error FROM pages WHERE page_id % 4 <> 0")
+def download_queue(spark, sf_dir):
+    """Pending files only; a failure is its row's, and what isn't a PDF stays queued."""
+    from ..sources import landing
+
+    def fetch(url: str) -> bytes:
+        k = int(url)
+        if k % 3 == 2:
+            raise ConnectionError("no answer")
+        return (b"%PDF" if k % 3 == 0 else b"<html>") + url.encode()
+
+    index = table(spark, sf_dir, "pages").select("page_id", F.col("page_id").cast("string").alias("url"), F.when(F.col("page_id") % 4 == 0, "held").alias("sha256"))
+    pending = landing.queue(index, F.col("sha256").isNotNull(), "page_id")
+    return landing.download(pending, "url", fetch).select("page_id", "sha256", "error")
+
+
+@query("open_events", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS deadline FROM orders WHERE o_orderdate >= TIMESTAMP '1997-06-01' AND o_orderkey % 2 = 0")
+def open_events(spark, sf_dir):
+    from ..streaming.upsert import open_events as scan
+
+    link = F.when(F.col("o_orderkey") % 2 == 0, "https://x/RFXEVENT/preview/1").otherwise("https://merx.example/1")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("deadline"), link.alias("link"))
+    return scan(o, "deadline", "link", F.lit("1997-06-01")).select("o_orderkey", "deadline")
+
+
+@query("stream_window_counts", "SELECT event_type, strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M') AS starts, count(*) AS n FROM events GROUP BY ALL")
+def stream_window_counts(spark, sf_dir):
+    """An extension: tumbling windows of a stream; what isn't late is counted as in a batch."""
+    from ..streaming.upsert import replay_counts
+
+    e = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    return replay_counts(e, "ts", "event_type").select("event_type", F.date_format("starts", "yyyy-MM-dd HH:mm").alias("starts"), "n")

@@ -209,3 +209,33 @@ def test_fallback():
         raise ConnectionError
 
     assert with_fallback([bad, lambda p: "ok"], retries=1, pause=0)("x") == "ok" and calls == ["bad", "bad"]
+
+
+def test_discovery_probes_and_remembers():
+    from sluice.sources.landing import cache_aside, discover_meetings
+
+    real = {"2017.BA1", "2017.BA2", "2018.BA3", "2018.BA5", "2019.BA1"}
+    asked, held, closed = [], {}, {}
+
+    def fetch(ref):
+        asked.append(ref)
+        return "agenda" if ref in real else "This meeting is not available"
+
+    get = cache_aside(held.get, held.__setitem__, fetch)
+    terms = [("BA", 2017, "2014-2018", 1), ("BA", 2019, "2018-2022", 1)]
+    found = discover_meetings(get, terms, misses=3, on_closed=closed.__setitem__)
+    assert found.keys() == real and closed == {"BA2014-2018": 5} and held.keys() == real
+    asked.clear()
+    discover_meetings(get, terms, closed, misses=3)
+    assert not any(a.endswith(("BA6", "BA7", "BA8")) for a in asked)
+
+
+def test_sweep_needs_permission(spark):
+    from sluice.sources.landing import sweep
+
+    data = {1: [{"Id": str(i)} for i in range(5)], 2: []}
+    page = lambda status, start: (data[status][start : start + 2], len(data[status]))
+    with pytest.raises(PermissionError):
+        sweep(spark, {"slug": "x", "enabled": True}, [1, 2], page)
+    got = sweep(spark, {"slug": "x", "enabled": True, "permission": "letter"}, [1, 2], page).collect()
+    assert len(got) == 5 and {r.status_code for r in got} == {1}
