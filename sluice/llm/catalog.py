@@ -63,6 +63,33 @@ SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability,
 FROM marked JOIN odds USING (source, lang, topic)
 """
 
+#: Every pair, and reachability: for small tables only, as the driver's oracle run is.
+_OP9_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT a AS vec_id, b AS other FROM links
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1),
+least AS (SELECT vec_id, min(other) AS m FROM reach GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(m, vec_id))::BIGINT AS component_id, vec_id <= coalesce(m, vec_id) AS kept
+FROM embeddings LEFT JOIN degree USING (vec_id) LEFT JOIN least USING (vec_id)
+"""
+
+#: Every window as a string.
+_OP10_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS k FROM w, unnest(range(1, len(words) - 11)) t(i)),
+firsts AS (SELECT k, min(doc_id) AS d FROM win GROUP BY 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN firsts USING (k) WHERE d < doc_id),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""
+
 
 def queries() -> dict:
     return {
@@ -80,4 +107,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mixing": _OP1_SQL, "op4_url_filters": _OP4_SQL}
+    return {"op1_source_mixing": _OP1_SQL, "op4_url_filters": _OP4_SQL, "op9_embedding_dedup": _OP9_SQL, "op10_substring_dedup": _OP10_SQL}

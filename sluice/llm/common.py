@@ -39,12 +39,25 @@ def spool(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sluice-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    _SPOOLED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SPOOLED: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Remove what was spooled so far, for sessions that live long; results not yet written
+    elsewhere are lost with it. The number of tables removed."""
+    n = len(_SPOOLED)
+    while _SPOOLED:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(_SPOOLED.pop())
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return n
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that df doesn't have: inputs may carry any extra columns."""
     taken, name = {c.lower() for c in df.columns}, base

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import WORD_PATTERN, free_name, spool, table
 
@@ -46,22 +45,23 @@ def token_weight(text: Column) -> Column:
 
 
 def rake(cells: DataFrame, margins: list[str], targets: dict[str, dict[str, float]], rounds: int = 10) -> DataFrame:
-    """cells (margins, tokens) with ``fitted``: shares of one that meet the target marginals."""
-    w = cells.withColumn("fitted", F.col("tokens") / F.sum("tokens").over(Window.partitionBy(F.lit(1))))
+    """cells (margins, tokens) with ``fitted``: shares of one that meet the target marginals. Each
+    step is a partial aggregate by one marginal, joined back: no value's cells meet in one task."""
+    whole = cells.agg(F.sum("tokens")).first()[0] or 1
+    w = cells.withColumn("fitted", F.col("tokens") / F.lit(float(whole)))
     for m in margins:
-        weights = targets.get(m, {})
         weight = F.lit(1.0)
-        for value, x in weights.items():
+        for value, x in targets.get(m, {}).items():
             weight = F.when(F.col(m) == value, F.lit(float(x))).otherwise(weight)
-        values = cells.groupBy(m).agg(F.count("*").alias("_n")).select(m, weight.alias("_w"))
-        shares = values.select(m, (F.col("_w") / F.sum("_w").over(Window.partitionBy(F.lit(1)))).alias(f"_target_{m}"))
-        w = w.join(shares, m)
+        values = spool(cells.select(m).distinct().withColumn("_w", weight), "values")
+        total = values.agg(F.sum("_w")).first()[0] or 1.0
+        w = w.join(values.select(m, (F.col("_w") / F.lit(total)).alias(f"_target_{m}")), m)
     w = spool(w, "cells")
-    for k in range(rounds):
+    for _ in range(rounds):
         for m in margins:
-            w = w.withColumn("fitted", F.col("fitted") * F.col(f"_target_{m}") / F.sum("fitted").over(Window.partitionBy(m)))
-        if k % 2 or k == rounds - 1:
-            w = spool(w, "raked")
+            sums = w.groupBy(m).agg(F.sum("fitted").alias("_sum"))
+            w = w.join(sums, m).withColumn("fitted", F.col("fitted") * F.col(f"_target_{m}") / F.col("_sum")).drop("_sum")
+        w = spool(w, "raked")
     return w.drop(*(f"_target_{m}" for m in margins))
 
 
@@ -85,8 +85,8 @@ def odds(light: DataFrame, names: list[str], targets: dict[str, dict[str, float]
     """(margins, probability) of every cell of rows (key, tokens, margins)."""
     cells = spool(light.groupBy(*names).agg(F.sum("tokens").alias("tokens")), "cells")
     fitted = rake(cells, names, TARGETS if targets is None else targets, rounds)
-    whole = F.sum("tokens").over(Window.partitionBy(F.lit(1)))
-    return spool(fitted.select(*names, F.least(F.lit(1.0), F.col("fitted") * whole * F.lit(float(keep)) / F.col("tokens")).alias("probability")), "odds")
+    whole = float(cells.agg(F.sum("tokens")).first()[0] or 1)
+    return spool(fitted.select(*names, F.least(F.lit(1.0), F.col("fitted") * F.lit(whole) * F.lit(float(keep)) / F.col("tokens")).alias("probability")), "odds")
 
 
 def sample(docs: DataFrame, key: str, text: str, margins: dict[str, Column] | None = None, **how) -> DataFrame:
