@@ -246,15 +246,15 @@ def listing_rows(spark, sf_dir):
 
 
 @query("outline_sort", f"""
-WITH r AS (SELECT p_partkey, trim(regexp_replace({_ROWS}, '\\s+', ' ', 'g')) AS w FROM part),
+WITH r AS (SELECT p_partkey, p_brand, trim(regexp_replace({_ROWS}, '\\s+', ' ', 'g')) AS w FROM part),
 o AS (SELECT *, nullif(regexp_extract(w, '^(\\d+(?:\\.\\d+)*)(?:\\s|$)', 1), '') AS outline FROM r)
-SELECT p_partkey, outline, CAST(row_number() OVER (ORDER BY outline IS NULL, coalesce(list_transform(string_split(outline, '.'), lambda x: CAST(x AS BIGINT)), []), CASE WHEN outline IS NULL THEN w ELSE '' END, p_partkey) AS INTEGER) AS place FROM o""")
+SELECT p_partkey, outline, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY outline IS NULL, coalesce(list_transform(string_split(outline, '.'), lambda x: CAST(x AS BIGINT)), []), CASE WHEN outline IS NULL THEN w ELSE '' END, p_partkey) AS INTEGER) AS place FROM o""")
 def outline_sort(spark, sf_dir):
     from pyspark.sql.window import Window
 
-    p = table(spark, sf_dir, "part").select("p_partkey", F.expr(_ROWS).alias("row"))
-    # the places of one listing: a listing is small, and here the table is one
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*listing.listing_order(F.col("row"), F.col("p_partkey"))))
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.expr(_ROWS).alias("row"))
+    # a brand is a listing here; places are within one
+    place = F.row_number().over(Window.partitionBy("p_brand").orderBy(*listing.listing_order(F.col("row"), F.col("p_partkey"))))
     return p.select("p_partkey", listing.outline(F.col("row")).alias("outline"), place.alias("place"))
 
 
