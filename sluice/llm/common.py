@@ -19,8 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def arrow_rows(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of long texts fits a worker."""
+    """Bound the rows and bytes of an Arrow batch, so that a batch of long texts fits a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "32m")
 
 
 def shared_dir(spark: SparkSession) -> str:
