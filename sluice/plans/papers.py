@@ -426,3 +426,105 @@ def stream_window_counts(spark, sf_dir):
 
     e = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
     return replay_counts(e, "ts", "event_type").select("event_type", F.date_format("starts", "yyyy-MM-dd HH:mm").alias("starts"), "n")
+
+
+def _pages_with(spark, sf_dir, template: str):
+    """pages with a page made from a template, in which {k} is the page's id."""
+    parts = template.split("{k}")
+    pieces = [F.lit(parts[0])]
+    for p in parts[1:]:
+        pieces += [F.col("page_id").cast("string"), F.lit(p)]
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(*pieces).alias("html"))
+
+
+ITEM_PAGE = """<h1>Item {k}: Award</h1><p>intro</p><h2>Committee Decision</h2><p>That the award</p><ul><li>be approved {k}</li></ul><h2>Background</h2><p><a href="a{k}.pdf">A</a><a href="b.PDF">B</a><a href="a{k}.pdf">A again</a><a href="c.html">C</a></p>"""
+
+
+@query("council_item_pages", "SELECT page_id, concat('Item ', page_id, ': Award') AS title, concat('That the award be approved ', page_id) AS decision_text, concat('a', page_id, '.pdf|b.PDF') AS pdfs FROM pages")
+def council_item_pages(spark, sf_dir):
+    p = _pages_with(spark, sf_dir, ITEM_PAGE)
+    return p.lateralJoin(html_tables.CouncilItem(F.col("html").outer())).select("page_id", "title", "decision_text", F.array_join("pdfs", "|").alias("pdfs"))
+
+
+REGISTRY_PAGE = """<table><tr><th>Supplier Name</th><th>Status</th><th>Start Date of Suspension</th><th>End Date of Suspension</th><th>Type of Suspension</th><th>Authority</th></tr>
+<tr><td>Firm {k} Ltd</td><td>Active</td><td>November 27, 28, and 29, 2012</td><td>N/A</td><td>Full</td><td>2012.GM1.{k}</td></tr><tr><td>Nobody Inc</td><td></td><td></td><td></td><td></td><td></td></tr></table>"""
+
+
+@query("suspended_registry", "SELECT page_id, concat('Firm ', page_id, ' Ltd') AS supplier_name_raw, 'November 27, 28, and 29, 2012' AS suspension_start, concat('2012.GM1.', page_id) AS council_authority FROM pages UNION ALL SELECT page_id, 'Nobody Inc', NULL, '' FROM pages")
+def suspended_registry(spark, sf_dir):
+    rows = _pages_with(spark, sf_dir, REGISTRY_PAGE).lateralJoin(html_tables.Registry(F.col("html").outer())).select("page_id", "cells")
+    firms = normalize.suspended(rows)["suspended_firm"]
+    names = rows.select("page_id", F.col("cells")["Supplier Name"].alias("n"), F.coalesce(F.nullif(F.col("cells")["Authority"], F.lit("")), F.lit("")).alias("a"))
+    return names.join(firms.distinct(), (F.col("n") == F.col("supplier_name_raw")) & (F.col("a") == F.col("council_authority"))).select("page_id", "supplier_name_raw", "suspension_start", "council_authority")
+
+
+AGENDA_2017 = """<p>BA1.2 - Award of Call {k}-2017 to Big Co. for Works
+ is $1,234.50 net of all applicable taxes. BA1.3 - Award 1234567899 to X for Y $5 net of all applicable taxes. BA1.4 - no value to Z for W</p>"""
+
+
+@query("pre_number_awards", "SELECT page_id, '2017.BA1.2' AS reference, concat('Award of Call ', page_id, '-2017 to Big Co. for Works') AS title, 'Big Co.' AS winner_raw, 1234.5::DOUBLE AS award_value FROM pages")
+def pre_number_awards(spark, sf_dir):
+    from ..functions.amounts import parse_amount
+
+    rows = _pages_with(spark, sf_dir, AGENDA_2017).lateralJoin(html_tables.PreNumberAwards(F.col("html").outer(), F.lit("2017.BA1")))
+    return rows.select("page_id", "reference", "title", "winner_raw", parse_amount(F.col("value_raw")).alias("award_value"))
+
+
+REPORT_PAGE = """<ul><li>Doc {k} <a href="backgroundfile-{k}.pdf">one</a></li><li>other <a href="backgroundfile-x.pdf">two</a></li></ul>"""
+
+
+@query("report_links", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN concat('backgroundfile-', page_id, '.pdf') END AS url FROM pages")
+def report_links(spark, sf_dir):
+    """The link beside the document's number; where none is and there are several, none."""
+    wanted = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("Doc "), F.col("page_id").cast("string"))).otherwise("Doc -1")
+    p = _pages_with(spark, sf_dir, REPORT_PAGE).withColumn("wanted", wanted)
+    return p.lateralJoin(html_tables.ReportLink(F.col("html").outer(), F.col("wanted").outer())).select("page_id", "url")
+
+
+@query("zip_bundle_index", "SELECT n_nationkey, f.filename, f.path, f.file_size::BIGINT AS file_size FROM nation, (VALUES ('a.txt', 'a.txt', 1), ('c.txt', 'in.zip/b/c.txt', 5), ('bad.zip', 'bad.zip', 9)) f(filename, path, file_size)")
+def zip_bundle_index(spark, sf_dir):
+    import io
+    import zipfile
+
+    from ..sources.zip_index import ZipIndex
+
+    inner, outer = io.BytesIO(), io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("b/c.txt", "hello")
+    with zipfile.ZipFile(outer, "w") as z:
+        for name, data in (("a.txt", b"x"), ("in.zip", inner.getvalue()), ("bad.zip", b"not a zip")):
+            z.writestr(name, data)
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.lit(bytearray(outer.getvalue())).alias("content"))
+    return n.lateralJoin(ZipIndex(F.col("content").outer())).select("n_nationkey", "filename", "path", "file_size")
+
+
+@query("feed_noncompetitive", "SELECT concat('W', o_orderkey) AS workspace_number, concat('F', o_custkey) AS supplier_name_raw, '$1' AS contract_amount FROM orders WHERE o_orderkey % 3 <> 0")
+def feed_noncompetitive(spark, sf_dir):
+    """Only a record's first supplier; no key, no row."""
+    supplier = "named_struct('Successful_Bidder', concat('{}', o_custkey), 'Award_Amount', '$1', 'Date_Awarded', '2020')"
+    record = F.expr(f"named_struct('Non_Competitive_Reference_Number', CASE WHEN o_orderkey % 3 <> 0 THEN concat('W', o_orderkey) ELSE ' ' END, 'Awarded_Suppliers', array({supplier.format('F')}, {supplier.format('G')}))")
+    raw = table(spark, sf_dir, "orders").select(F.from_json(F.to_json(record), normalize.FEEDS["odata_noncompetitive"]).alias("r")).select("r.*")
+    return normalize.odata_noncompetitive(raw)["noncompetitive"].select("workspace_number", "supplier_name_raw", "contract_amount")
+
+
+@query("portal_spine_and_awards", """
+SELECT CAST(2243000000 + o_orderkey AS VARCHAR) AS document_number, CASE WHEN o_orderkey % 2 = 0 THEN 'Awarded' ELSE 'Open' END AS status, CASE WHEN o_orderkey % 4 = 0 THEN concat('S', o_custkey) END AS supplier_name_raw FROM orders WHERE o_orderkey % 5 <> 0""")
+def portal_spine_and_awards(spark, sf_dir):
+    """Both portal feeds: junk numbers drop out, None is null, suppliers are awards of their own."""
+    def rows(kind, condition, **fields):
+        names = [f.name for f in spark.createDataFrame([], normalize.FEEDS[kind]).schema]
+        number = F.when(F.col("o_orderkey") % 5 == 0, "xxxxxxxx").otherwise((F.lit(2243000000).cast("long") + F.col("o_orderkey")).cast("string"))
+        values = {"Document Number": number, "Wards": F.lit("None"), **fields}
+        return table(spark, sf_dir, "orders").filter(condition).select(*(values.get(n, F.lit(None).cast("string")).alias(n) for n in names))
+
+    awarded = normalize.portal_awarded(rows("portal_awarded", "o_orderkey % 2 = 0", **{"Successful Supplier": F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("S"), "o_custkey")).otherwise(" ")}))
+    spine = awarded["solicitation"].unionByName(normalize.portal_open(rows("portal_open", "o_orderkey % 2 = 1"))["solicitation"], allowMissingColumns=True)
+    return spine.filter("wards is null").join(awarded["award"].select("document_number", "supplier_name_raw"), "document_number", "left").select("document_number", "status", "supplier_name_raw")
+
+
+@query("portal_noncompetitive_rows", "SELECT concat('W', s_suppkey) AS workspace_number, s_name AS supplier_name_raw, CASE WHEN s_suppkey % 2 = 0 THEN '$5' END AS contract_amount FROM supplier")
+def portal_noncompetitive_rows(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    none = F.lit(None).cast("string")
+    raw = s.select(F.concat(F.lit("W"), "s_suppkey").alias("Workspace Number"), none.alias("Reason"), F.col("s_name").alias("Supplier Name"), F.when(F.col("s_suppkey") % 2 == 0, "$5").otherwise("None").alias("Contract Amount"), none.alias("Contract Date"), none.alias("Division"), none.alias("Supplier Address"))
+    return normalize.portal_noncompetitive(raw)["noncompetitive"].select("workspace_number", "supplier_name_raw", "contract_amount")
