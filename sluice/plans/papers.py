@@ -41,7 +41,11 @@ def extraction_work_limit(spark, sf_dir):
     return _gated(spark, sf_dir).filter("gate = 'to_do'").orderBy("key").limit(20).select("key")
 
 
-@query("document_chunks")
+@query("document_chunks", """
+WITH d AS (SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents),
+f AS (SELECT doc_id, t, list_reduce(list_transform(string_split(t, chr(10) || chr(10)), lambda s: {'n': 1, 'longest': 0, 'open': length(s)}),
+  lambda a, x: CASE WHEN a.open + 2 + x.open <= 500 THEN {'n': a.n, 'longest': a.longest, 'open': a.open + 2 + x.open} ELSE {'n': a.n + 1, 'longest': greatest(a.longest, a.open), 'open': x.open} END) AS r FROM d)
+SELECT doc_id, CASE WHEN length(t) <= 500 THEN 1 ELSE r.n END::INTEGER AS n_chunks, CASE WHEN length(t) <= 500 THEN length(t) ELSE greatest(r.longest, r.open) END::INTEGER AS longest FROM f""")
 def document_chunks(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))
     chunks = d.select("doc_id", docs.split_document(F.col("text"), 500).alias("chunks"))
