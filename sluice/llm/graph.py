@@ -1,8 +1,9 @@
 """Connected components over an edge table, by contraction.
 
 Every round each vertex points to its smallest neighbour (a partial aggregate, so a hub
-costs a row a task), pointers are followed twice, and the edges are rewritten to the
-vertices pointed at; the edges that remain shrink at least by half. Rounds are spooled to
+costs a row a task), pointers are followed to their roots by doubling, and the edges are
+rewritten to the roots; every vertex that is left was a smallest one among its neighbours, so
+the vertices with edges at least halve. Rounds are spooled to
 the shared folder. Nothing is collected: neither edges nor components.
 """
 
@@ -24,10 +25,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         ends = e.select(F.col("a").alias("id"), F.col("b").alias("to")).unionByName(e.select(F.col("b").alias("id"), F.col("a").alias("to")))
         up = ends.groupBy("id").agg(F.min("to").alias("to")).select("id", F.least("id", "to").alias("to"))
         up = spool(up, "up")
-        for _ in range(2):
+        while True:  # to the roots: the depth halves each time, and mostly is one or two
             over = up.select(F.col("id").alias("_m"), F.col("to").alias("_t"))
-            up = up.join(over, F.col("to") == F.col("_m")).select("id", F.col("_t").alias("to"))
-        up = spool(up, "up")
+            jumped = spool(up.join(over, F.col("to") == F.col("_m")).select("id", F.col("_t").alias("to"), (F.col("_t") != F.col("to")).alias("moved")), "up")
+            up = jumped.select("id", "to")
+            if jumped.filter("moved").isEmpty():
+                break
         left, right = up.select(F.col("id").alias("a"), F.col("to").alias("x")), up.select(F.col("id").alias("b"), F.col("to").alias("y"))
         e = spool(e.join(left, "a").join(right, "b").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
         if found is None:
