@@ -3,14 +3,17 @@
 Equal vectors are one node with a multiplicity. Every node starts with its nearest
 neighbours in the leaves of a few random-hyperplane trees. Then rounds of local joins: at
 each node its neighbours, and the nodes whose neighbour it is, meet; a pair that is closer
-than what a list holds enters the list. After the rounds recall is audited: a bounded set
-of nodes is searched by brute force against all, in blocks; below ``target``, lists get
-twice as long, as many new trees are added, and more rounds follow.
+than what a list holds enters the list.
 
 Edges at or above the threshold are kept. A node whose list is full of such edges is
-saturated; its list is enlarged to all of its component: within each component that the
-edges make, every node's links are counted in full, in pairs of bounded blocks, so no
-group is held by a task and no pairs are emitted.
+saturated: it may have links beyond its list, so it is searched against all nodes exactly, in
+passes of bounded size, and the components that its links lead to are joined. Then, within each
+component, every node's links are counted in full, in pairs of bounded blocks, so no group
+is held by a task and no pairs are emitted.
+
+What was counted is audited: a bounded set of nodes is searched by brute force against all.
+Below ``target`` of all their links, lists get twice as long, as many new trees are added, and
+more rounds follow; if ``again`` of these don't reach it, every node is searched exactly.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with
 nothing. Vectors of different lengths never link. Of repeated ids each row is judged by its own vector.
@@ -162,33 +165,71 @@ def descend(nodes: DataFrame, graph: DataFrame, k: int, reverse: int) -> DataFra
     return _top(graph.unionByName(met.mapInArrow(solve, "u long, w long, sim double")), k)
 
 
-def audit(nodes: DataFrame, graph: DataFrame, threshold: float, queries: int = 512) -> tuple[int, int]:
-    """(links found, links there are) of a bounded set of nodes, searched against all in blocks."""
-    chosen = nodes.orderBy(F.xxhash64("id"), "id").select("id", "dim", "vec").limit(queries).collect()
-    asked: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for d in {r["dim"] for r in chosen}:
-        of = [r for r in chosen if r["dim"] == d]
-        asked[d] = np.array([r["id"] for r in of]), _vectors([bytes(r["vec"]) for r in of])
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, dims, blobs = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), np.int64), b.column(2).to_pylist()
-            for d in np.unique(dims):
-                if int(d) in asked:
-                    at = np.flatnonzero(dims == d)
-                    of, x = asked[int(d)]
-                    q, i = np.nonzero(x @ _vectors([blobs[j] for j in at]).T >= threshold)
-                    keep = of[q] != ids[at[i]]
-                    yield batch(pa.schema([("u", pa.int64()), ("w", pa.int64())]), [of[q][keep], ids[at[i]][keep]])
-
-    truth = nodes.select("id", "dim", "vec").mapInArrow(search, "u long, w long")
-    # a saturated list holds as many of a node's links as it can
-    true_n = truth.groupBy("u").agg(F.count("*").alias("n"))
-    held = graph.filter(F.col("sim") >= threshold).groupBy("u").agg(F.count("*").alias("h"))
-    size = graph.groupBy("u").agg(F.count("*").alias("k"))
-    both = true_n.join(held, "u", "left").join(size, "u", "left").select(F.least("n", F.greatest("k", F.lit(1))).alias("n"), F.coalesce("h", F.lit(0)).alias("h"))
-    row = both.agg(F.sum(F.least("h", "n")).alias("h"), F.sum("n").alias("n")).first()
-    return int(row["h"] or 0), int(row["n"] or 0)
+def audit(nodes: DataFrame, counted: DataFrame, threshold: float, queries: int = 512, enough: int = 128, most: int = 4096) -> float:
+    """The mean share of their links, as brute force over all nodes has them, that ``counted``
+    (id, links) holds. Nodes are drawn until ``enough`` have links, or ``most`` are drawn."""
+    chosen = nodes.orderBy(F.xxhash64("id"), "id").select("id", "dim", "vec").limit(most).collect()
+    true: dict[int, int] = {}
+    for at in range(0, len(chosen), queries):
+        asked: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        part = chosen[at : at + queries]
+        for d in {r["dim"] for r in part}:
+            of = [r for r in part if r["dim"] == d]
+            asked[d] = np.array([r["id"] for r in of]), _vectors([bytes(r["vec"]) for r in of])
+
+        def search(batches: Iterator[pa.RecordBatch], asked=asked) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                ids, dims, blobs, mult = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), np.int64), b.column(2).to_pylist(), b.column(3).to_numpy()
+                for d in np.unique(dims):
+                    if int(d) in asked:
+                        on = np.flatnonzero(dims == d)
+                        of, x = asked[int(d)]
+                        near = (x @ _vectors([blobs[j] for j in on]).T >= threshold) & (of[:, None] != ids[on])
+                        links = near @ mult[on]
+                        yield batch(pa.schema([("id", pa.int64()), ("n", pa.int64())]), [of[links > 0], links[links > 0]])
+
+        truth = nodes.select("id", "dim", "vec", "mult").mapInArrow(search, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        true |= {r["id"]: r["n"] for r in truth.collect()}
+        if len(true) >= enough:
+            break
+    held = {r["id"]: r["links"] for r in counted.filter(F.col("id").isin(list(true))).collect()} if true else {}
+    return sum(min(held.get(i, 0) / n, 1.0) for i, n in true.items()) / len(true) if true else 1.0
+
+
+def across(nodes: DataFrame, found: DataFrame, asked: DataFrame, threshold: float, pass_bytes: int = 16 << 20, block: int = 1024) -> DataFrame:
+    """Edges (u, w) that join the component of each node of ``asked`` (id) with those of all nodes
+    it links with: an exact search against all nodes, in passes of bounded bytes. A node gives
+    a component one edge a block at most."""
+    spark = nodes.sparkSession
+    of = spool(nodes.join(found, "id", "left").select("id", "dim", "vec", F.coalesce("component", "id").alias("component")), "of")
+    asked = spool(of.join(asked.select("id"), "id", "left_semi"), "asked")
+    passes = -(-(asked.agg(F.sum(F.octet_length("vec"))).first()[0] or 0) // pass_bytes)
+    out = spark.createDataFrame([], "u long, w long")
+    for k in range(passes):
+        rows = asked.filter(F.pmod(F.xxhash64("id"), F.lit(passes)) == k).orderBy("component", "id").collect()
+        queries = {d: [(r["id"], r["component"], bytes(r["vec"])) for r in rows if r["dim"] == d] for d in {r["dim"] for r in rows}}
+
+        def search(batches: Iterator[pa.RecordBatch], queries=queries) -> Iterator[pa.RecordBatch]:
+            units = {d: (np.array([r[0] for r in x], np.int64), np.array([r[1] for r in x], np.int64), _vectors([r[2] for r in x])) for d, x in queries.items()}
+            for b in batches:
+                ids, dims, blobs, part = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), np.int64), b.column(2).to_pylist(), b.column(3).to_numpy()
+                for d in np.unique(dims):
+                    if int(d) not in units:
+                        continue
+                    on = np.flatnonzero(dims == d)
+                    y = _vectors([blobs[j] for j in on])
+                    whose, theirs, x = units[int(d)]
+                    for at in range(0, len(x), block):
+                        q, i = np.nonzero(x[at : at + block] @ y.T >= threshold)
+                        q += at
+                        apart = theirs[q] != part[on[i]]
+                        q, i = q[apart], i[apart]
+                        if len(q):
+                            _, one = np.unique(np.stack([theirs[q], i]), axis=1, return_index=True)
+                            yield batch(pa.schema([("u", pa.int64()), ("w", pa.int64())]), [whose[q[one]], ids[on[i[one]]]])
+
+        out = out.unionByName(spool(of.mapInArrow(search, "u long, w long"), "across"))
+    return out
 
 
 def linked(nodes: DataFrame, found: DataFrame, threshold: float, block: int = 256) -> DataFrame:
@@ -229,16 +270,25 @@ def near_duplicates(vectors: DataFrame, key: str, vec: str, threshold: float = 0
     nodes = spool(nodes, "nodes")
     n = nodes.count()
     graph = spool(_top(forest(nodes, n, k, trees, leaf, seed), k), "graph")
+
+    def counts(edges: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+        found = components(edges, "u", "w")
+        joined = components(edges.unionByName(across(nodes, found, asked, threshold)), "u", "w")
+        return joined, spool(linked(nodes, joined, threshold), "links")
+
     for attempt in range(again + 1):
         for _ in range(rounds):
             graph = spool(descend(nodes, graph, k, reverse), "graph")
-        held, there = audit(nodes, graph, threshold)
-        if held >= target * there or attempt == again:
+        edges = spool(graph.filter(F.col("sim") >= threshold).select("u", "w"), "near")
+        full = graph.groupBy("u").agg(F.count("*").alias("n"), F.min("sim").alias("least")).filter((F.col("n") >= k) & (F.col("least") >= threshold))
+        found, counted = counts(edges, full.select(F.col("u").alias("id")))
+        if audit(nodes, counted, threshold) >= target:
+            break
+        if attempt == again:  # the target is missed: every node is searched exactly
+            found, counted = counts(edges, nodes)
             break
         k, reverse, seed = 2 * k, 2 * reverse, seed + 1
         graph = spool(_top(graph.unionByName(forest(nodes, n, k, trees, leaf, seed)), k), "graph")
-    found = components(graph.filter(F.col("sim") >= threshold), "u", "w")
-    counted = linked(nodes, found, threshold)
     classes = nodes.select("digest", "id", "mult").join(found, "id", "left").join(counted, "id", "left")
     classes = classes.select("digest", F.coalesce("component", "id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("links"))
     out = rows.select("key", "digest").join(classes, "digest", "left")

@@ -141,6 +141,25 @@ def check_vectors(rows, got):
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {i: (degree[i], parts.get(i, i), parts.get(i, i) == i) for i, _ in rows}
 
 
+def test_links_between_clumps(spark):
+    """Lists full of clump-mates hold no link across, and the audit must not call that whole."""
+    rng = np.random.default_rng(11)
+    base, other = np.linalg.qr(rng.normal(size=(48, 2)))[0].T
+    centres = [base, 0.965 * base + (1 - 0.965**2) ** 0.5 * other]
+    rows = [(100 * c + i, (centres[c] + rng.normal(size=48) * (0.0005 / 48) ** 0.5).astype(np.float32).tolist()) for c in range(2) for i in range(100)]
+    rows += [(1000 + i, rng.normal(size=48).astype(np.float32).tolist()) for i in range(300)]
+    got = nn_descent.near_duplicates(vectors_table(spark, rows), "vec_id", "embedding", leaf=16, trees=2).collect()
+    check_vectors(rows, got)
+    assert {r.n_links for r in got if r.vec_id < 200} == {199}
+
+
+def test_missed_recall_is_searched_exactly(spark):
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(150, 24))
+    rows = [(i, (centres[i % 150] + rng.normal(size=24) * 0.1).astype(np.float32).tolist()) for i in range(300)]
+    check_vectors(rows, nn_descent.near_duplicates(vectors_table(spark, rows), "vec_id", "embedding", k=1, trees=1, leaf=2, rounds=0, again=0).collect())
+
+
 def test_nn_descent(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(300, 32))
