@@ -282,6 +282,26 @@ def test_near_dedup_stage(stages):
     assert not [(a, b) for i, a in enumerate(kept) for b in kept[i + 1 :] if abs(len(after[a]) - len(after[b])) < 0.3 * len(after[a]) and jaccard(after[a], after[b]) >= 0.8]
 
 
+def test_near_dedup_finds_longer_and_shorter_versions(spark, sf):
+    """Texts with new words at the end, or cut short, at 0.80 to 0.90."""
+    import corpus_pipeline
+
+    rng, rows, pairs = random.Random(6), [], []
+    for i in range(120):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        extra = [f"n{rng.randrange(10**6)}" for _ in range(34 + i % 41)]  # 0.80: 296 of 370 shingles
+        pair = (" ".join(words), " ".join(words + extra))
+        pair = pair if i % 2 else pair[::-1]
+        assert 0.8 <= jaccard(*pair) < 0.9
+        pairs.append((2 * i, 2 * i + 1))
+        rows += zip(pairs[-1], pair)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(300)]
+    rows += [(1000, " ".join(base)), (1001, " ".join(base + [f"c{k}" for k in range(90)]))]  # under 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf).collect()}
+    assert kept == {a for a, _ in pairs} | {1000, 1001}
+
+
 @pytest.mark.parametrize("block", [256, 3])
 def test_confirmed_links(spark, block):
     rng = random.Random(11)
