@@ -71,8 +71,32 @@ def pack(histogram: list[tuple[int, int]], capacity: int, most: int | None = Non
 
 
 def pack_into(histogram: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int]]:
-    """The smallest capacity, to a thousandth of a shard, at which the packing needs no more shards."""
-    total = sum(s * n for s, n in histogram)
+    """A packing into so many shards of nearly equal size. A group larger than the average share of
+    what is left gets a shard of its own, and so does the largest where shards would stay empty; the
+    rest is packed at the smallest capacity, to a thousandth of a shard, that needs no more shards."""
+    left = sorted(([s, n] for s, n in histogram if n > 0), reverse=True)
+    total, groups, own = sum(s * n for s, n in left), sum(n for _, n in left), []
+    while True:
+        while left and shards - len(own) > 1 and left[0][0] * (shards - len(own)) > total:
+            total, groups = _alone(left, own, total, groups)
+        found = _smallest([(s, n) for s, n in left], shards - len(own), total)
+        used = len({b for _, b, _ in found})
+        if used == min(groups, shards - len(own)):
+            return [(s, b, 1) for b, s in enumerate(own)] + [(s, b + len(own), n) for s, b, n in found]
+        total, groups = _alone(left, own, total, groups)
+
+
+def _alone(left: list[list[int]], own: list[int], total: int, groups: int) -> tuple[int, int]:
+    """One of the largest groups leaves for a shard of its own."""
+    size = left[0][0]
+    own.append(size)
+    left[0][1] -= 1
+    if not left[0][1]:
+        del left[0]
+    return total - size, groups - 1
+
+
+def _smallest(histogram: list[tuple[int, int]], shards: int, total: int) -> list[tuple[int, int, int]]:
     low = max(-(-total // shards), max((s for s, _ in histogram), default=1))
     if (found := pack(histogram, low, shards)) is not None:
         return found
@@ -106,9 +130,9 @@ def shard(rows: DataFrame, key: str, size: str, group: str, shards: int | None =
     """rows (unique ``key``, ``size`` in bytes, ``group`` to keep together) with
     ``shard`` and ``slot``, which counts a shard's rows from 0 without a gap.
 
-    ``capacity``: fixed; as few shards as the packing needs. Otherwise the smallest
-    capacity at which ``shards`` shards hold everything. A group larger than the
-    capacity gets a shard of its own."""
+    ``capacity``: fixed; as few shards as the packing needs. Otherwise ``shards`` shards of
+    nearly equal size. A group larger than the capacity, or than the average share, gets
+    a shard of its own."""
     rows = spool(rows, "rows")  # what follows reads it thrice
     groups = rows.groupBy(group).agg(F.sum(size).alias("_bytes"))
     groups = ranked(groups.withColumn("_class", size_class(F.col("_bytes"), digits)), [F.col("_class").desc(), F.col(group)], "_rank")

@@ -23,6 +23,20 @@ def test_bins_are_best_fit():
     assert {b for _, b, _ in sharding.pack_into([(5, 8)], 8)} == set(range(8))
 
 
+@pytest.mark.parametrize("histogram, share", [
+    ([(10_000, 1), (1, 20_000)], 1 / 3),  # a group of a third of all: the others share the rest
+    ([(9000, 1), (4000, 1), (1, 17_000)], 0.3),
+    ([(1000, 9)], 2 / 9),
+])
+def test_hot_groups_leave_no_shard_empty(histogram, share):
+    sizes, total = collections.Counter(), sum(s * n for s, n in histogram)
+    for size, b, n in sharding.pack_into(histogram, 8):
+        sizes[b] += size * n
+    assert set(sizes) == set(range(8)) and sum(sizes.values()) == total and max(sizes.values()) <= share * total + 1
+    rest = sorted(sizes.values())[: 8 - sum(n for s, n in histogram if s * 8 > total)]
+    assert max(rest, default=0) - min(rest, default=0) <= (1000 if len(histogram) == 1 else 0.01 * total)
+
+
 def check_shards(docs, got):
     assert sorted(r.doc_id for r in got) == sorted(docs)
     by_text, slots, sizes = collections.defaultdict(set), collections.defaultdict(list), collections.Counter()
