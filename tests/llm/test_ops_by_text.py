@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import zlib
 
 import llm_tools as tools
@@ -182,66 +183,89 @@ def test_viterbi_is_the_best_path():
     assert field.decode([]) == []
 
 
-def brute_lines(docs, least, similarity, least_tokens=3):
-    """The tree over whole texts, line by line."""
-    carriers, first = collections.defaultdict(set), {}
-    star = "\0"
-    for d in sorted(docs):
-        for line in (docs[d] or "").split("\n"):
-            tokens = tuple(star if any(c.isdigit() and c.isascii() for c in w) else w for w in tools.WORDS.findall(line))
-            if len(tokens) >= least_tokens:
-                carriers[tokens].add(d)
-                first.setdefault(tokens, d)
-    leaves = collections.defaultdict(list)
-    for t in carriers:
-        leaves[len(t), t[:3]].append(t)
-    return carriers, first, leaves, star
+STAR = "\0"
+
+
+def brute_templates(line, similarity=0.7, least_tokens=3):
+    """The templates of a line: itself and with one or two of its eight runs generalised."""
+    tokens = [STAR if any(c.isdigit() and c.isascii() for c in w) else w for w in tools.WORDS.findall(line)]
+    n = len(tokens)
+    if n < least_tokens:
+        return set()
+    lead = min(n, 3)
+    cuts = [lead + (n - lead) * k // 8 for k in range(9)]
+    out = set()
+    for mask in [(), *itertools.combinations(range(8), 1), *itertools.combinations(range(8), 2)]:
+        places = [set(range(cuts[k], cuts[k + 1])) for k in mask]
+        field = set().union(*places)
+        if all(places) and len(field) <= 0.3 * n + 1e-9 and any(t != STAR for i, t in enumerate(tokens) if i not in field):
+            out.add((n, mask, tuple(None if i in field else t for i, t in enumerate(tokens))))
+    return out
+
+
+def brute_lines(docs, least=5):
+    """The texts without the lines of recurring templates."""
+    carriers = collections.defaultdict(set)
+    for d, t in docs.items():
+        for line in (t or "").split("\n"):
+            for x in brute_templates(line):
+                carriers[x].add(d)
+    out = {}
+    for d, t in docs.items():
+        kept = [line for line in (t or "").split("\n") if not any(len(carriers[x]) >= least and min(carriers[x]) != d for x in brute_templates(line))]
+        out[d] = (None if t is None else "\n".join(kept), (t or "").count("\n") + 1 - len(kept))
+    return out
+
+
+def dropped(spark, rows, **how):
+    return {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.drop_templates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", **how).collect()}
 
 
 def test_line_dedup_drops_recurring_templates(spark):
     rows = [(i, f"Own words {'abcdefghij'[i % 10]} stand alone number {'klmnopqrst'[i // 10]} here\nPage {i} of the {i * 7} visitors today\nAll rights reserved.") for i in range(40)]
     rows += [(100 + i, f"Dear reader mister {n} we greet you on this fine day today\nunique tail {n} never seen twice {n}") for i, n in enumerate("Ann Bob Cyd Dan Eve Fay".split())]
-    got = {r.doc_id: r for r in line_dedup.drop_templates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
-    assert got[0].n_dropped == 0 and got[0].text == rows[0][1]  # the first carrier keeps its lines
-    assert all(got[i].text == rows[i][1].split("\n")[0] for i in range(1, 40))
-    assert got[100].n_dropped == 0 and all(got[100 + i].text.startswith("unique tail") for i in range(1, 6))
+    got = dropped(spark, rows)
+    assert got[0] == (rows[0][1], 0)  # the first carrier keeps its lines
+    assert all(got[i][0].split("\n")[1:] == [] for i in range(1, 40))
+    assert got[100][1] == 0 and all(got[100 + i][0].startswith("unique tail") for i in range(1, 6))
+    assert got == brute_lines(dict(rows))
+
+
+@pytest.mark.parametrize("n", [2000, 2100, 20_000])
+def test_one_template_of_any_number_of_lines(spark, n):
+    name = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    got = dropped(spark, [(i, f"Dear reader mister {name(i)} we greet you on this fine day") for i in range(n)])
+    assert sum(x[1] for x in got.values()) == n - 1 and got[0][1] == 0
+
+
+def test_fields_of_few_values_and_carriers_as_documents(spark):
+    pairs = [(i, f"Now the user {'abcdefghij'[i % 10]}x logged in from host {'klmnopqrst'[i // 10]}y and left again soon") for i in range(100)]
+    assert [x[1] for _, x in sorted(dropped(spark, pairs).items())] == [0] + [1] * 99  # no value pair occurs twice
+    two = [(1, "\n".join(f"Dear reader mister {n} we greet you on this fine day" for n in ("Ann", "Bob", "Cyd", "Dan"))), (2, "Dear reader mister Eve we greet you on this fine day")]
+    assert all(x[1] == 0 for x in dropped(spark, two).values())  # five lines, two documents
 
 
 def test_line_dedup_against_brute_force(spark, sf):
-    """Lines that recur as they are, digits apart, are those that brute force finds; what else
-    goes differs from one that stays in under a third of its words."""
     docs = tools.texts(table(spark, sf, "documents"))
-    got = {r.doc_id: r for r in line_dedup.op2_line_dedup(spark, sf).collect()}
-    assert got.keys() == docs.keys()
-    carriers, first, leaves, star = brute_lines(docs, 5, 0.7)
-    masked = lambda line: tuple(star if any(c.isdigit() and c.isascii() for c in w) else w for w in tools.WORDS.findall(line))
-    for d, t in docs.items():
-        before, after = collections.Counter((t or "").split("\n")), collections.Counter((got[d].text or "").split("\n"))
-        if t is None:
-            assert got[d].text is None
-            continue
-        gone = before - after
-        assert sum(gone.values()) in (got[d].n_dropped, got[d].n_dropped - 1)  # a text that lost all is one empty line
-        for line in before:
-            m = masked(line)
-            if len(m) >= 3 and len(carriers[m]) >= 5 and first[m] != d:
-                assert line in gone
-        for line in gone:
-            m = masked(line)
-            alike = [o for o in leaves[len(m), m[:3]] if sum(a == b for a, b in zip(o, m)) >= 0.7 * len(m) - 1e-9]
-            assert len(set().union(*(carriers[o] for o in leaves[len(m), m[:3]]))) >= 5 and alike
-
-
-@pytest.mark.parametrize("leaf_lines", [2048, 1])
-def test_line_dedup_of_nasty_rows(spark, leaf_lines):
+    got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.op2_line_dedup(spark, sf).collect()}
+    want = brute_lines(docs)
+    assert sum(n for _, n in want.values()) > 0
+    assert {d: (t or "", n) for d, (t, n) in got.items()} == {d: (t or "", n) for d, (t, n) in want.items()}
+    assert all((got[d][0] is None) == (docs[d] is None) for d in docs)
+
+
+def test_line_dedup_of_nasty_rows(spark):
     docs = tools.nasty_documents(spark)
-    out = line_dedup.drop_templates(docs, "doc_id", "text", carry=True, leaf_lines=leaf_lines, least_carriers=2)
+    out = line_dedup.drop_templates(docs, "doc_id", "text", carry=True, least_carriers=2)
     assert out.columns == docs.columns and out.count() == 13
     got = tools.texts(out)
     assert got[1] == tools.PROSE and got[2] == "" and got[3] is None and got[4] == "" and got[10] == tools.texts(docs)[10]
     fewer = line_dedup.drop_templates(docs, "doc_id", "text", carry=True, keep_emptied=False, least_carriers=2)
     assert {r.doc_id for r in fewer.collect()} == set(range(1, 14)) - {2}
     assert line_dedup.drop_templates(docs.limit(0), "doc_id", "text").count() == 0
+    odd = [(None, "a line of its own"), (None, "a line of its own"), (7, "a line of its own"), (7, "a line of its own"), (9, None)]
+    got = line_dedup.drop_templates(spark.createDataFrame(odd, "doc_id long, text string"), "doc_id", "text", least_carriers=2).collect()
+    assert sorted((r.doc_id or 0, r.text, r.n_dropped) for r in got if r.text is not None) == [(0, "", 1)] * 2 + [(7, "a line of its own", 0)] * 2
 
 
 def test_raking_meets_its_targets(spark, sf):
