@@ -33,7 +33,7 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
-#: Ten rounds of raking as a recursion with window sums.
+#: Raking as a recursion with window sums, until a round finds every marginal within 0.5 %.
 _OP1_SQL = r"""
 WITH RECURSIVE marked AS (
   SELECT doc_id, coalesce(source, '\N') AS source, coalesce(lang, '\N') AS lang,
@@ -42,21 +42,32 @@ WITH RECURSIVE marked AS (
   FROM documents
 ), cells AS (
   SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM marked GROUP BY ALL
-), s AS (SELECT source, CASE WHEN source = 'src0' THEN 2.0 ELSE 1.0 END::DOUBLE AS w FROM (SELECT DISTINCT source FROM cells)),
-l AS (SELECT lang, CASE lang WHEN 'en' THEN 4.0 WHEN 'de' THEN 2.0 WHEN 'fr' THEN 2.0 WHEN 'es' THEN 2.0 ELSE 1.0 END::DOUBLE AS w FROM (SELECT DISTINCT lang FROM cells)),
-t AS (SELECT topic, 1.0::DOUBLE AS w FROM (SELECT DISTINCT topic FROM cells)),
-start AS (
-  SELECT c.source, c.lang, c.topic, c.tokens, c.tokens / sum(c.tokens) OVER () AS fitted,
-    s.w / (SELECT sum(w) FROM s) AS ts, l.w / (SELECT sum(w) FROM l) AS tl, t.w / (SELECT sum(w) FROM t) AS tt
-  FROM cells c JOIN s USING (source) JOIN l USING (lang) JOIN t USING (topic)
+), values_ AS (
+  SELECT 's' AS m, source AS v, sum(tokens) AS n FROM cells GROUP BY ALL
+  UNION ALL SELECT 'l', lang, sum(tokens) FROM cells GROUP BY ALL
+  UNION ALL SELECT 't', topic, sum(tokens) FROM cells GROUP BY ALL
+), named AS (
+  SELECT *, CASE WHEN m = 's' AND v = 'src0' THEN 0.1::DOUBLE WHEN m = 'l' AND v = 'en' THEN 0.4::DOUBLE WHEN m = 'l' AND v IN ('de', 'fr', 'es') THEN 0.2::DOUBLE WHEN m = 't' AND v = 't0' THEN 0.15::DOUBLE END AS s
+  FROM values_
+), sums AS (
+  SELECT *, coalesce(sum(s) OVER w, 0) AS given, coalesce(sum(n) FILTER (WHERE s IS NULL) OVER w, 0) AS other, sum(n) OVER w AS whole
+  FROM named WINDOW w AS (PARTITION BY m)
+), shares AS (
+  SELECT m, v, n, whole, CASE WHEN other = 0 THEN s / given WHEN given < 1 - 1e-12 THEN coalesce(s, (1 - given) * n / other)
+    ELSE coalesce(s / given * (1 - other / whole), n / whole) END AS share FROM sums
+), scale AS (SELECT least(0.5, 0.8 * min(n / whole / share)) AS x, max(whole) AS whole FROM shares
 ), raked AS (
-  SELECT 0 AS k, * FROM start
+  SELECT 0 AS k, c.*, x AS q, s.share * x * whole_ AS ts, l.share * x * whole_ AS tl, t.share * x * whole_ AS tt, 1.0::DOUBLE AS off
+  FROM cells c JOIN shares s ON s.m = 's' AND s.v = source JOIN shares l ON l.m = 'l' AND l.v = lang JOIN shares t ON t.m = 't' AND t.v = topic, (SELECT x, whole AS whole_ FROM scale)
   UNION ALL
-  SELECT k + 1, source, lang, topic, tokens, f2 * tt / sum(f2) OVER (PARTITION BY topic), ts, tl, tt FROM (
-    SELECT *, f1 * tl / sum(f1) OVER (PARTITION BY lang) AS f2 FROM (
-      SELECT *, fitted * ts / sum(fitted) OVER (PARTITION BY source) AS f1 FROM raked WHERE k < 10))
+  SELECT k + 1, source, lang, topic, tokens, q2 * tt / g3, ts, tl, tt, max(greatest(o1, o2, abs(g3 / tt - 1))) OVER () FROM (
+    SELECT *, sum(tokens * least(1, q2)) OVER (PARTITION BY topic) AS g3 FROM (
+      SELECT *, q1 * tl / g2 AS q2, abs(g2 / tl - 1) AS o2 FROM (
+        SELECT *, sum(tokens * least(1, q1)) OVER (PARTITION BY lang) AS g2 FROM (
+          SELECT *, q * ts / g1 AS q1, abs(g1 / ts - 1) AS o1 FROM (
+            SELECT *, sum(tokens * least(1, q)) OVER (PARTITION BY source) AS g1 FROM raked WHERE k < 60 AND off > 5e-3)))))
 ), odds AS (
-  SELECT source, lang, topic, least(1.0, fitted * (SELECT sum(tokens) FROM cells) * 0.5 / tokens) AS p FROM raked WHERE k = 10
+  SELECT source, lang, topic, least(1.0, q) AS p FROM raked WHERE k = (SELECT max(k) FROM raked)
 )
 SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability,
   (('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0) < p AS sampled

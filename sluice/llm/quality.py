@@ -8,12 +8,16 @@ many repeated passages).
 
 The field is fitted on the driver on a bounded sample of labelled rows: at most
 ``train_documents`` (parameter) documents, those whose ids hash lowest; of each only the
-feature masks of its lines travel. Lines take their document's quality as their label.
-Without labels of both kinds the prior weights below are used.
+feature masks and lengths of its lines travel. Labels are of documents, so the lines' are latent:
+in good documents a line starts as content, unless it has rights or licence wording; in bad ones
+as what its features speak for, by their odds between bad and good documents. Then, in turns, a field is
+fitted and the lines take the labels it decodes, as long as a bad document keeps a boilerplate line
+and a good one its content. So documents of both kinds of lines are in the fit, and the moves
+between labels are learnt too. Without labels of both kinds the prior weights below are used.
 
 A null text has no words and no lines, as has an empty one: base_failed, not kept. Very
-long texts are read whole. Equal rows get equal verdicts; an empty table gives no rows;
-extra columns are ignored.
+long texts are read whole, every line of any length with all its features. Equal rows, and rows that
+repeat an id or lack one, are judged each by its own text; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,18 +42,23 @@ FEATURES = (
 )
 #: Weights towards content where nothing can be fitted: bias, then one a feature.
 PRIOR = (2.0, -0.3, -0.3, -3.0, -3.0, -3.0, -1.0, 0.5, -2.0, -1.5, 0.0)
-_LEGAL = re.compile(r"rights reserved|licen[cs]ed? under|copyright|\(c\)|©", re.I)
+_LICENCE = re.compile(r"licen[cs]ed? under")
+_LEGAL_BIT = 8
 _DIGIT = re.compile(r"[0-9]")
 
 
+def _legal(line: str) -> bool:
+    low = line.lower()
+    return "rights reserved" in low or "copyright" in low or "(c)" in low or "©" in low or ("licen" in low and bool(_LICENCE.search(low)))
+
+
 def line_mask(line: str, words: list[str], symbols: int, duplicate: bool) -> int:
     n = len(words)
     mask = (n <= 8) | (n <= 3) << 1 | (symbols * 20 > len(line)) << 2 | duplicate << 5
     mask |= (2 * sum(map(str.isupper, words)) > n and n > 2) << 3
     mask |= (n > 5 and 2 * len(set(words)) < n) << 4
     mask |= (words[-1][-1] in ".!?:…\"'»)") << 6 | ("!!" in line) << 7
-    if n <= 40:
-        mask |= bool(_LEGAL.search(line)) << 8 | bool(_DIGIT.search(line)) << 9
+    mask |= _legal(line) << _LEGAL_BIT | bool(_DIGIT.search(line)) << 9
     return int(mask)
 
 
@@ -144,23 +153,23 @@ class Field:
         return out[::-1]
 
     @classmethod
-    def fit(cls, sequences: list[tuple[list[int], int]], rounds: int = 150, rate: float = 0.3, decay: float = 1e-3, chunk: int = 32) -> Field:
-        """Gradient ascent on the conditional likelihood, forward-backward over padded chunks
-        of ``chunk`` lines (whole texts, however long, are cut into as many chunks as needed)."""
-        parts = [(m[k : k + chunk], y) for m, y in sequences for k in range(0, len(m), chunk)]
-        if not parts or len({y for _, y in parts}) < 2:
+    def fit(cls, sequences: list[tuple[list[int], list[int]]], rounds: int = 120, rate: float = 1.0, decay: float = 1e-4, decay_moves: float = 1e-2, chunk: int = 32) -> Field:
+        """Gradient ascent on the conditional likelihood of (masks, labels), forward-backward over padded
+        chunks of ``chunk`` lines (whole texts, however long, are cut into as many chunks as needed)."""
+        parts = [(m[k : k + chunk], y[k : k + chunk]) for m, y in sequences for k in range(0, len(m), chunk)]
+        if len({y for _, labels in parts for y in labels}) < 2:
             return cls.prior()
         n, d = len(parts), len(FEATURES) + 1
         masks, on = np.zeros((n, chunk), np.int64), np.zeros((n, chunk), bool)
-        labels = np.array([y for _, y in parts])
-        for i, (m, _) in enumerate(parts):
-            masks[i, : len(m)], on[i, : len(m)] = m, True
+        labels = np.zeros((n, chunk), np.int64)
+        for i, (m, y) in enumerate(parts):
+            masks[i, : len(m)], labels[i, : len(m)], on[i, : len(m)] = m, y, True
         x = np.concatenate([np.ones((n, chunk, 1)), (masks[..., None] >> np.arange(d - 1)) & 1], axis=2)
         lines = on.sum()
-        seen = (x * (on & (labels[:, None] == 1))[..., None]).sum((0, 1)) / lines
+        seen = (x * (on & (labels == 1))[..., None]).sum((0, 1)) / lines
         real = np.zeros((2, 2))
-        both = (on[:, 1:] & on[:, :-1]).sum(1)
-        np.add.at(real, (labels, labels), both)
+        both = on[:, 1:] & on[:, :-1]
+        np.add.at(real, (labels[:, :-1][both], labels[:, 1:][both]), 1)
         real /= lines
         w, t = np.array(PRIOR), np.zeros((2, 2))
         gw, gt = np.zeros(d), np.zeros((2, 2))
@@ -177,27 +186,69 @@ class Field:
             z = np.logaddexp.reduce(fwd[:, -1], axis=1)
             p = np.exp(fwd + bwd - z[:, None, None])[..., 1] * on
             joint = np.exp(fwd[:, :-1, :, None] + t + (e[:, 1:] + bwd[:, 1:])[:, :, None, :] - z[:, None, None, None]) * on[:, 1:, None, None]
-            dw, dt = seen - (x * p[..., None]).sum((0, 1)) / lines - decay * w, real - joint.sum((0, 1)) / lines - decay * t
+            dw, dt = seen - (x * p[..., None]).sum((0, 1)) / lines - decay * w, real - joint.sum((0, 1)) / lines - decay_moves * t
             gw, gt = gw + dw * dw, gt + dt * dt
             w = w + rate * dw / (np.sqrt(gw) + 1e-8)
             t = t + rate * dt / (np.sqrt(gt) + 1e-8)
         return cls(w, t)
 
 
+def evidence(documents: list[tuple[list[int], list[int], int]]) -> np.ndarray:
+    """What each feature mask speaks for boilerplate: the sum of its features' log odds between the
+    lines of bad and of good documents, of (masks, sizes, good)."""
+    seen = np.ones((2, len(FEATURES)))
+    lines = np.full(2, 2.0)
+    for masks, _, good in documents:
+        seen[good] += ((np.array(masks)[:, None] >> np.arange(len(FEATURES))) & 1).sum(axis=0)
+        lines[good] += len(masks)
+    rate = seen / lines[:, None]
+    bits = (np.arange(1 << len(FEATURES))[:, None] >> np.arange(len(FEATURES))) & 1
+    return np.log(np.where(bits, rate[0] / rate[1], (1 - rate[0]) / (1 - rate[1]))).sum(axis=1)
+
+
+def fit_lines(documents: list[tuple[list[int], list[int], int]], turns: int = 2, content_share: float = 0.5) -> tuple[Field, list[list[int]]]:
+    """A field, and the line labels on which it was fitted, from (masks, sizes, good) of documents."""
+    if len({good for _, _, good in documents}) < 2:
+        return Field.prior(), [[int(good)] * len(masks) for masks, _, good in documents]
+    speaks = evidence(documents)
+    labels = []
+    for masks, _, good in documents:
+        if good:
+            labels.append([1 - (m >> _LEGAL_BIT & 1) for m in masks])
+        else:
+            most = max(speaks[m] for m in masks)
+            labels.append([int(speaks[m] < min(most, 0.0)) if most <= 0 else int(speaks[m] <= 0) for m in masks])
+    for turn in range(turns):
+        field = Field.fit([(masks, y) for (masks, _, _), y in zip(documents, labels)])
+        if turn + 1 < turns:
+            for i, (masks, sizes, good) in enumerate(documents):
+                told = [y & ~(m >> _LEGAL_BIT) & 1 for m, y in zip(masks, field.decode(masks))]
+                content = sum(n for n, y in zip(sizes, told) if y)
+                if (content >= content_share * sum(sizes)) if good else (0 in told):
+                    labels[i] = told
+    return field, labels
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, target: str = "quality", train_documents: int = 2000) -> Field:
     """A field fitted on at most ``train_documents`` labelled documents."""
+    return fit_lines(sample(docs, labels, key, text, target, train_documents))[0]
+
+
+def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, target: str = "quality", train_documents: int = 2000) -> list[tuple[list[int], list[int], int]]:
+    """(masks, sizes, good) of at most ``train_documents`` labelled documents with lines."""
     chosen = labels.filter(F.col(key).isNotNull() & F.col(target).isNotNull()).select(F.col(key).cast("long").alias("_k"), F.col(target).cast("int").alias("_y"))
     chosen = chosen.groupBy("_k").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_k"), "_k").limit(train_documents)
-    sample = docs.select(F.col(key).cast("long").alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "_k").select("_k", "_y", "text")
-    schema = pa.schema([("k", pa.int64()), ("y", pa.int32()), ("masks", pa.list_(pa.int32()))])
+    of = docs.select(F.col(key).cast("long").alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "_k").select("_k", "_y", "text")
+    schema = pa.schema([("k", pa.int64()), ("y", pa.int32()), ("masks", pa.list_(pa.int32())), ("sizes", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield batch(schema, [b.column(0), b.column(1), [Profile(t).masks for t in b.column(2).to_pylist()]])
+            profiles = [Profile(t) for t in b.column(2).to_pylist()]
+            yield batch(schema, [b.column(0), b.column(1), [p.masks for p in profiles], [p.sizes for p in profiles]])
 
-    rows = sample.mapInArrow(run, "k long, y int, masks array<int>").collect()
-    rows.sort(key=lambda r: (r["k"], len(r["masks"])))
-    return Field.fit([(r["masks"], int(r["y"] > 0)) for r in rows if r["masks"]])
+    rows = of.mapInArrow(run, "k long, y int, masks array<int>, sizes array<int>").collect()
+    rows.sort(key=lambda r: (r["k"], r["masks"], r["sizes"]))
+    return [(r["masks"], r["sizes"], int(r["y"] > 0)) for r in rows if r["masks"]]
 
 
 def judge(docs: DataFrame, key: str, text: str, field: Field, **limits) -> DataFrame:

@@ -158,6 +158,50 @@ def test_quality_holds_out(spark):
     assert np.mean(clean) > 0.98 and np.mean([bool(y) == k for y, k in got]) > 0.95
 
 
+def best_path(field, masks):
+    """The labels of the best path, of all paths; of equal ones that with most content at the end."""
+    score = lambda path: sum(field.emit[m] * y for m, y in zip(masks, path)) + sum(field.moves[a, b] for a, b in zip(path, path[1:]))
+    return max(itertools.product((0, 1), repeat=len(masks)), key=lambda path: (round(score(path), 9), path[::-1]))
+
+
+def test_verdicts_against_all_paths(spark, sf):
+    """kept, of texts of up to ten lines, from the best of all label sequences."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    field = quality.train(docs, labels, "doc_id", "text")
+    texts, n = tools.texts(docs), 0
+    for r in quality.judge(docs, "doc_id", "text", field).collect():
+        p = quality.Profile(texts[r.doc_id] or "")
+        if 0 < len(p.masks) <= 10:
+            content = sum(s for s, y in zip(p.sizes, best_path(field, p.masks)) if y)
+            assert r.n_content_words == content and r.kept == (not r.base_failed and 2 * content >= r.n_words)
+            n += 1
+    assert n > 100
+
+
+def test_boilerplate_lines_inside_documents(spark):
+    """Lines are told from their documents: fitted on whole documents' labels alone."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    field = quality.train(docs, labels, "doc_id", "text")
+    good = "\n".join(f"The harbour of the old town lies beside the river, and every morning the boats go out to sea number {i}." for i in range(4))
+    bad = ["HOME!! NEWS!! SPORT!! LOGIN!! CART!!", "home | news | sport | login | cart | help | about | terms", "Buy*** now$$$ cheap### deals%%% here&&& today***"]
+    for line in bad:
+        rows = good.split("\n")
+        marked = field.decode(quality.Profile("\n".join([*rows[:2], line, line + " too", *rows[2:]])).masks)
+        assert marked == [1, 1, 0, 0, 1, 1]
+    documents = quality.sample(docs, labels, "doc_id", "text")
+    fitted = quality.fit_lines(documents)[1]
+    mixed = np.mean([len(set(y)) == 2 for y in fitted if len(y) > 1])
+    assert mixed > 0.05
+    judged = quality.judge(docs, "doc_id", "text", field).filter("n_content_words > 0 and n_content_words < n_words").count()
+    assert judged > 50
+
+
+def test_long_lines_have_all_features():
+    line = "word " * 100 + "All rights reserved 2020"
+    assert quality.Profile(line).masks[0] >> 8 == 3 and quality.Profile("plain words of no such kind").masks[0] >> 8 == 0
+
+
 def test_quality_of_nasty_rows(spark, tmp_path):
     docs = tools.nasty_documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -268,16 +312,38 @@ def test_line_dedup_of_nasty_rows(spark):
     assert sorted((r.doc_id or 0, r.text, r.n_dropped) for r in got if r.text is not None) == [(0, "", 1)] * 2 + [(7, "a line of its own", 0)] * 2
 
 
-def test_raking_meets_its_targets(spark, sf):
-    light = mixing.weights(table(spark, sf, "documents"), "doc_id", "text")
-    names = ["source", "lang", "topic"]
-    cells = light.groupBy(*names).agg({"tokens": "sum"}).withColumnRenamed("sum(tokens)", "tokens")
-    fitted = mixing.rake(cells, names, mixing.TARGETS, rounds=25).toPandas()
-    assert abs(fitted["fitted"].sum() - 1) < 1e-9
-    lang = fitted.groupby("lang")["fitted"].sum()
-    assert np.allclose(lang[["de", "en", "es", "fr"]], [0.2, 0.4, 0.2, 0.2], atol=0.02)
-    topics = fitted.groupby("topic")["fitted"].sum()
-    assert np.allclose(topics, 1 / len(topics), atol=1e-9)  # the margin fitted last holds exactly
+NAMES = ["source", "lang", "topic"]
+
+
+def test_drawn_tokens_meet_the_targets(spark):
+    at = "/root/testdata/sf0.01"
+    cells = mixing.odds(mixing.weights(table(spark, at, "documents"), "doc_id", "text"), NAMES)
+    assert cells.filter("probability > 1").count() == 0
+    by = {(r.margin, r.value): (r.target, r.expected) for r in mixing.report(cells, NAMES, mixing.TARGETS).collect()}
+    assert all(abs(t - e) <= 6e-3 * t + 1e-9 for t, e in by.values())
+    assert abs(sum(by["lang", x][0] for x in ("en", "de", "fr", "es")) + by.get(("lang", "\\N"), (0,))[0] - 1) < 1e-9
+    assert abs(by["source", "src0"][0] - 0.1) < 1e-9
+    drawn = mixing.op1_source_mixing(spark, at).filter("sampled").groupBy("lang").agg({"tokens": "sum"}).toPandas().set_index("lang")["sum(tokens)"]
+    assert np.allclose([by["lang", x][1] for x in drawn.index], drawn / drawn.sum(), atol=0.04)
+
+
+def test_full_cells_are_fixed_and_the_rest_raked_on(spark):
+    """A cell that cannot give what plain raking asks: the others of its values make up for it."""
+    cells = spark.createDataFrame([("a", "x", "t", 10.0), ("a", "y", "t", 90.0), ("b", "x", "t", 290.0), ("b", "y", "t", 210.0)], "source string, lang string, topic string, tokens double")
+    targets = {"source": {"a": 0.3, "b": 0.7}, "lang": {"x": 0.6, "y": 0.4}, "topic": {}}
+    fitted = mixing.rake(cells, NAMES, targets, keep=0.5, fill=1.0)
+    got = {(r.source, r.lang): (r.tokens * min(1.0, r.odds), r.odds) for r in fitted.collect()}
+    assert max(x[1] for x in got.values()) > 1 and got["a", "x"][0] == 10.0
+    whole = sum(x[0] for x in got.values())
+    assert abs(sum(v[0] for k, v in got.items() if k[0] == "a") - 0.3 * whole) < 0.01 * whole
+    assert abs(sum(v[0] for k, v in got.items() if k[1] == "x") - 0.6 * whole) < 0.01 * whole
+
+
+def test_own_topics_and_unnamed_values(spark):
+    docs = spark.range(900).selectExpr("id AS doc_id", "'one two three four' AS text", "if(id % 3 = 0, 'hot', null) AS source", "'en' AS lang", "if(id % 10 = 0, 'rare', 'often') AS topic")
+    cells = mixing.odds(mixing.weights(docs, "doc_id", "text"), NAMES, {"topic": {"rare": 0.2}, "source": {}, "lang": {"en": 1.0, "xx": 1.0}})
+    by = {(r.margin, r.value): (r.target, r.expected) for r in mixing.report(cells, NAMES, {"topic": {"rare": 0.2}, "source": {}, "lang": {"en": 1.0, "xx": 1.0}}).collect()}
+    assert by["topic", "rare"][0] == 0.2 and by["lang", "en"][0] == 1.0 and abs(by["source", "hot"][0] - 1 / 3) < 1e-9
 
 
 def test_sampling_follows_the_odds(spark, sf):
@@ -292,10 +358,12 @@ def test_sampling_follows_the_odds(spark, sf):
 
 def test_mixing_of_nasty_rows(spark):
     docs = tools.nasty_documents(spark)
-    assert mixing.sample(docs, "doc_id", "text", keep=1e12).count() == 13
+    assert mixing.sample(docs, "doc_id", "text", targets={}, keep=1e12, fill=1.0).count() == 13
     assert mixing.sample(docs.limit(0), "doc_id", "text").count() == 0
 
 
 def test_mixing_runs_no_python(spark, sf):
-    plan = mixing.op1_source_mixing(spark, sf)._jdf.queryExecution().toString()
+    light = mixing.weights(table(spark, sf, "documents"), "doc_id", "text")
+    cells = light.groupBy(*NAMES).agg({"tokens": "sum"}).withColumnRenamed("sum(tokens)", "tokens")
+    plan = mixing.rake(cells, NAMES, mixing.TARGETS, rounds=1)._jdf.queryExecution().toString() + light._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
