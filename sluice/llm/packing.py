@@ -120,12 +120,13 @@ def pack_documents(docs: DataFrame, key: str, text: str, path: str | None = None
     """Every piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     arrow_rows(docs.sparkSession)
     path = path or vocabulary()
+    odd = bpe.odd_characters(path)
     end = int(end_id).to_bytes(4, "little")
     fields = [("key", "long"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"), ("doc_tokens", "long"), ("seq", "long"), ("offset", "long"), ("node", "long"), ("fill", "long")]
     schema = pa.schema([(n, pa.int64()) for n, _ in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, node = bpe.Encoder(path), TaskContext.get().partitionId()
+        encoder, node = bpe.Encoder(path, odd), TaskContext.get().partitionId()
         packer = Packer(window, open_windows, least_cut, node << 32)
         for b in batches:
             cols: list[list] = [[] for _ in range(7)]

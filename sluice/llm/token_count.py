@@ -2,10 +2,11 @@
 
 Offline, the driver proves which vocabulary strings encode alone as one token. On the
 executors a text is split into pre-tokens; those proven count one by a look-up, and only
-the rest is merged, once for each distinct pre-token a worker meets.
+the rest is merged, once for each distinct pre-token while it stays in a worker's bounded cache.
+This holds for texts of any script, special strings in them split out first.
 
-A null text counts as empty: no bytes, no tokens. Whole texts, however long. Repeated rows
-give repeated rows; extra columns are ignored; an empty table gives no rows.
+A null text counts as empty: no bytes, no tokens. Whole texts, however long. Repeated rows, and rows that
+repeat an id or lack one, give a row each; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,11 +34,11 @@ def count_tokens(docs: DataFrame, key: str, text: str, path: str | None = None,
     spark = docs.sparkSession
     arrow_rows(spark)
     path = path or vocabulary()
-    proven = spark.sparkContext.broadcast(bpe.whole_tokens(path))  # bounded by the vocabulary
+    proof = spark.sparkContext.broadcast(bpe.Proof(path))  # bounded by the vocabulary
     schema = pa.schema([("key", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = bpe.TokenCounter(path, proven.value)
+        counter = bpe.TokenCounter(proof.value)
         for b in batches:
             n = counter.count(b.column(1).to_pylist())
             yield batch(schema, [b.column(0), b.column(2), n, [x > limit for x in n]])

@@ -76,9 +76,23 @@ def test_token_counts(spark, sf, tmp_path, library, nasty):
 
 
 def test_whole_tokens_are_proven(library):
-    proven = bpe.whole_tokens(token_count.vocabulary())
+    proven = bpe.Proof(token_count.vocabulary()).whole
     assert len(proven) > 40_000 and " the" in proven
     assert all(len(e.ids) == 1 for e in library.encode_batch(proven[::97], add_special_tokens=False))
+    assert any(ord(c) > 0x400 for t in proven for c in t)
+
+
+SCRIPTS = ["Привет, мир! Это дом 42.", "漢字とカナ テスト、です。 123", "مرحبا بالعالم ١٢٣", "नमस्ते दुनिया १२३", "한국어 문장 입니다", "Ελλάδα ὁ λόγος", "😀 👩‍👩‍👧 ok\u3000x", "a<|endoftext|> b<|endoftext|><|endoftext|>\n c", "x\u2028y \x1c z\x85 ", "\U0003134f \u0c5c \U0001e6c0 new", "ß's don't I'LL we've", "\ufeff  tail  \n\n"]
+
+
+def test_every_script_takes_the_shortcut(library):
+    counter, encoder = bpe.TokenCounter(bpe.Proof(token_count.vocabulary())), bpe.Encoder(token_count.vocabulary(), bpe.odd_characters(token_count.vocabulary()))
+    want = [library.encode(t, add_special_tokens=False).ids for t in SCRIPTS]
+    assert counter.count(SCRIPTS) == [len(x) for x in want]
+    assert [encoder.ids(t) for t in SCRIPTS] == [np.asarray(x, "<u4").tobytes() for x in want]
+    assert [counter.pretokens(t) is None for t in SCRIPTS] == ["\u0c5c" in t for t in SCRIPTS]
+    small = bpe.TokenCounter(bpe.Proof(token_count.vocabulary()), entries=10, size=10)  # a cache that never holds
+    assert small.count(SCRIPTS * 2) == [len(x) for x in want] * 2
 
 
 def check_packing(docs, got, library, window=1024):
