@@ -25,10 +25,13 @@ def arrow_rows(spark: SparkSession, rows: int = 1000) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is set, as in tests."""
+    """The folder all executors share; a temporary one only where none is set and all run in one
+    JVM, as in tests."""
     sc = spark.sparkContext
     if not (at := spark.conf.get("spark.checkpoint.dir", "")):
         if not (at := sc.getCheckpointDir() or ""):
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             at = tempfile.mkdtemp(prefix="sluice-")
             sc.setCheckpointDir(at)
     return at.rstrip("/")

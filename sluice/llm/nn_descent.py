@@ -16,8 +16,9 @@ Below ``target`` of all their links, lists get twice as long, as many new trees
 more rounds follow; if ``again`` of these don't reach it, every node is searched exactly.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with
-nothing. Vectors of different lengths never link. Of repeated ids each row is judged by its own vector.
-An empty table gives no rows; extra columns are ignored.
+nothing. Vectors of different lengths never link; of any length, they are taken whole. Nodes have ids of their own, so that
+of repeated ids each row is judged by its own vector. A null id names no component: vectors that reach only such have
+a null one, and are not kept. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -266,8 +267,8 @@ def near_duplicates(vectors: DataFrame, key: str, vec: str, threshold: float = 0
     """(key, n_links, component_id, kept) of every row."""
     arrow_rows(vectors.sparkSession, 5000)
     rows = spool(parse(vectors, key, vec), "vectors")
-    nodes = rows.filter("digest is not null").groupBy("digest").agg(F.min("key").alias("id"), F.count("*").alias("mult"), F.first("dim").alias("dim"), F.first("vec").alias("vec"))
-    nodes = spool(nodes, "nodes")
+    nodes = rows.filter("digest is not null").groupBy("digest").agg(F.min("key").alias("least"), F.count("*").alias("mult"), F.first("dim").alias("dim"), F.first("vec").alias("vec"))
+    nodes = spool(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
     n = nodes.count()
     graph = spool(_top(forest(nodes, n, k, trees, leaf, seed), k), "graph")
 
@@ -289,11 +290,12 @@ def near_duplicates(vectors: DataFrame, key: str, vec: str, threshold: float = 0
             break
         k, reverse, seed = 2 * k, 2 * reverse, seed + 1
         graph = spool(_top(graph.unionByName(forest(nodes, n, k, trees, leaf, seed)), k), "graph")
-    classes = nodes.select("digest", "id", "mult").join(found, "id", "left").join(counted, "id", "left")
-    classes = classes.select("digest", F.coalesce("component", "id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("links"))
-    out = rows.select("key", "digest").join(classes, "digest", "left")
-    component = F.coalesce("component", "key")
-    return out.select(F.col("key").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("key") == component).alias("kept"))
+    of = nodes.select("digest", "id", "mult", "least").join(found, "id", "left").join(counted, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labels = of.groupBy("component").agg(F.min("least").alias("label"))
+    classes = of.join(labels, "component").select("digest", "label", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("links"))
+    good = rows.filter("digest is not null").select("key", "digest").join(classes, "digest").select("key", "links", "label")
+    alone = rows.filter("digest is null").select("key", F.lit(0).cast("long").alias("links"), F.col("key").alias("label"))
+    return good.unionByName(alone).select(F.col("key").alias(key), F.col("links").alias("n_links"), F.col("label").alias("component_id"), F.coalesce(F.col("key") == F.col("label"), F.lit(False)).alias("kept"))
 
 
 def op9_embedding_dedup(spark, sf_dir: str) -> DataFrame:

@@ -15,8 +15,8 @@ that all documents share costs a unit one entry. Replies are bits in the order s
 
 Copies: of equal texts only that of the smallest id is searched; the others go whole.
 A null text has no words, like an empty one; texts of under 13 words lose nothing; very long
-texts are read whole. Rows that repeat an id never count as earlier than each other. An empty table
-gives no rows; extra columns are ignored.
+texts are read whole. Rows that repeat an id never count as earlier than each other; null ids come last, and none
+before another (they travel as the largest long, which is no id). An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -73,6 +73,7 @@ _SCAN = pa.schema([("part", pa.int32()), ("ids", pa.binary()), ("buckets", pa.bi
 _SCAN_DDL = "part int, ids binary, buckets binary, ord binary, code binary, words long, leads array<long>"
 #: Every so many suffixes, in order, one goes into the order statistics.
 _STEP = 1024
+_LAST = (1 << 63) - 1
 
 
 def _scan(parts: int, window: int, gram: int, flush: int = 16 << 20):
@@ -99,11 +100,10 @@ def _scan(parts: int, window: int, gram: int, flush: int = 16 << 20):
                 order = np.argsort(part, kind="stable")
                 cuts = np.searchsorted(part[order], np.arange(parts + 1))
                 ids_a, buckets_a = (np.array(x, t) for x, t in zip(zip(*owners), ("<i8", "<i4")))
-                for p in range(parts):
+                for p in np.flatnonzero(np.diff(cuts)).tolist():
                     at = order[cuts[p] : cuts[p + 1]]
-                    if len(at):
-                        used, ordinal = np.unique(text[at], return_inverse=True)
-                        yield batch(_SCAN, [[p], [ids_a[used].tobytes()], [buckets_a[used].tobytes()], [planes(ordinal)], [five(code[at] // np.uint64(parts))], [None], [None]])
+                    used, ordinal = np.unique(text[at], return_inverse=True)
+                    yield batch(_SCAN, [[p], [ids_a[used].tobytes()], [buckets_a[used].tobytes()], [planes(ordinal)], [five(code[at] // np.uint64(parts))], [None], [None]])
 
         for b in batches:
             keys, where, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), [v.as_py().encode() for v in b.column(2)]
@@ -185,8 +185,9 @@ class Unit:
         h, self.counts, self.split = Words().codes([raw[i].encode() for i in order])
         kinds = replies["kind"].to_numpy() if replies.num_rows else np.zeros(0, np.int32)
         a, b = replies["a"].to_pylist(), replies["b"].to_pylist()
-        gone = np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(a[i], "<i8") for i in np.flatnonzero(kinds == 2))])
-        self.copies = np.isin(self.keys, gone)
+        gone = {(int.from_bytes(a[i], "little", signed=True), b[i]) for i in np.flatnonzero(kinds == 2)}
+        some = {k for k, _ in gone}
+        self.copies = np.array([k in some and (k, hashlib.blake2b(raw[i].encode(), digest_size=16).digest()) in gone for k, i in zip(self.keys.tolist(), order)], bool)
         docs = np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(a[i], "<i8") for i in np.flatnonzero(kinds == 0))])
         codes = np.concatenate([np.zeros(0, np.uint64), *(from_five(b[i]) for i in np.flatnonzero(kinds == 0))])
         self.bits = {int.from_bytes(a[i], "little"): b[i] for i in np.flatnonzero(kinds == 1)}
@@ -252,11 +253,11 @@ def remove_repeats(docs: DataFrame, key: str, text: str, window: int = 13, gram:
 def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_bytes: int, group_words: int, texts: bool) -> DataFrame:
     spark = docs.sparkSession
     arrow_rows(spark)
-    source = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets, parts = max(shuffles, -(-total // bucket_bytes)), max(shuffles, -(-total // (64 << 20)))
-    source = source.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+    source = source.withColumn("bucket", F.pmod(F.when(F.col("key") == _LAST, F.xxhash64("text")).otherwise(F.xxhash64("key")), F.lit(buckets)).cast("int"))
 
     scanned = spool(source.select("key", "bucket", "text").mapInArrow(_scan(parts, window, gram), _SCAN_DDL), "scan")
     stats = scanned.filter("part < 0")
@@ -271,7 +272,7 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_
 
     each = stats.select("ids", "buckets", "code").mapInArrow(unpack, "key long, bucket int, digest binary")
     least = spool(each.groupBy("digest").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1").select("digest", "least"), "copied")
-    copies = each.join(least, "digest").filter("key > least").select("bucket", F.lit(2).alias("kind"), _little("key").alias("a"), F.lit(None).cast("binary").alias("b"))
+    copies = each.join(least, "digest").filter("key > least").select("bucket", F.lit(2).alias("kind"), _little("key").alias("a"), F.col("digest").alias("b")).distinct()
     anchors = scanned.filter("part >= 0").select("part", "ids", "buckets", "ord", "code").repartition("part").sortWithinPartitions("part")
     replies = spool(anchors.mapInArrow(_shared_anchors(parts), _REPLY_DDL).unionByName(copies), "replies")
 
@@ -333,7 +334,7 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_
     sent = by_bucket.cogroup(replies.groupBy("bucket")).applyInArrow(send, _SENT_DDL)
     found = sent.repartition("part").sortWithinPartitions("part", "bucket").mapInArrow(tree, _REPLY_DDL)
     final = by_bucket.cogroup(replies.unionByName(found).groupBy("bucket")).applyInArrow(finish, "key long, n_words long, n_removed long, kept string")
-    return final.select(F.col("key").alias(key), "n_words", "n_removed", F.col("kept").alias("kept_text" if texts else "kept_sha256"))
+    return final.select(F.nullif("key", F.lit(_LAST)).alias(key), "n_words", "n_removed", F.col("kept").alias("kept_text" if texts else "kept_sha256"))
 
 
 def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:

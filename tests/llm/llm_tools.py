@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import collections
+import itertools
 import re
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -31,3 +33,37 @@ def folder(df, tmp_path, name="documents"):
     path = tmp_path / "tables"
     df.write.mode("overwrite").parquet(f"{path}/{name}.parquet")
     return str(path)
+
+
+STAR = "\0"
+
+
+def brute_templates(line, similarity=0.7, least_tokens=3):
+    """The templates of a line: itself and with one or two of its eight runs generalised."""
+    tokens = [STAR if any(c.isdigit() and c.isascii() for c in w) else w for w in WORDS.findall(line)]
+    n = len(tokens)
+    if n < least_tokens:
+        return set()
+    lead = min(n, 3)
+    cuts = [lead + (n - lead) * k // 8 for k in range(9)]
+    out = set()
+    for mask in [(), *itertools.combinations(range(8), 1), *itertools.combinations(range(8), 2)]:
+        places = [set(range(cuts[k], cuts[k + 1])) for k in mask]
+        field = set().union(*places)
+        if all(places) and len(field) <= 0.3 * n + 1e-9 and any(t != STAR for i, t in enumerate(tokens) if i not in field):
+            out.add((n, mask, tuple(None if i in field else t for i, t in enumerate(tokens))))
+    return out
+
+
+def brute_lines(docs, least=5):
+    """The texts without the lines of recurring templates."""
+    carriers = collections.defaultdict(set)
+    for d, t in docs.items():
+        for line in (t or "").split("\n"):
+            for x in brute_templates(line):
+                carriers[x].add(d)
+    out = {}
+    for d, t in docs.items():
+        kept = [line for line in (t or "").split("\n") if not any(len(carriers[x]) >= least and min(carriers[x]) != d for x in brute_templates(line))]
+        out[d] = (None if t is None else "\n".join(kept), (t or "").count("\n") + 1 - len(kept))
+    return out

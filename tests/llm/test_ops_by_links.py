@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sluice.llm import graph, nn_descent, simhash, substring, url_filter
+from sluice.llm import graph, mixing, nn_descent, simhash, substring, url_filter
 from sluice.llm.common import spool, table
 
 
@@ -177,6 +177,12 @@ def test_vectors_that_link_with_nothing(spark):
     assert nn_descent.near_duplicates(vectors_table(spark, []), "vec_id", "embedding").count() == 0
 
 
+def test_repeated_and_null_vector_ids(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (7, [0.0, 1.001]), (None, [1.0, 0.001]), (None, None), (None, [-1.0, 0.0])]
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in nn_descent.near_duplicates(vectors_table(spark, rows), "vec_id", "embedding").collect())
+    assert got == [(0, 0, 0, False), (0, 0, 0, False), (0, 1, 5, False), (5, 1, 5, True), (5, 1, 5, True), (7, 1, 5, False)]
+
+
 def test_recall_on_the_driver_table(spark):
     sf = "/root/testdata/sf0.1"
     rows = [(r.vec_id, r.embedding) for r in table(spark, sf, "embeddings").collect()]
@@ -228,6 +234,13 @@ def test_substring_of_nasty_rows(spark, tmp_path):
     assert substring.op10_substring_dedup(spark, tools.folder(tools.empty_documents(spark), tmp_path)).count() == 0
 
 
+def test_substring_of_repeated_and_null_ids(spark):
+    t, u = (" ".join(f"{c}{i}" for i in range(20)) for c in "tu")
+    rows = [(3, t), (7, t), (7, u), (None, t), (None, u), (None, "v " + u)]
+    got = sorted((r.doc_id or 0, r.n_removed) for r in substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect())
+    assert got == [(0, 20), (0, 20), (0, 20), (3, 0), (7, 0), (7, 20)]
+
+
 def test_copies_within_a_split_of_any_order(spark):
     """The copy of smallest id stands for its text, wherever it comes in its split."""
     t = " ".join(f"w{i}" for i in range(40))
@@ -264,6 +277,29 @@ def test_quality_stage_keeps_what_it_keeps(stages):
     assert not {(r.doc_id, r.text) for r in after.collect()} - {(r.doc_id, r.text) for r in before.collect()}
 
 
+def test_line_stage_against_brute_force(stages):
+    before, after = (tools.texts(d) for d in stages["line_dedup"])
+    want = {d: (t, n) for d, (t, n) in tools.brute_lines(before).items() if not n or tools.WORDS.search(t)}
+    assert after == {d: t for d, (t, _) in want.items()}
+
+
+def test_mixing_stage_draws_by_the_odds(stages):
+    before, after = stages["source_mixing"]
+    names = ["source", "lang", "topic"]
+    light = mixing.weights(before, "doc_id", "text")
+    odds = {tuple(r[n] for n in names): r.probability for r in mixing.odds(light, names).collect()}
+    draw = lambda d: int(hashlib.md5(str(d).encode()).hexdigest()[:13], 16) / 2**52
+    assert {r.doc_id for r in after.collect()} == {r.key for r in light.collect() if draw(r.key) < odds[tuple(r[n] for n in names)]}
+
+
+def test_near_dedup_keeps_rows_without_an_id(spark, sf):
+    import corpus_pipeline
+
+    rows = [(None, tools.PROSE), (None, "another text of a few words"), (4, tools.PROSE + " indeed"), (9, tools.PROSE), (9, tools.PROSE)]
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf).collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 0, 4]
+
+
 def jaccard(a, b):
     def shingles(t):
         w = tools.WORDS.findall(t.lower())

@@ -241,40 +241,6 @@ def test_viterbi_is_the_best_path():
     assert field.decode([]) == []
 
 
-STAR = "\0"
-
-
-def brute_templates(line, similarity=0.7, least_tokens=3):
-    """The templates of a line: itself and with one or two of its eight runs generalised."""
-    tokens = [STAR if any(c.isdigit() and c.isascii() for c in w) else w for w in tools.WORDS.findall(line)]
-    n = len(tokens)
-    if n < least_tokens:
-        return set()
-    lead = min(n, 3)
-    cuts = [lead + (n - lead) * k // 8 for k in range(9)]
-    out = set()
-    for mask in [(), *itertools.combinations(range(8), 1), *itertools.combinations(range(8), 2)]:
-        places = [set(range(cuts[k], cuts[k + 1])) for k in mask]
-        field = set().union(*places)
-        if all(places) and len(field) <= 0.3 * n + 1e-9 and any(t != STAR for i, t in enumerate(tokens) if i not in field):
-            out.add((n, mask, tuple(None if i in field else t for i, t in enumerate(tokens))))
-    return out
-
-
-def brute_lines(docs, least=5):
-    """The texts without the lines of recurring templates."""
-    carriers = collections.defaultdict(set)
-    for d, t in docs.items():
-        for line in (t or "").split("\n"):
-            for x in brute_templates(line):
-                carriers[x].add(d)
-    out = {}
-    for d, t in docs.items():
-        kept = [line for line in (t or "").split("\n") if not any(len(carriers[x]) >= least and min(carriers[x]) != d for x in brute_templates(line))]
-        out[d] = (None if t is None else "\n".join(kept), (t or "").count("\n") + 1 - len(kept))
-    return out
-
-
 def dropped(spark, rows, **how):
     return {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.drop_templates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", **how).collect()}
 
@@ -286,7 +252,7 @@ def test_line_dedup_drops_recurring_templates(spark):
     assert got[0] == (rows[0][1], 0)  # the first carrier keeps its lines
     assert all(got[i][0].split("\n")[1:] == [] for i in range(1, 40))
     assert got[100][1] == 0 and all(got[100 + i][0].startswith("unique tail") for i in range(1, 6))
-    assert got == brute_lines(dict(rows))
+    assert got == tools.brute_lines(dict(rows))
 
 
 @pytest.mark.parametrize("n", [2000, 2100, 20_000])
@@ -306,7 +272,7 @@ def test_fields_of_few_values_and_carriers_as_documents(spark):
 def test_line_dedup_against_brute_force(spark, sf):
     docs = tools.texts(table(spark, sf, "documents"))
     got = {r.doc_id: (r.text, r.n_dropped) for r in line_dedup.op2_line_dedup(spark, sf).collect()}
-    want = brute_lines(docs)
+    want = tools.brute_lines(docs)
     assert sum(n for _, n in want.values()) > 0
     assert {d: (t or "", n) for d, (t, n) in got.items()} == {d: (t or "", n) for d, (t, n) in want.items()}
     assert all((got[d][0] is None) == (docs[d] is None) for d in docs)
