@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: How an amount is written.
 _AMOUNT = r"(?U)^\s*\$?\s*(\d{1,3}(?:,\d{3})+|\d+)(\.\d+)?\s*([A-Za-z]{3})?\s*$"
 #: The footnote markers that ride on prices and names.
 MARKERS = "*^+†‡§"
@@ -12,11 +13,12 @@ MARKERS = "*^+†‡§"
 
 def parse_amount(raw: Column) -> Column:
     """A double: grouped or plain digits, at most one decimal point with digits after it, an
-    optional dollar sign, an optional three-letter code that must be CAD."""
+    optional dollar sign, an optional three-letter code that must be CAD. A number is its own amount."""
     text = raw.cast("string")
     code = F.upper(F.regexp_extract(text, _AMOUNT, 3))
     number = F.concat(F.replace(F.regexp_extract(text, _AMOUNT, 1), F.lit(","), F.lit("")), F.regexp_extract(text, _AMOUNT, 2))
-    return F.when(text.rlike(_AMOUNT) & code.isin("", "CAD"), number.try_cast("double"))
+    is_number = F.typeof(raw).rlike("int$|^float$|^double$|^decimal")
+    return F.when(is_number, raw.try_cast("double")).when(text.rlike(_AMOUNT) & code.isin("", "CAD"), number.try_cast("double"))
 
 
 def parse_bid_price(raw: Column) -> Column:

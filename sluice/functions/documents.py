@@ -82,7 +82,7 @@ TITLE_PATTERNS = (
     r"(?m)^\s*\d{1,2}\.\d{1,2}\s+([A-Z][^\n]{10,160})",
 )
 HEAD_RULES = (
-    ("councillor_letter", r"(?m)City Councillor\s*$"),
+    ("councillor_letter", r"(?m)City Councillor\s*$|Toronto City Councillor"),
     ("minutes", r"(?im)^\s*(PRESENT\b|MINUTES OF|MEMBERS PRESENT)"),
     ("agenda", r"(?im)^\s*(AGENDA|ORDER OF BUSINESS|NOTICE OF MEETING)"),
 )
@@ -116,4 +116,4 @@ def classify(text: Column) -> Column:
             kind = kind.when(title.rlike(f"(?i){pattern}"), name)
         return let(kind.otherwise("other_titled"), lambda k: F.struct(k.alias("class"), F.when(k.isin("other_titled", *(n for n, _ in SUBJECT_RULES)), title).alias("title"), F.substring(whole, 1, 3000).rlike(CONFIDENTIAL).alias("confidential")))
 
-    return let(document_title(text), classed)
+    return let(F.when(F.length(whole) <= PACKAGE_CHARS, document_title(text)), classed)  # a package's isn't asked for

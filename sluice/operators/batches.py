@@ -48,19 +48,17 @@ def balance(sizes: list[tuple[int, int]], batches: int, cap: int = 80_000) -> di
     return out
 
 
-def size_balanced(docs: DataFrame, key: str, size: str, batches: int, group: str | None = None, cap: int = 80_000) -> DataFrame:
-    """(group, key, size, batch): a group's documents over so many batches. Groups are bounded
-    (a manifest); without one the whole input is a group."""
-    rows = docs.select(*([group] if group else []), key, size)
-    rows = rows if group else rows.withColumn("_g", F.lit(0))
+def size_balanced(docs: DataFrame, key: str, size: str, batches: int, group: str, cap: int = 80_000) -> DataFrame:
+    """(group, key, size, batch): a group's documents over so many batches. A group is a manifest,
+    which is bounded; a whole table is dealt by a group of its own making, a manifest at a time."""
+    rows = docs.select(group, key, size)
     schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.IntegerType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         placed = balance(list(zip(pdf[key], pdf[size])), batches, cap)
         return pdf.assign(batch=pdf[key].map(placed).astype("int32"))
 
-    out = rows.groupBy(group or "_g").applyInPandas(run, schema)
-    return out if group else out.drop("_g")
+    return rows.groupBy(group).applyInPandas(run, schema)
 
 
 def probes(docs: DataFrame, key: str, size: str, k: int = 6) -> DataFrame:

@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 
 
 def value_token_matches(items: DataFrame, item_key: str, item_value: Column, item_tokens: Column, awards: DataFrame, award_doc: str, award_value: Column, award_tokens: Column) -> DataFrame:
-    """(item_key, document, n_documents): pairs of equal value, rounded half to even, that share
-    a token. The value is the join's key; tokens only confirm."""
-    i = items.select(F.col(item_key), F.bround(item_value).cast("long").alias("_v"), item_tokens.alias("_t"))
-    a = awards.select(F.col(award_doc).alias("document"), F.bround(award_value).cast("long").alias("_w"), award_tokens.alias("_u")).distinct()
-    met = i.join(a, (F.col("_v") == F.col("_w")) & F.arrays_overlap("_t", "_u"))
-    return met.groupBy(item_key).agg(F.min("document").alias("document"), F.count_distinct("document").alias("n_documents"))
+    """(item_key, document, last_document): the first and last document of the awards of equal value,
+    rounded half to even, that share a token. Awards are first aggregated by value and token, so
+    an item meets a row a token however many awards have its value: no pairs are made."""
+    i = items.select(F.col(item_key), F.bround(item_value).cast("long").alias("_v"), F.explode(F.array_distinct(item_tokens)).alias("_t"))
+    a = awards.select(F.col(award_doc).alias("_d"), F.bround(award_value).cast("long").alias("_v"), F.explode(F.array_distinct(award_tokens)).alias("_t"))
+    by_token = a.filter("_d is not null").groupBy("_v", "_t").agg(F.min("_d").alias("_a"), F.max("_d").alias("_z"))
+    return i.join(by_token, ["_v", "_t"]).groupBy(item_key).agg(F.min("_a").alias("document"), F.max("_z").alias("last_document"))
 
 
 def unique_matches(matches: DataFrame) -> DataFrame:
-    return matches.filter("n_documents = 1").drop("n_documents")
+    return matches.filter("document = last_document").drop("last_document")
 
 
 def ambiguous_matches(matches: DataFrame) -> DataFrame:
-    return matches.filter("n_documents > 1").drop("document")
+    return matches.filter("document < last_document").withColumnRenamed("document", "first_document")
 
 
 #: Where a title comes from, best first.

@@ -125,25 +125,25 @@ def supplier_orphans(spark, sf_dir):
 
 
 def _matches(spark, sf_dir):
-    items = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0").select("o_orderkey", "o_totalprice", F.concat(F.lit("The "), F.lit("firm"), (F.col("o_orderkey") % 5).cast("string"), F.lit(" Paving Ltd")).alias("winner"))
+    items = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.concat(F.lit("The "), F.lit("firm"), (F.col("o_orderkey") % 5).cast("string"), F.lit(" Paving Ltd")).alias("winner"))
     awards = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc"), (F.round(F.col("o_totalprice") / 500) * 500).alias("value"), F.concat(F.lit("firm"), (F.col("o_orderkey") % 5).cast("string"), F.lit(" Works Inc.")).alias("firm"))
     value = F.round(F.col("o_totalprice") / 500) * 500
     return match.value_token_matches(items, "o_orderkey", value, suppliers.supplier_tokens(F.col("winner")), awards, "doc", F.col("value"), suppliers.supplier_tokens(F.col("firm")))
 
 
 _MATCHES = """
-WITH items AS (SELECT o_orderkey, round(o_totalprice / 500) * 500 AS v, o_orderkey % 5 AS firm FROM orders WHERE o_orderkey % 3 = 0),
+WITH items AS (SELECT o_orderkey, round(o_totalprice / 500) * 500 AS v, o_orderkey % 5 AS firm FROM orders),
 awards AS (SELECT o_orderkey AS doc, round(o_totalprice / 500) * 500 AS v, o_orderkey % 5 AS firm FROM orders),
-m AS (SELECT i.o_orderkey, min(doc) AS document, count(DISTINCT doc) AS n FROM items i JOIN awards a ON i.v = a.v AND i.firm = a.firm GROUP BY 1)
+m AS (SELECT i.o_orderkey, min(doc) AS document, max(doc) AS last_document FROM items i JOIN awards a ON i.v = a.v AND i.firm = a.firm GROUP BY 1)
 """
 
 
-@query("match_value_token_unique", _MATCHES + "SELECT o_orderkey, document FROM m WHERE n = 1")
+@query("match_value_token_unique", _MATCHES + "SELECT o_orderkey, document FROM m WHERE document = last_document")
 def match_value_token_unique(spark, sf_dir):
     return match.unique_matches(_matches(spark, sf_dir))
 
 
-@query("match_value_ambiguous_refused", _MATCHES + "SELECT o_orderkey, n AS n_documents FROM m WHERE n > 1")
+@query("match_value_ambiguous_refused", _MATCHES + "SELECT o_orderkey, document AS first_document, last_document FROM m WHERE document < last_document")
 def match_value_ambiguous_refused(spark, sf_dir):
     return match.ambiguous_matches(_matches(spark, sf_dir))
 
@@ -161,12 +161,12 @@ def _title_spine(spark, sf_dir):
 
 @query("title_fill_precedence", """
 WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 4 <> 0 THEN p_name END AS title, CASE p_partkey % 4 WHEN 1 THEN 'feed' WHEN 2 THEN 'council' WHEN 3 THEN 'council_match' END AS title_source FROM part),
-c AS (SELECT l_partkey AS p_partkey, concat('t', l_orderkey, '-', l_linenumber) AS title, CASE WHEN l_linenumber % 2 = 0 THEN 'legacy_page' ELSE 'council' END AS title_source, CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 3 END AS r, l_orderkey * 10 + l_linenumber AS place FROM lineitem WHERE l_orderkey % 5 = 0),
+c AS (SELECT l_partkey AS p_partkey, concat('t', l_orderkey, '-', l_linenumber) AS title, CASE WHEN l_linenumber % 2 = 0 THEN 'legacy_page' ELSE 'council' END AS title_source, CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 3 END AS r, l_orderkey * 10 + l_linenumber AS place FROM lineitem),
 b AS (SELECT p_partkey, arg_min(title, CAST(r AS BIGINT) * 1000000000000 + place) AS t, arg_min(title_source, CAST(r AS BIGINT) * 1000000000000 + place) AS ts, min(r) AS r FROM c GROUP BY 1),
 j AS (SELECT s.*, t, ts, r, CASE WHEN title IS NULL THEN 100 ELSE CASE title_source WHEN 'feed' THEN 1 WHEN 'legacy_page' THEN 2 WHEN 'council' THEN 3 ELSE 4 END END AS mine FROM s LEFT JOIN b USING (p_partkey))
 SELECT p_partkey, CASE WHEN r < mine THEN t ELSE title END AS title, CASE WHEN r < mine THEN ts ELSE title_source END AS title_source FROM j""")
 def title_fill_precedence(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem").filter("l_orderkey % 5 = 0")
+    line = table(spark, sf_dir, "lineitem")
     found = line.select(F.col("l_partkey").alias("p_partkey"), F.concat(F.lit("t"), "l_orderkey", F.lit("-"), "l_linenumber").alias("title"), F.when(F.col("l_linenumber") % 2 == 0, "legacy_page").otherwise("council").alias("title_source"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("place"))
     return match.fill_titles(_title_spine(spark, sf_dir), found, "p_partkey")
 

@@ -110,22 +110,22 @@ _KINDS = """CASE doc_id % 6 WHEN 0 THEN concat('REPORT FOR ACTION', chr(10), 'Aw
   WHEN 1 THEN concat('MINUTES OF meeting', chr(10), repeat(text, 30)) WHEN 2 THEN concat('RE: Budget and audit ', doc_id) WHEN 3 THEN 'short' WHEN 4 THEN concat('Appendix 2: maps ', repeat('x y ', 500)) ELSE repeat('plain words only ', 200) END"""
 
 
-@query("rule_classifier_distribution", "SELECT source, CASE doc_id % 6 WHEN 0 THEN 'procurement_award' WHEN 1 THEN CASE WHEN length(text) * 30 + 19 > 100000 THEN 'meeting_package' WHEN length(text) * 30 + 19 < 1500 THEN 'empty_or_fragment' ELSE 'minutes' END WHEN 2 THEN 'governance_finance' WHEN 3 THEN 'empty_or_fragment' WHEN 4 THEN 'attachment_or_map' ELSE 'UNCLASSIFIED' END AS class, count(*) AS documents FROM documents WHERE doc_id % 6 <> 0 OR length(text) < 90000 GROUP BY 1, 2")
+@query("rule_classifier_distribution", "SELECT source, CASE doc_id % 6 WHEN 0 THEN CASE WHEN text IS NULL THEN 'empty_or_fragment' WHEN length(concat('REPORT FOR ACTION', chr(10), 'Award of Tender 12 for Paving Works', chr(10), 'Date: May 1', chr(10), text)) > 100000 THEN 'meeting_package' ELSE 'procurement_award' END WHEN 1 THEN CASE WHEN text IS NULL THEN 'empty_or_fragment' WHEN length(text) * 30 + 19 > 100000 THEN 'meeting_package' WHEN length(text) * 30 + 19 < 1500 THEN 'empty_or_fragment' ELSE 'minutes' END WHEN 2 THEN 'governance_finance' WHEN 3 THEN 'empty_or_fragment' WHEN 4 THEN 'attachment_or_map' ELSE 'UNCLASSIFIED' END AS class, count(*) AS documents FROM documents GROUP BY 1, 2")
 def rule_classifier_distribution(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").filter("doc_id % 6 <> 0 OR length(text) < 90000").select("source", docs.classify(F.expr(_KINDS))["class"].alias("class"))
+    d = table(spark, sf_dir, "documents").select("source", docs.classify(F.expr(_KINDS))["class"].alias("class"))
     return d.groupBy("source", "class").agg(F.count("*").alias("documents"))
 
 
 def _sides(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem").filter("l_orderkey % 3 = 0")
+    line = table(spark, sf_dir, "lineitem")
     truth = line.groupBy(F.col("l_orderkey").alias("doc")).agg(F.collect_set(F.concat(F.lit("n"), F.col("l_suppkey") % 20)).alias("names"))
     found = line.filter("l_linenumber <> 2").groupBy(F.col("l_orderkey").alias("doc")).agg(F.collect_set(F.concat(F.lit("n"), F.when(F.col("l_partkey") % 9 == 0, 99).otherwise(F.col("l_suppkey") % 20))).alias("names"))
     return found, truth
 
 
 _SIDES = """
-WITH t AS (SELECT DISTINCT l_orderkey AS doc, l_suppkey % 20 AS n FROM lineitem WHERE l_orderkey % 3 = 0),
-f AS (SELECT DISTINCT l_orderkey AS doc, CASE WHEN l_partkey % 9 = 0 THEN 99 ELSE l_suppkey % 20 END AS n FROM lineitem WHERE l_orderkey % 3 = 0 AND l_linenumber <> 2),
+WITH t AS (SELECT DISTINCT l_orderkey AS doc, l_suppkey % 20 AS n FROM lineitem),
+f AS (SELECT DISTINCT l_orderkey AS doc, CASE WHEN l_partkey % 9 = 0 THEN 99 ELSE l_suppkey % 20 END AS n FROM lineitem WHERE l_linenumber <> 2),
 shared AS (SELECT DISTINCT doc FROM f),
 s AS (SELECT coalesce(t.doc, f.doc) AS doc, CAST(count(*) FILTER (WHERE t.n IS NOT NULL AND f.n IS NOT NULL) AS BIGINT) AS tp, CAST(count(*) FILTER (WHERE f.n IS NULL) AS BIGINT) AS fn, CAST(count(*) FILTER (WHERE t.n IS NULL) AS BIGINT) AS fp
   FROM t FULL JOIN f ON t.doc = f.doc AND t.n = f.n WHERE coalesce(t.doc, f.doc) IN (SELECT doc FROM shared) GROUP BY 1)

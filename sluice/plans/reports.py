@@ -124,13 +124,21 @@ def rejected_labels(spark, sf_dir):
     return p.agg(F.count("*").alias("labels"), F.count_if(~listing.is_document_name(F.col("name"))).alias("rejected"))
 
 
-@query("unique_names")
+@query("unique_names", """
+WITH p AS (SELECT p_brand, p_partkey, concat('f', p_size % 5, '.pdf') AS name FROM part)
+SELECT *, CASE row_number() OVER w WHEN 1 THEN name ELSE concat(substr(name, 1, length(name) - 4), '_', row_number() OVER w, '.pdf') END AS unique_name FROM p WINDOW w AS (PARTITION BY p_brand, name ORDER BY p_partkey)""")
 def unique_names(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_brand", "p_partkey", F.concat(F.lit("f"), (F.col("p_size") % 5).cast("string"), F.lit(".pdf")).alias("name"))
     return batches.unique_names(p, "p_brand", "p_partkey", "name")
 
 
-@query("size_balanced_batches")
+#: A batch is load * 10^7 + documents * 10 + number: the least of them is next.
+@query("size_balanced_batches", """
+WITH RECURSIVE r AS (SELECT doc_id, source, n_chars, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS k FROM documents),
+g AS (SELECT CAST(1 AS BIGINT) AS k, source, CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS BIGINT) AS n_chars, CAST(0 AS INTEGER) AS batch, CAST([0, 1, 2, 3, 4] AS BIGINT[]) AS h FROM (SELECT DISTINCT source FROM documents)
+  UNION ALL SELECT g.k + 1, g.source, r.doc_id, r.n_chars, CAST(list_min(h) % 10 AS INTEGER), list_transform(h, lambda x: CASE WHEN x = list_min(h) THEN x + least(r.n_chars, 80000) * 10000000 + 10 ELSE x END)
+  FROM g JOIN r ON r.source IS NOT DISTINCT FROM g.source AND r.k = g.k)
+SELECT source, doc_id, n_chars, batch FROM g WHERE doc_id IS NOT NULL""")
 def size_balanced_batches(spark, sf_dir):
     return batches.size_balanced(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), "doc_id", "n_chars", 5, "source")
 

@@ -45,9 +45,9 @@ def resolve_resource(api: str, slug: str) -> str:
 
 
 class Page(InputPartition):
-    def __init__(self, skip: int, size: int):
+    def __init__(self, skip: int, size: int, last: bool):
         super().__init__(skip)
-        self.skip, self.size = skip, size
+        self.skip, self.size, self.last = skip, size, last
 
 
 class PagedReader(DataSourceReader):
@@ -80,11 +80,20 @@ class PagedReader(DataSourceReader):
 
     def partitions(self):
         total = int(self.total) if self.total is not None else self._page(0, 1)[1]
-        return [Page(k, self.size) for k in range(0, total, self.size)] or [Page(0, self.size)]
+        starts = list(range(0, total, self.size)) or [0]
+        return [Page(k, self.size, k == starts[-1]) for k in starts]
 
     def read(self, partition: Page):
-        for record in self._page(partition.skip, partition.size)[0]:
-            yield (json.dumps(record, ensure_ascii=False),)
+        """The records of a range: a server that gives fewer than asked for is asked again, and the
+        last range goes on until the feed is empty, or repeats itself."""
+        at, end, before = partition.skip, partition.skip + partition.size, None
+        while partition.last or at < end:
+            records = self._page(at, partition.size if partition.last else end - at)[0]
+            if not records or records == before:
+                return
+            for record in records:
+                yield (json.dumps(record, ensure_ascii=False),)
+            at, before = at + len(records), records
 
 
 class PagedRest(DataSource):

@@ -38,9 +38,10 @@ class Archive:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/v={self.version(name) + 1}")
 
     def upsert(self, name: str, batch: DataFrame, mode: str, seq: Column | None = None, now: Column | None = None) -> tuple[int, int]:
-        """Merge a batch; (upserts issued, rows added)."""
+        """Merge a batch; (upserts issued, rows added). Rows of one key come in the order ``seq``;
+        without it in that of their contents, which no retry or partitioning changes."""
         before = self.read(name)
-        order = seq if seq is not None else F.monotonically_increasing_id()
+        order = seq if seq is not None else F.to_json(F.struct(*sorted(batch.columns)))
         keyed = batch.withColumn("_seq", order)
         merged = merge.write_batch(before, keyed, TABLES[name], F.col("_seq"), mode, now if now is not None else F.current_timestamp()).drop("_seq")
         n_before = before.count()

@@ -16,6 +16,17 @@ def test_parse_amount(one, raw, value):
     assert one(amounts.parse_amount(RAW), raw=raw) == value
 
 
+@pytest.mark.parametrize("raw, value", [(12345678.0, 12345678.0), (-5.25, -5.25), (1.5e10, 1.5e10), (7, 7.0)])
+def test_a_number_is_its_own_amount(one, raw, value):
+    assert one(amounts.parse_amount(RAW), raw=raw) == value
+
+
+def test_councillor_letters(one):
+    from sluice.functions import documents
+
+    assert one(documents.classify(F.col("t"))["class"], t="From Toronto City Councillor Jane Doe\n" + "plain prose " * 200) == "councillor_letter"
+
+
 @pytest.mark.parametrize("raw, value", [("$2,982,036.67*", 2982036.67), ("$1,581,114.08 *", 1581114.08), ("Non-Compliant", None), ("12†‡", 12.0), ("*12", None)])
 def test_parse_bid_price(one, raw, value):
     assert one(amounts.parse_bid_price(RAW), raw=raw) == value

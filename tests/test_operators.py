@@ -69,7 +69,7 @@ def test_ambiguous_is_refused(spark):
     awards = spark.createDataFrame([("d1", 2.0, ["x"]), ("d2", 10.0, ["y"]), ("d3", 10.0, ["y"])], "doc string, v double, t array<string>")
     m = match.value_token_matches(items, "ref", F.col("v"), F.col("t"), awards, "doc", F.col("v"), F.col("t"))
     assert [tuple(r) for r in match.unique_matches(m).collect()] == [("i", "d1")]  # 2.5 rounds to even
-    assert [tuple(r) for r in match.ambiguous_matches(m).collect()] == [("j", 2)]
+    assert [tuple(r) for r in match.ambiguous_matches(m).collect()] == [("j", "d2", "d3")]
 
 
 def test_title_without_title_never_fills(spark):

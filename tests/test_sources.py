@@ -34,6 +34,14 @@ def test_column_major():
     assert bids("<table><tr><td rowspan=2>N:</td><td>Firm Name</td><td>Price</td></tr><tr><td>A<br>B</td><td>$1.00<br/>No bid</td></tr></table>") == [("A", "$1.00"), ("B", "No bid")]
 
 
+def test_column_major_below_and_beside():
+    rows = "<tr><td rowspan=3>Bids:</td><td>Contractor:</td><td>Extra</td><td>Bid Amount</td></tr><tr><td>A<br>2. B</td><td>x<br>y</td><td>$1.00<br>$2.00</td></tr>"
+    assert bids(f"<table>{rows}<tr><td>C*</td><td>z</td><td>withdrawn</td></tr></table>") == [("A", "$1.00"), ("B", "$2.00"), ("C", "withdrawn")]
+    assert bids(f"<table>{rows}<tr><td>note</td><td></td><td>see below</td></tr><tr><td>D</td><td>z</td><td>$3.00</td></tr></table>") == [("A", "$1.00"), ("B", "$2.00")]
+    assert bids(f"<table>{rows}<tr><td>C</td><td>z</td><td>$3.00<br>$4.00</td></tr><tr><td>D</td><td>z</td><td>$5.00</td></tr></table>") == [("A", "$1.00"), ("B", "$2.00"), ("D", "$5.00")]
+    assert bids(f"<table>{rows}<tr><td>1</td><td>2</td><td>C</td><td>z</td><td>$3.00</td></tr></table>") == [("A", "$1.00"), ("B", "$2.00")]
+
+
 def test_unequal_columns_are_refused():
     assert bids("<table><tr><td><p>Firm Name</p><p>A</p><p>B</p></td><td><p>Price</p><p>$1.00</p></td></tr></table>") == []
 
@@ -87,6 +95,7 @@ def test_nested_zip():
 class Feed(http.server.BaseHTTPRequestHandler):
     rows = [{"id": str(i), "Status": "Open" if i % 2 else "Closed"} for i in range(25)]
     seen: list = []
+    most = 1000
     failures = {"n": 1}
 
     def do_GET(self):
@@ -97,7 +106,7 @@ class Feed(http.server.BaseHTTPRequestHandler):
             self.end_headers()
             return
         Feed.seen.append(q)
-        body = json.dumps({"value": self.rows[int(q["$skip"]) : int(q["$skip"]) + int(q["$top"])], "@odata.count": len(self.rows)}).encode()
+        body = json.dumps({"value": self.rows[int(q["$skip"]) : int(q["$skip"]) + min(int(q["$top"]), Feed.most)], "@odata.count": len(self.rows)}).encode()
         self.send_response(200)
         self.end_headers()
         self.wfile.write(body)
@@ -112,10 +121,21 @@ def test_paged_rest(spark):
     try:
         got = rest.read_feed(spark, f"http://127.0.0.1:{server.server_port}/feed", "id string, Status string", page_size="10")
         assert sorted(int(r.id) for r in got.collect()) == list(range(25))
+        Feed.most = 2  # a server that caps its pages
+        got = rest.read_feed(spark, f"http://127.0.0.1:{server.server_port}/feed", "id string, Status string", page_size="10")
+        assert sorted(int(r.id) for r in got.collect()) == list(range(25))
     finally:
         server.shutdown()
 
 
+def test_zipped_csv_keeps_rows_like_the_header(spark, tmp_path):
+    t = spark.createDataFrame([("a", "b"), ("x", "y"), ("a", "b"), (None, "z")], "a string, b string").repartition(3)
+    z = tabular.zip_csv(spark, tabular.write_csv({"t": t}, str(tmp_path)), f"{tmp_path}/t.zip")
+    with zipfile.ZipFile(z) as f:
+        lines = f.read("t.csv").decode().splitlines()
+    assert lines[0] == "a,b" and sorted(lines[1:]) == [",z", "a,b", "a,b", "x,y"]
+
+
 FEED = {
     "odata_solicitation": [
         {"Solicitation_Document_Number": "Doc2243638006", "Status": "Awarded", "Posting_Title": "Doc2243638006", "Ariba_Discovery_Posting_Link": "https://x/RfxEvent/preview/77", "Client_Division": ["Parks", "x"], "Awarded_Suppliers": [{"Successful_Bidder": "A Co Ltd", "Award_Amount": "$5.00", "Date_Awarded": "", "AwardedDate": "2020-01-01"}, {"Successful_Bidder": ""}]},
