@@ -186,7 +186,7 @@ class Encoder:
     white space, on which that one is quadratic, and characters of ``odd`` go to the library."""
 
     def __init__(self, path: str, odd: str):
-        self.tok, self.odd = load(path), re.compile(odd)
+        self.path, self.tok, self.odd = path, None, re.compile(odd)  # the library is loaded where a text needs it
         ranks, special, ordered = token_bytes(path)
         self.fast, self.special = None, set(special)
         if ordered:
@@ -197,4 +197,5 @@ class Encoder:
     def ids(self, text: str) -> bytes:
         if self.fast is not None and (len(text) < 4000 or not _LONG_RUN.search(text)) and not (PLAIN.search(text) and self.odd.search(text)):
             return self.fast.encode_to_numpy(text, allowed_special=self.special, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        self.tok = self.tok or load(self.path)
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
