@@ -6,12 +6,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sluice.llm import packing, quality, sharding, simhash, substring, token_count, wordcodes
-from sluice.llm.bpe import Encoder, TokenCounter, load, whole_tokens
+from sluice.llm.bpe import Encoder, Proof, TokenCounter, load
 from sluice.llm.common import release, spool
 
 PATH = token_count.vocabulary()
-LIBRARY, ENCODER = load(PATH), Encoder(PATH)
-COUNTER = TokenCounter(PATH, whole_tokens(PATH))
+LIBRARY, ENCODER = load(PATH), Encoder(PATH, Proof(PATH).odd)
+COUNTER = TokenCounter(Proof(PATH))
 
 
 @given(st.lists(st.integers(0, 3000), max_size=60), st.integers(1, 6), st.integers(1, 40))
