@@ -11,10 +11,12 @@ from . import pipeline
 from .export import dictionary, document, tabular
 from .extraction import backfill, extract, facts
 from .functions.amounts import parse_amount
+from .functions.titles import clean_title
 from .operators.ledger import last_runs
+from .operators.match import folder_titles
 from .schemas import EXPORT_TABLES, TABLES
 from .session import local_session
-from .sources import html_tables, normalize, rest
+from .sources import html_tables, links, normalize, rest
 from .store import Archive
 
 
@@ -24,8 +26,21 @@ def sources(archive: Archive, landing: str) -> list[pipeline.Source]:
     return [pipeline.Source(name, lambda n=name: rest.landed(spark, f"{landing}/{n}", normalize.FEEDS[n]), f, mode) for name, (f, mode) in normalize.NORMALIZERS.items()]
 
 
+def panel(archive: Archive, pages: str | None, archived: str | None) -> pipeline.Panel:
+    """Items without a document number of agendas before 2019, and titles of pages in folders named by their document."""
+    items = titles = None
+    if pages:
+        old = rest.cached_pages(archive.spark, pages).withColumnRenamed("stem", "meeting").filter(F.substring_index("meeting", ".", 1) < "2019")
+        rows = old.lateralJoin(html_tables.PreNumberAwards(F.col("html").outer(), F.col("meeting").outer()))
+        items = rows.select("reference", "title", "winner_raw", parse_amount(F.col("value_raw")).alias("award_value"))
+    if archived:
+        held = archive.spark.read.option("recursiveFileLookup", True).text(archived, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
+        titles = folder_titles(held.select(F.regexp_extract("path", r"([^/]*)/[^/]*$", 1).alias("folder"), clean_title(links.page_title(F.col("html"))).alias("title"), "path"), "path")
+    return pipeline.Panel(items, titles)
+
+
 def cmd_sync(archive, args):
-    runs = pipeline.sync(archive, sources(archive, args.landing), args.only)
+    runs = pipeline.sync(archive, sources(archive, args.landing), args.only, panel=panel(archive, args.pages, args.archived))
     print(pipeline.summary(runs))
     return int(any(r.status != "ok" for r in runs))
 
@@ -61,7 +76,7 @@ def cmd_nightly(archive, args):
 
 
 def cmd_enrich_titles(archive, args):
-    """Items, reports and bids from cached agenda pages named by their meeting."""
+    """Items, reports and bids from cached agenda pages named by their meeting; then the link passes."""
     pages = rest.cached_pages(archive.spark, args.pages)
     pages = pages.withColumnRenamed("stem", "meeting")
     items = pages.lateralJoin(html_tables.AgendaItems(F.col("html").outer(), F.col("meeting").outer())).select("reference", "meeting", "title")
@@ -69,6 +84,10 @@ def cmd_enrich_titles(archive, args):
     bids = pages.lateralJoin(html_tables.BidTables(F.col("html").outer(), F.col("meeting").outer())).select("reference", "document_number", "bidder_name_raw", "bid_price", "hst_basis", "price_header", F.lit("bid_award_panel").alias("source"))
     for name, rows, mode in (("council_item", items, "overwrite"), ("background_pdf", pdfs, "backfill"), ("bid", bids, "overwrite")):
         print(name, *archive.upsert(name, rows, mode))
+    runs = pipeline.link_passes(archive, panel=panel(archive, args.pages, args.archived))
+    pipeline.record(archive, runs)
+    print(pipeline.summary(runs))
+    return int(any(r.status != "ok" for r in runs))
 
 
 def cmd_amounts(archive, args):
@@ -97,9 +116,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--archive", required=True)
     sub = p.add_subparsers(dest="command", required=True)
     for name, f, options in (
-        ("sync", cmd_sync, [("--landing", {"required": True}), ("--only", {"nargs": "*"})]), ("status", cmd_status, []), ("export", cmd_export, [("--to", {"required": True})]), ("manifest", cmd_manifest, [("--to", {"required": True})]),
+        ("sync", cmd_sync, [("--landing", {"required": True}), ("--only", {"nargs": "*"}), ("--pages", {}), ("--archived", {})]), ("status", cmd_status, []), ("export", cmd_export, [("--to", {"required": True})]), ("manifest", cmd_manifest, [("--to", {"required": True})]),
         ("record-step", cmd_record_step, [("name", {}), ("status", {"choices": ["ok", "failed"]}), ("--error", {})]), ("nightly", cmd_nightly, [("--landing", {"required": True}), ("--to", {"required": True})]),
-        ("enrich-titles", cmd_enrich_titles, [("--pages", {"required": True})]), ("amounts", cmd_amounts, []), ("extract", cmd_extract, [("--version", {"default": "v1"}), ("--limit", {"type": int}), ("--backfill", {"action": "store_true"})]),
+        ("enrich-titles", cmd_enrich_titles, [("--pages", {"required": True}), ("--archived", {})]), ("amounts", cmd_amounts, []), ("extract", cmd_extract, [("--version", {"default": "v1"}), ("--limit", {"type": int}), ("--backfill", {"action": "store_true"})]),
     ):
         one = sub.add_parser(name, help=f.__doc__)
         for option, how in options:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import document_number
+from ..functions.suppliers import supplier_tokens
+
 
 def value_token_matches(items: DataFrame, item_key: str, item_value: Column, item_tokens: Column, awards: DataFrame, award_doc: str, award_value: Column, award_tokens: Column) -> DataFrame:
     """(item_key, document, last_document): the first and last document of the awards of equal value,
@@ -25,7 +28,7 @@ def ambiguous_matches(matches: DataFrame) -> DataFrame:
 
 
 #: Where a title comes from, best first.
-TITLE_RANK = ("feed", "legacy_page", "council", "council_match")
+TITLE_RANK = ("feed", "legacy_page", "council", "council_match", "composite_match")
 
 
 def fill_titles(spine: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
@@ -49,6 +52,49 @@ def fill_from_titles(items: DataFrame, spine: DataFrame, order: str) -> DataFram
     return named.join(missing, "document_number", "left_semi").groupBy("document_number").agg(F.min_by("title", order).alias("title"))
 
 
+def item_matches(items: DataFrame, awards: DataFrame) -> DataFrame:
+    """items (reference, title, winner_raw, award_value, place) with the one document_number whose
+    award has the item's value and a token of its winner; items that fit none or several are
+    left out, and so are those without a value."""
+    each = items.select(F.struct("reference", "title", "winner_raw", "award_value", "place").alias("item")).distinct()
+    held = awards.filter("award_amount_numeric is not null and supplier_name_raw is not null")
+    found = value_token_matches(each, "item", F.col("item.award_value"), supplier_tokens(F.col("item.winner_raw")), held, "document_number", F.col("award_amount_numeric"), supplier_tokens(F.col("supplier_name_raw")))
+    return unique_matches(found.select(F.col("item"), "document", "last_document")).select("item.*", F.col("document").alias("document_number"))
+
+
+def item_links(items: DataFrame, awards: DataFrame, method: str) -> DataFrame:
+    """(reference, document_number, method) of the items that match one document; where a reference
+    stands on several items the last by place counts."""
+    found = item_matches(items, awards).filter("reference is not null")
+    return found.groupBy("reference").agg(F.max_by("document_number", F.struct("place", "document_number")).alias("document_number")).withColumn("method", F.lit(method))
+
+
+def matched_titles(items: DataFrame, awards: DataFrame, spine: DataFrame) -> DataFrame:
+    """(document_number, title) for title-less spine rows from items that match one of their awards
+    alone: the first item by place."""
+    missing = spine.filter("title is null").select("document_number")
+    found = item_matches(items, awards.join(missing, "document_number", "left_semi")).filter("title is not null")
+    return found.groupBy("document_number").agg(F.min_by("title", F.struct("place", "title")).alias("title"))
+
+
+def name_rows(spine: DataFrame, titles: DataFrame, source: str, over: tuple[str, ...] = ()) -> DataFrame:
+    """spine with titles (document_number, title) where it has none, or has one from a source in ``over``."""
+    joined = spine.join(titles.select("document_number", F.col("title").alias("_title")), "document_number", "left")
+    take = F.col("_title").isNotNull() & (F.col("title").isNull() | F.coalesce(F.col("title_source").isin(*over), F.lit(False)))
+    return joined.withColumns({"title_source": F.when(take, F.lit(source)).otherwise(F.col("title_source")), "title": F.when(take, F.col("_title")).otherwise(F.col("title"))}).select(*spine.columns)
+
+
+def chronological(reference: Column) -> Column:
+    """The numbers of a reference, year first: an order in which 2017.BA10 comes after 2017.BA9."""
+    return F.transform(F.regexp_extract_all(F.coalesce(reference, F.lit("")), F.lit(r"(\d+)")), lambda x: x.try_cast("long"))
+
+
+def folder_titles(pages: DataFrame, order: str) -> DataFrame:
+    """(document_number, title) of archived pages (folder, title): the first page with a title by order."""
+    named = pages.select(document_number(F.col("folder")).alias("document_number"), "title", order).filter("document_number is not null and title is not null")
+    return named.groupBy("document_number").agg(F.min_by("title", order).alias("title"))
+
+
 def fill_postings(postings: DataFrame, spine: DataFrame, link_id: Column, order: str) -> DataFrame:
     """postings (rfx_id, document_number) with nulls filled from the spine row whose link names
     the event; of several the first by order."""

@@ -17,7 +17,7 @@ from .functions.amounts import parse_amount
 from .functions.keys import rfx_id
 from .functions.suppliers import supplier_key
 from .functions.titles import is_placeholder_title
-from .operators import dimension, merge
+from .operators import dimension, match, merge
 from .schemas import TABLES
 from .store import Archive
 
@@ -87,6 +87,62 @@ def bridge_postings(archive: Archive) -> None:
     archive.replace("ariba_posting", p.withColumn("document_number", F.coalesce("document_number", "_doc")).drop("_rfx", "_doc"))
 
 
+@dataclass(frozen=True)
+class Panel:
+    """What link passes read of landed pages. awards: (reference, title, winner_raw, award_value) of
+    items that name no document; archived: (document_number, title) of postings' own pages."""
+
+    awards: DataFrame | None = None
+    archived: DataFrame | None = None
+
+
+def _feed_awards(archive: Archive) -> DataFrame:
+    return archive.read("award").filter("source = 'odata'")
+
+
+def _placed(items: DataFrame) -> DataFrame:
+    return items.withColumn("place", match.chronological(F.col("reference")))
+
+
+def link_references(archive: Archive, panel: Panel) -> None:
+    """Items' references to the documents that they alone match. The table is rebuilt, links that
+    stay keep when they were first seen; where no link is derived it stays as it was."""
+    if panel.awards is None:
+        return
+    links = match.item_links(_placed(panel.awards), _feed_awards(archive), "council_match")
+    if not links.isEmpty():
+        held = archive.read("solicitation_link").select("reference", "document_number", "first_seen")
+        now = F.current_timestamp()
+        fresh = links.join(held, ["reference", "document_number"], "left").withColumns({"first_seen": F.coalesce("first_seen", now), "last_seen": now})
+        archive.replace("solicitation_link", fresh)
+
+
+def _name(archive: Archive, titles: DataFrame, source: str, over: tuple[str, ...] = ()) -> None:
+    archive.replace("solicitation", match.name_rows(archive.read("solicitation"), titles, source, over))
+
+
+def titles_from_items(archive: Archive) -> None:
+    items = _placed(archive.read("council_item").filter("title is not null"))
+    _name(archive, match.fill_from_titles(items.withColumn("place", F.struct("place", "title")), archive.read("solicitation"), "place"), "council")
+
+
+def titles_from_awards(archive: Archive, panel: Panel) -> None:
+    if panel.awards is not None:
+        _name(archive, match.matched_titles(_placed(panel.awards), _feed_awards(archive), archive.read("solicitation")), "council_match")
+
+
+def titles_from_composites(archive: Archive) -> None:
+    c = archive.read("composite_award").filter("award_value_numeric is not null and supplier_name_raw is not null")
+    items = c.select("reference", "title", F.col("supplier_name_raw").alias("winner_raw"), F.col("award_value_numeric").alias("award_value"))
+    _name(archive, match.matched_titles(_placed(items), _feed_awards(archive), archive.read("solicitation")), "composite_match")
+
+
+def titles_from_archive(archive: Archive, panel: Panel) -> None:
+    """A posting's own page names it better than the item that awarded it; the feed's title stays."""
+    if panel.archived is not None:
+        _name(archive, panel.archived, "legacy_page", ("council",))
+
+
 def backfill_amounts(archive: Archive) -> None:
     """The machine's amounts where they are missing and the text parses."""
     for name, spec in TABLES.items():
@@ -119,9 +175,14 @@ def rebuild_suppliers(archive: Archive) -> None:
             archive.replace(n, t.withColumn("supplier_id", F.when(supplier_key(F.col(col)) != "", F.xxhash64(supplier_key(F.col(col))))))
 
 
-def link_passes(archive: Archive, labels: DataFrame | None = None) -> list[Run]:
+def link_passes(archive: Archive, labels: DataFrame | None = None, panel: Panel = Panel()) -> list[Run]:
+    """Title passes follow each other: what one names is no longer in doubt for the next."""
     out = []
-    for name, step in (("title_cleanup", clean_titles), ("posting_bridge", bridge_postings), ("amount_backfill", backfill_amounts), ("amount_labels", lambda a: apply_labels(a, labels)), ("supplier_dimension", rebuild_suppliers)):
+    for name, step in (
+        ("title_cleanup", clean_titles), ("posting_bridge", bridge_postings), ("amount_backfill", backfill_amounts), ("amount_labels", lambda a: apply_labels(a, labels)),
+        ("titles_from_items", titles_from_items), ("titles_from_awards", lambda a: titles_from_awards(a, panel)), ("reference_links", lambda a: link_references(a, panel)),
+        ("titles_from_composites", titles_from_composites), ("titles_from_archive", lambda a: titles_from_archive(a, panel)), ("supplier_dimension", rebuild_suppliers),
+    ):
         run = Run(name)
         try:
             step(archive)
@@ -132,18 +193,18 @@ def link_passes(archive: Archive, labels: DataFrame | None = None) -> list[Run]:
     return out
 
 
-def sync(archive: Archive, sources: list[Source], only: list[str] | None = None, labels: DataFrame | None = None) -> list[Run]:
+def sync(archive: Archive, sources: list[Source], only: list[str] | None = None, labels: DataFrame | None = None, panel: Panel = Panel()) -> list[Run]:
     """Sources in order (``only`` some), then all link passes; runs go to the ledger."""
     runs = [run_source(archive, s) for s in sources if only is None or s.name in only]
-    runs += link_passes(archive, labels)
+    runs += link_passes(archive, labels, panel)
     record(archive, runs)
     return runs
 
 
-def nightly(archive: Archive, sources: list[Source], steps: list[tuple[str, Callable[[], None]]], export: Callable[[], None], monthly: list[tuple[str, Callable[[], None]]] = (), today: datetime.date | None = None) -> list[Run]:
+def nightly(archive: Archive, sources: list[Source], steps: list[tuple[str, Callable[[], None]]], export: Callable[[], None], monthly: list[tuple[str, Callable[[], None]]] = (), today: datetime.date | None = None, panel: Panel = Panel()) -> list[Run]:
     """sync, further steps, on the first of a month the monthly ones, and the export, which runs
     whatever failed before it; each step by itself."""
-    runs = sync(archive, sources)
+    runs = sync(archive, sources, panel=panel)
     today = today or datetime.date.today()
     for name, step in [*steps, *(monthly if today.day == 1 else ()), ("export", export)]:
         run = Run(name)

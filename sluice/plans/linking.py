@@ -153,6 +153,54 @@ def half_even_join_key(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.bround(F.col("l_quantity") / 2).cast("long").alias("k"))
 
 
+def _award_items(spark, sf_dir):
+    """Orders as items without a document number, and as awards of their customer's document."""
+    o = table(spark, sf_dir, "orders")
+    k, value = F.col("o_orderkey"), F.round(F.col("o_totalprice") / 500) * 500
+    firm = F.concat(F.lit("firm"), (k % 5).cast("string"))
+    items = o.select(F.concat(F.lit("2017.BA1."), (k % 997).cast("string")).alias("reference"), F.concat(F.lit("Works "), F.lpad(k.cast("string"), 12, "0")).alias("title"), F.concat(F.lit("The "), firm, F.lit(" Paving Ltd")).alias("winner_raw"), value.alias("award_value"))
+    awards = o.select(_customer_document("o_custkey").alias("document_number"), F.concat(firm, F.lit(" Roads Inc.")).alias("supplier_name_raw"), value.alias("award_amount_numeric"))
+    return items.withColumn("place", match.chronological(F.col("reference"))), awards
+
+
+def _customer_document(column: str):
+    return (F.col(column) + F.lit(2243000000).cast("long")).cast("string")
+
+
+_ITEMS = """
+WITH items AS (SELECT o_orderkey AS k, round(o_totalprice / 500) * 500 AS v, o_orderkey % 5 AS firm FROM orders),
+awards AS (SELECT DISTINCT o_custkey AS c, round(o_totalprice / 500) * 500 AS v, o_orderkey % 5 AS firm FROM orders),
+"""
+
+
+@query("solicitation_links", _ITEMS + """m AS (SELECT k, min(c) AS c, max(c) AS z FROM items JOIN awards USING (v, firm) GROUP BY 1)
+SELECT concat('2017.BA1.', k % 997) AS reference, CAST(2243000000 + max(c) AS VARCHAR) AS document_number, 'council_match' AS method FROM m WHERE c = z GROUP BY k % 997""")
+def solicitation_links(spark, sf_dir):
+    """References to the one document that their value and winner fit."""
+    return match.item_links(*_award_items(spark, sf_dir), "council_match")
+
+
+@query("title_passes", _ITEMS + """spine AS (SELECT c_custkey AS c, CASE WHEN c_custkey % 4 <> 0 THEN c_name END AS title, CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'council' ELSE 'feed' END AS title_source FROM customer),
+m AS (SELECT k, min(c) AS c, max(c) AS z FROM items JOIN awards USING (v, firm) WHERE c IN (SELECT c FROM spine WHERE title IS NULL) GROUP BY 1),
+named AS (SELECT c, arg_min(k, (k % 997) * 1000000000000 + k) AS k FROM m WHERE c = z GROUP BY 1),
+archived AS (SELECT page_id + 1 AS c, concat('Page ', page_id) AS page FROM pages WHERE page_id % 2 = 0)
+SELECT CAST(2243000000 + c AS VARCHAR) AS document_number,
+  CASE WHEN title IS NULL AND k IS NOT NULL THEN concat('Works ', lpad(CAST(k AS VARCHAR), 12, '0')) WHEN page IS NOT NULL AND (title IS NULL OR title_source = 'council') THEN page ELSE title END AS title,
+  CASE WHEN title IS NULL AND k IS NOT NULL THEN 'council_match' WHEN page IS NOT NULL AND (title IS NULL OR title_source = 'council') THEN 'legacy_page' ELSE title_source END AS title_source
+FROM spine LEFT JOIN named USING (c) LEFT JOIN archived USING (c)""")
+def title_passes(spark, sf_dir):
+    """Titles by matched awards, then by a posting's own page, over those of items but not of the feed."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    spine = c.select(_customer_document("c_custkey").alias("document_number"), F.when(k % 4 != 0, F.col("c_name")).alias("title"), F.when(k % 4 == 1, "council").when(k % 4 != 0, "feed").alias("title_source"))
+    items, awards = _award_items(spark, sf_dir)
+    named = match.name_rows(spine, match.matched_titles(items, awards, spine), "council_match")
+    p = table(spark, sf_dir, "pages")
+    folder = F.concat(F.lit("Doc-"), (F.col("page_id") + F.lit(2243000001).cast("long")).cast("string"))
+    pages = p.select(folder.alias("folder"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("Page "), F.col("page_id").cast("string"))).alias("title"), "page_id")
+    return match.name_rows(named, match.folder_titles(pages, "page_id"), "legacy_page", ("council",))
+
+
 def _title_spine(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")

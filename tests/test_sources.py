@@ -177,6 +177,60 @@ def test_sync(archive):
     assert a.read("capital_project").first().contract_number == "25ECS-MI-02SW"
 
 
+def test_link_passes(spark, tmp_path):
+    a = Archive(spark, f"{tmp_path}/a")
+    docs = ["2243000001", "2243000002", "2243000003", "2243000004", "2243000005", "2243000006"]
+    titles = [None, None, None, "Feed words", None, None]
+    spine = spark.createDataFrame([(d, t, "feed" if t else None) for d, t in zip(docs, titles)], "document_number string, title string, title_source string")
+    awards = spark.createDataFrame([
+        (docs[1], "Big Co. Ltd", "$1,234.50", "odata"), (docs[2], "Twin Works", "$77.00", "odata"), (docs[3], "Feed Firm", "$900.00", "odata"),
+        (docs[4], "Twin Builders", "$77.00", "odata"), (docs[5], "Compo Inc", "$55.00", "odata"), (docs[0], "Other Book", "$900.00", "ckan"),
+    ], "document_number string, supplier_name_raw string, award_amount string, source string")
+    a.upsert("solicitation", spine, "overwrite")
+    a.upsert("award", awards.withColumn("award_date", F.lit("2018-01-01")), "overwrite")
+    a.upsert("council_item", spark.createDataFrame([("2019.BA10.1", f"Later {docs[0]}"), ("2019.BA9.1", f"First {docs[0]}"), ("2019.BA9.2", None)], "reference string, title string"), "overwrite")
+    a.upsert("composite_award", spark.createDataFrame([("1-2010", "Compo Limited", "$55.00", "Sewers", "2010.BA1.1", "composite")], "call_number string, supplier_name_raw string, award_value string, title string, reference string, source string"), "overwrite")
+    items = spark.createDataFrame([
+        ("2017.BA1.2", "Award to Big Co. for Works", "Big Co.", 1234.5), ("2017.BA1.3", "Twins", "Twin Works and Twin Builders", 77.0), ("2017.BA2.1", "Feed", "Feed Firm", 900.0),
+        ("2017.BA2.2", "Stranger", "Nobody Else", 1234.5), ("2017.BA2.3", "No value", "Big Co.", None), (None, "No reference", "Big Co.", 1234.5),
+    ], "reference string, title string, winner_raw string, award_value double")
+    for again in range(2):  # a second run changes nothing
+        runs = pipeline.link_passes(a, panel=pipeline.Panel(items))
+        assert not [r.error for r in runs if r.status != "ok"]
+        got = {r.document_number: (r.title, r.title_source) for r in a.read("solicitation").collect()}
+        assert got == {
+            docs[0]: (f"First {docs[0]}", "council"), docs[1]: ("No reference", "council_match"), docs[2]: (None, None),
+            docs[3]: ("Feed words", "feed"), docs[4]: (None, None), docs[5]: ("Sewers", "composite_match"),
+        }
+        links = {r.reference: (r.document_number, r.method) for r in a.read("solicitation_link").collect()}
+        assert links == {"2017.BA1.2": (docs[1], "council_match"), "2017.BA2.1": (docs[3], "council_match")}
+    seen = {r.reference: r.first_seen for r in a.read("solicitation_link").collect()}
+    page = spark.createDataFrame([(d, "Posting") for d in docs], "document_number string, title string")
+    pipeline.link_passes(a, panel=pipeline.Panel(items.limit(0), page))
+    assert {r.reference: r.first_seen for r in a.read("solicitation_link").collect()} == seen
+    got = {r.document_number: (r.title, r.title_source) for r in a.read("solicitation").collect()}
+    assert got[docs[0]] == ("Posting", "legacy_page") and got[docs[1]][1] == "council_match" and got[docs[3]][1] == "feed" and got[docs[2]] == ("Posting", "legacy_page")
+
+
+def test_enrich_titles_command(spark, tmp_path):
+    from sluice import cli
+
+    a = Archive(spark, f"{tmp_path}/a")
+    a.upsert("solicitation", spark.createDataFrame([("2243000001",), ("2243000002",)], "document_number string"), "overwrite")
+    a.upsert("award", spark.createDataFrame([("2243000001", "Big Co. Ltd", "$1,234.50", "odata")], "document_number string, supplier_name_raw string, award_amount string, source string").withColumn("award_date", F.lit("2018-01-01")), "overwrite")
+    (tmp_path / "pages").mkdir()
+    for meeting in ("2017.BA1", "2020.BA1"):
+        (tmp_path / "pages" / f"{meeting}.html").write_text("<p>BA1.2 - Award of Call 7-2017 to Big Co. for Works is $1,234.50 net of all applicable taxes.</p>")
+    folder = tmp_path / "old" / "Doc2243000002"
+    folder.mkdir(parents=True)
+    (folder / "a.html").write_text("<title>Doc-2243000002</title>")
+    (folder / "b.html").write_text("<title>Snow &amp; Ice</title>")
+    args = cli.parser().parse_args(["--archive", f"{tmp_path}/a", "enrich-titles", "--pages", f"{tmp_path}/pages", "--archived", f"{tmp_path}/old"])
+    assert args.run(a, args) == 0
+    assert {(r.document_number, r.title_source) for r in a.read("solicitation").collect()} == {("2243000001", "council_match"), ("2243000002", "legacy_page")}
+    assert {r.reference for r in a.read("solicitation_link").collect()} == {"2017.BA1.2"}
+
+
 def test_export(archive):
     a, _, root = archive
     tables = {t: a.read(t) for t in EXPORT_TABLES}
