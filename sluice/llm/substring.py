@@ -1,11 +1,10 @@
-"""Substring dedup by prefix-partitioned suffix trees.
-
-Every word position starts a suffix; two suffixes meet in a node of string depth 13 or more
-exactly if their 13-word windows are equal, so the deep internal nodes are the repeats and
-the windows under them cover the maximal repeated passages. The suffixes are split into
-groups by variable-length prefixes of one to four words, chosen from order statistics of all
-suffixes so that a group fits a task; a group's subtree is built by sorting its suffixes, and
-its nodes of depth 13 are the runs of equal 128-bit window codes.
+"""Substring dedup: 13-word windows in groups by prefix ranges, grouped by equal hash.
+
+Every word position starts a suffix; two suffixes would meet in a node of string depth 13 or
+more of a suffix tree exactly if their 13-word windows are equal, so equal windows are the
+repeats. No tree is built: windows are split into groups between variable-length prefixes of
+one to four word hashes, chosen from order statistics of all suffixes so that a group fits a
+task; in a group, runs of equal 96-bit window codes are found by sorting.
 
 Only suffixes that can be in a deep node are sent: every window elects an anchor, its
 word 6-gram of least hash, and equal windows elect equal anchors; a window whose anchor
