@@ -1,15 +1,16 @@
-"""Substring dedup: 13-word windows in groups by prefix ranges, grouped by equal hash.
+"""Substring dedup: suffix trees of prefix-partitioned groups, cut at their nodes of 13 words.
 
-Every word position starts a suffix; two suffixes would meet in a node of string depth 13 or
-more of a suffix tree exactly if their 13-word windows are equal, so equal windows are the
-repeats. No tree is built: windows are split into groups between variable-length prefixes of
-one to four word hashes, chosen from order statistics of all suffixes so that a group fits a
-task; in a group, runs of equal 96-bit window codes are found by sorting.
+Every word position starts a suffix. Suffixes are split into groups between variable-length
+prefixes of one to four words (by their hashes), chosen from order statistics of all suffixes so
+that a group fits a task. A group's subtree is its suffixes sorted by words, with the number of
+leading words that each shares with the one before it: runs that share 13 or more are the deep
+internal nodes. Words are compared themselves, never by hash alone. What is removed depends on
+nothing below depth 13, so 13 words of a suffix are sent.
 
 Only suffixes that can be in a deep node are sent: every window elects an anchor, its
 word 6-gram of least hash, and equal windows elect equal anchors; a window whose anchor
 stands in no other document is in no deep node. Units (splits of the scan, then buckets of
-documents) send what they know in arrays, one entry a window code and unit, so a passage
+documents) send what they know in arrays, one entry a distinct window and unit, so a passage
 that all documents share costs a unit one entry. Replies are bits in the order sent.
 
 Copies: of equal texts only that of the smallest id is searched; the others go whole.
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,12 +172,57 @@ def _shared_anchors(parts: int):
     return run
 
 
-_SENT = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("docs", pa.binary()), ("ord", pa.binary()), ("code", pa.binary()), ("check", pa.binary())])
-_SENT_DDL = "part int, bucket int, docs binary, ord binary, code binary, check binary"
+_SENT = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("docs", pa.binary()), ("ord", pa.binary()), ("vocabulary", pa.binary()), ("words", pa.binary())])
+_SENT_DDL = "part int, bucket int, docs binary, ord binary, vocabulary binary, words binary"
+
+
+def numbered(words: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+    """A number for every word, equal where the words' bytes are, and the word of each number."""
+    coded = pa.array(words, pa.binary()).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
+def leaves(m: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The leaves of the subtree over suffixes m, a row of word numbers each: their order, ties as
+    given, and how many leading words each shares with the one before it."""
+    n, width = m.shape
+    bits, per = (21, 3) if n_words <= 1 << 21 else (31, 2)
+    keys = []
+    for j in range(0, width, per):
+        k = np.zeros(n, np.int64)
+        for i in range(j, min(j + per, width)):
+            k = (k << bits) | m[:, i]
+        keys.append(k)
+    order = np.lexsort(keys[::-1])
+    in_order = m[order]
+    same = in_order[1:] == in_order[:-1]
+    shared = np.zeros(n, np.int64)
+    shared[1:] = np.where(same.all(axis=1), width, same.argmin(axis=1))
+    return order, shared
+
+
+def sent_words(m: np.ndarray, vocabulary: pa.Array) -> tuple[bytes, bytes]:
+    """Rows of word numbers as they travel: the words used, and numbers among these."""
+    coded = pa.array(m.ravel()).dictionary_encode()
+    used = vocabulary.take(coded.dictionary).to_pylist()
+    numbers = coded.indices.to_numpy().astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return zstandard.compress(b" ".join(used), 1), zstandard.compress(numbers, 1)
+
+
+def received_words(vocabularies: list[bytes], words: list[bytes], window: int) -> tuple[np.ndarray, int]:
+    """What senders sent, as rows of word numbers that hold for all of them; the number of words."""
+    known: list[bytes] = []
+    numbers = []
+    for v, w in zip(vocabularies, words):
+        x = np.ascontiguousarray(np.frombuffer(zstandard.decompress(w), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+        numbers.append(x.astype(np.int64) + len(known))
+        known += zstandard.decompress(v).split(b" ")
+    number, vocabulary = numbered(known)
+    return number[np.concatenate(numbers)].reshape(-1, window), len(vocabulary)
 
 
 class Unit:
-    """A bucket of texts: its candidate windows, one entry a window code."""
+    """A bucket of texts: its candidate suffixes, one entry for all of equal leading words."""
 
     def __init__(self, texts: pa.Table, replies: pa.Table, window: int, gram: int, cuts: np.ndarray):
         raw, keys = texts["text"].to_pylist(), texts["key"].to_numpy()
@@ -195,15 +242,15 @@ class Unit:
         mine = mix(self.keys[w.text].astype(np.uint64)) + (w.anchor & np.uint64((1 << 40) - 1))
         at = np.flatnonzero(~self.copies[w.text] & np.isin(mine, told))
         self.start, self.text = w.start[at], w.text[at]
-        code, check = _windows(h, self.start, window, 1), _windows(h, self.start, window, 2)
-        # the entry of a code: its first window, in the text of smallest id
-        self.order = np.lexsort((self.start, check, code))
-        c, k = code[self.order], check[self.order]
-        new = np.concatenate([[True], (c[1:] != c[:-1]) | (k[1:] != k[:-1])]) if len(c) else np.zeros(0, bool)
-        self.entry = np.cumsum(new) - 1  # of each window in self.order
+        number, self.vocabulary = numbered([x for ws in self.split for x in ws])
+        suffixes = number[self.start[:, None] + np.arange(window)]
+        self.order, shared = leaves(suffixes, len(self.vocabulary))
+        # the entry of a node: its first suffix, in the text of smallest id
+        new = shared < window
+        self.entry = np.cumsum(new) - 1  # of each suffix in self.order
         head = self.order[new]
         self.first_text = self.text[head]
-        self.code, self.check = code[head], check[head]
+        self.suffixes = suffixes[head]
         lead = w.lead()[at][head]
         part = np.searchsorted(cuts, lead, side="right")
         self.sent: dict[int, np.ndarray] = {}
@@ -212,13 +259,6 @@ class Unit:
             self.sent[int(part[g[0]])] = g
 
 
-def _windows(h: np.ndarray, start: np.ndarray, window: int, seed: int) -> np.ndarray:
-    out = np.zeros(len(start), np.uint64)
-    for j in range(window):
-        out += h[start + j] * MIX[seed, j]
-    return mix(out)
-
-
 def _cuts(leads: DataFrame, groups: int) -> np.ndarray:
     """Group borders: quantiles of the leads, each cut to the fewest words that tell it from
     the border before, so groups are ranges between prefixes of one to four words."""
@@ -243,7 +283,7 @@ def _little(column: str):
     return F.unhex(F.concat(*(F.substring(hexes, k, 2) for k in range(15, 0, -2))))
 
 
-def remove_repeats(docs: DataFrame, key: str, text: str, window: int = 13, gram: int = 6, bucket_bytes: int = 4 << 20, group_words: int = 8 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str, text: str, window: int = 13, gram: int = 6, bucket_bytes: int = 4 << 20, group_words: int = 4 << 20) -> DataFrame:
     """(key, n_words, n_removed, kept_sha256) of every row: words under a window that also
     starts in a row of smaller key are removed."""
     return _apply(docs, key, text, window, gram, bucket_bytes, group_words, False)
@@ -280,21 +320,16 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_
         rows = []
         for p, g in u.sent.items():
             used, ordinal = np.unique(u.first_text[g], return_inverse=True)
-            rows.append((p, left["bucket"][0].as_py(), u.keys[used].astype("<i8").tobytes(), planes(ordinal), u.code[g].astype("<u8").tobytes(), np.ascontiguousarray(u.check[g].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :4]).tobytes()))
+            rows.append((p, left["bucket"][0].as_py(), u.keys[used].astype("<i8").tobytes(), planes(ordinal), *sent_words(u.suffixes[g], u.vocabulary)))
         return pa.Table.from_batches([batch(_SENT, [list(c) for c in zip(*rows)])]) if rows else _SENT.empty_table()
 
     def tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in tables(batches, "part"):
-            docs_, codes, checks, sizes = [], [], [], []
-            for d, o, c, k in zip(*(t[n].to_pylist() for n in ("docs", "ord", "code", "check"))):
-                docs_.append(np.frombuffer(d, "<i8")[from_planes(o)])
-                codes.append(np.frombuffer(c, "<u8"))
-                checks.append(np.frombuffer(k, "<u4"))
-                sizes.append(len(codes[-1]))
-            doc, code, check = np.concatenate(docs_), np.concatenate(codes), np.concatenate(checks)
-            order = np.lexsort((check, code))
-            c, k = code[order], check[order]
-            first = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (k[1:] != k[:-1])]))
+            docs_ = [np.frombuffer(d, "<i8")[from_planes(o)] for d, o in zip(t["docs"].to_pylist(), t["ord"].to_pylist())]
+            sizes, doc = [len(d) for d in docs_], np.concatenate(docs_)
+            order, shared = leaves(*received_words(t["vocabulary"].to_pylist(), t["words"].to_pylist(), window))
+            # a deep node: leaves that share a whole window, each with the one before it
+            first = np.flatnonzero(shared < window)
             least_ = np.repeat(np.minimum.reduceat(doc[order], first), np.diff([*first, len(order)]))
             repeated = np.zeros(len(order), bool)
             repeated[order] = doc[order] > least_
@@ -307,7 +342,7 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         u = Unit(left, right, window, gram, cuts)
-        later = np.zeros(len(u.code), bool)
+        later = np.zeros(len(u.suffixes), bool)
         for p, g in u.sent.items():
             if p in u.bits:
                 later[g] = np.unpackbits(np.frombuffer(u.bits[p], np.uint8), count=len(g)).astype(bool)
