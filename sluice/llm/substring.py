@@ -5,7 +5,8 @@ prefixes of one to four words (by their hashes), chosen from order statistics of
 that a group fits a task. A group's subtree is its suffixes sorted by words, with the number of
 leading words that each shares with the one before it: runs that share 13 or more are the deep
 internal nodes. Words are compared themselves, never by hash alone. What is removed depends on
-nothing below depth 13, so 13 words of a suffix are sent.
+nothing below depth 13, so 13 words of a suffix are sent; ``repeats.maximal_repeats`` grows the
+subtrees to their full depth.
 
 Only suffixes that can be in a deep node are sent: every window elects an anchor, its
 word 6-gram of least hash, and equal windows elect equal anchors; a window whose anchor
@@ -209,8 +210,8 @@ def sent_words(m: np.ndarray, vocabulary: pa.Array) -> tuple[bytes, bytes]:
     return zstandard.compress(b" ".join(used), 1), zstandard.compress(numbers, 1)
 
 
-def received_words(vocabularies: list[bytes], words: list[bytes], window: int) -> tuple[np.ndarray, int]:
-    """What senders sent, as rows of word numbers that hold for all of them; the number of words."""
+def received_words(vocabularies: list[bytes], words: list[bytes], width: int) -> tuple[np.ndarray, pa.Array]:
+    """What senders sent, as rows of word numbers that hold for all of them; the words."""
     known: list[bytes] = []
     numbers = []
     for v, w in zip(vocabularies, words):
@@ -218,7 +219,7 @@ def received_words(vocabularies: list[bytes], words: list[bytes], window: int) -
         numbers.append(x.astype(np.int64) + len(known))
         known += zstandard.decompress(v).split(b" ")
     number, vocabulary = numbered(known)
-    return number[np.concatenate(numbers)].reshape(-1, window), len(vocabulary)
+    return number[np.concatenate(numbers)].reshape(-1, width), vocabulary
 
 
 class Unit:
@@ -289,7 +290,8 @@ def remove_repeats(docs: DataFrame, key: str, text: str, window: int = 13, gram:
     return _apply(docs, key, text, window, gram, bucket_bytes, group_words, False)
 
 
-def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_bytes: int, group_words: int, texts: bool) -> DataFrame:
+def candidates(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_bytes: int, group_words: int):
+    """(texts by bucket, what buckets are told of copies and shared anchors, group borders)."""
     spark = docs.sparkSession
     arrow_rows(spark)
     source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -314,6 +316,11 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_
     copies = each.join(least, "digest").filter("key > least").select("bucket", F.lit(2).alias("kind"), _little("key").alias("a"), F.col("digest").alias("b")).distinct()
     anchors = scanned.filter("part >= 0").select("part", "ids", "buckets", "ord", "code").repartition("part").sortWithinPartitions("part")
     replies = spool(anchors.mapInArrow(_shared_anchors(parts), _REPLY_DDL).unionByName(copies), "replies")
+    return source.select("bucket", "key", "text").groupBy("bucket"), replies, cuts
+
+
+def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_bytes: int, group_words: int, texts: bool) -> DataFrame:
+    by_bucket, replies, cuts = candidates(docs, key, text, window, gram, bucket_bytes, group_words)
 
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         u = Unit(left, right, window, gram, cuts)
@@ -327,7 +334,8 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_
         for t in tables(batches, "part"):
             docs_ = [np.frombuffer(d, "<i8")[from_planes(o)] for d, o in zip(t["docs"].to_pylist(), t["ord"].to_pylist())]
             sizes, doc = [len(d) for d in docs_], np.concatenate(docs_)
-            order, shared = leaves(*received_words(t["vocabulary"].to_pylist(), t["words"].to_pylist(), window))
+            suffixes, vocabulary = received_words(t["vocabulary"].to_pylist(), t["words"].to_pylist(), window)
+            order, shared = leaves(suffixes, len(vocabulary))
             # a deep node: leaves that share a whole window, each with the one before it
             first = np.flatnonzero(shared < window)
             least_ = np.repeat(np.minimum.reduceat(doc[order], first), np.diff([*first, len(order)]))
@@ -364,7 +372,6 @@ def _apply(docs: DataFrame, key: str, text: str, window: int, gram: int, bucket_
                 col.append(x)
         return pa.table({"key": pa.array(cols[0], pa.int64()), "n_words": pa.array(cols[1], pa.int64()), "n_removed": pa.array(cols[2], pa.int64()), "kept": pa.array(cols[3], pa.string())})
 
-    by_bucket = source.select("bucket", "key", "text").groupBy("bucket")
     sent = by_bucket.cogroup(replies.groupBy("bucket")).applyInArrow(send, _SENT_DDL)
     found = sent.repartition("part").sortWithinPartitions("part", "bucket").mapInArrow(tree, _REPLY_DDL)
     final = by_bucket.cogroup(replies.unionByName(found).groupBy("bucket")).applyInArrow(finish, "key long, n_words long, n_removed long, kept string")

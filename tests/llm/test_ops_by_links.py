@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from sluice.llm import graph, mixing, nn_descent, simhash, substring, url_filter
+from sluice.llm import graph, mixing, nn_descent, repeats, simhash, substring, url_filter
 from sluice.llm.common import spool, table
 
 
@@ -367,3 +367,41 @@ def test_pipeline_of_nasty_rows(spark, tmp_path):
         assert stage(spark, docs, at).count() >= 0
         assert stage(spark, docs.limit(0), at).count() == 0
     assert corpus_pipeline.run(spark, at).count() >= 0
+
+
+def brute_repeats(texts, window):
+    """(first id, start, words, occurrences) of each maximal repeat, from all runs of words."""
+    first_of = {}
+    for d, t in sorted(texts.items()):
+        first_of.setdefault(t, d)
+    runs = {}
+    for t, d in first_of.items():
+        words = tools.WORDS.findall(t or "")
+        for i in range(len(words)):
+            for j in range(i + window, len(words) + 1):
+                runs.setdefault(tuple(words[i:j]), []).append((d, i, words[i - 1] if i else None, words[j] if j < len(words) else None))
+    found = set()
+    for run, at in runs.items():
+        ways = [[x[k] for x in at] for k in (2, 3)]
+        if len({x[0] for x in at}) > 1 and all(None in w or len(set(w)) > 1 for w in ways):
+            found.add((min(at)[0], min(x[:2] for x in at)[1], len(run), len(at)))
+    return found
+
+
+@pytest.mark.parametrize("buckets", [400, 4 << 20])
+def test_maximal_repeats(spark, buckets):
+    """Nested repeats, at both ends of texts, longer than the first ranges, in copies and near copies."""
+    rng = random.Random(4)
+    passage = [rng.choice("abcdefgh") for _ in range(90)]
+    rows = []
+    for d in range(60):
+        words = [rng.choice("ab") for _ in range(rng.randint(0, 12))]
+        at = rng.randint(0, 60)
+        words[rng.choice([0, 5]) : 5] = passage[at : at + rng.randint(0, 90)]
+        rows.append((d, " ".join(words)))
+    rows += [(60, " ".join(passage)), (61, " ".join(passage)), (62, " ".join(["x", *passage])), (63, " ".join([*passage, "y"])), (64, None), (65, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = repeats.maximal_repeats(docs, "doc_id", "text", window=6, gram=3, bucket_bytes=buckets, group_words=500, width=8).collect()
+    assert len(got) == len({tuple(r) for r in got}) and {tuple(r) for r in got} == brute_repeats(dict(rows), 6)
+    assert max(r.n_words for r in got) == 90
+    assert repeats.maximal_repeats(docs.limit(0), "doc_id", "text").count() == 0
