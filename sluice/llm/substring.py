@@ -180,7 +180,7 @@ _SENT_DDL = "part int, bucket int, docs binary, ord binary, vocabulary binary, w
 def numbered(words: list[bytes]) -> tuple[np.ndarray, pa.Array]:
     """A number for every word, equal where the words' bytes are, and the word of each number."""
     coded = pa.array(words, pa.binary()).dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    return coded.indices.to_numpy(), coded.dictionary
 
 
 def leaves(m: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
