@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, nn_descent, packing, quality, sharding, simhash, substring, token_count, url_filter
+from . import divergence, html_blocks, line_dedup, mixing, nn_descent, packing, prefix_trie, quality, sharding, simhash, substring, token_count, url_filter
 
 #: A rule fits its host and subdomains if the path starts with the rule's; the longest wins.
 _OP4_SQL = """
@@ -102,6 +102,61 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIG
 """
 
 
+#: Every prefix of every conversation, and every node beside all its ancestors; crc32 bit by bit.
+_OP11_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, md5(length(r) || ':' || r || x) AS id, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS w
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)
+), whole AS (
+  SELECT conv_id, list({'id': id, 'w': w} ORDER BY turn NULLS FIRST, id) AS t,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda s, c:
+      list_reduce(list_prepend(xor(s, c), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 4 AS h
+  FROM turns GROUP BY 1
+), rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.t[1:a.h], []), a.t[a.h + 1:]) AS t FROM whole a LEFT JOIN whole b ON b.conv_id = a.conv_id - a.conv_id % 20
+), prefixes AS (
+  SELECT conv_id, len(t) AS n, d, array_to_string(list_transform(t[1:d], lambda x: x.id), ',') AS k, array_to_string(list_transform(t[1:d - 1], lambda x: x.id), ',') AS up,
+    coalesce(t[d].w, 0) AS w, list_transform(range(0, d + 1), lambda e: array_to_string(list_transform(t[1:e], lambda x: x.id), ',')) AS line
+  FROM rebuilt, unnest(range(0, len(t) + 1)) r(d)
+), nodes AS (
+  SELECT k, d, min(up) AS up, min(line) AS line, min(conv_id) AS conv_id, count(*) AS n_convs, min(w) AS w, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '') AS ends
+  FROM prefixes GROUP BY k, d
+), fans AS (SELECT up, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), sums AS (
+  SELECT a AS k, sum((n_convs - 1) * w) AS saved, count(*) FILTER (f.n IS NULL) AS leaves
+  FROM (SELECT k, n_convs, w, unnest(line) AS a FROM nodes) e LEFT JOIN fans f ON f.up = e.k GROUP BY 1
+)
+SELECT x.conv_id, x.d AS depth, p.conv_id AS parent_conv_id, x.n_convs, coalesce(f.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(x.ends) AS ends_sha256
+FROM nodes x JOIN sums s ON s.k = x.k LEFT JOIN fans f ON f.up = x.k LEFT JOIN nodes p ON x.d > 0 AND p.k = x.up
+"""
+
+#: All in whole numbers, over every term of every group.
+_OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), each AS (SELECT row, lang, source, unnest(words) AS term FROM docs
+), kept AS (SELECT lang, term, count(*) AS total FROM each GROUP BY 1, 2 HAVING count(DISTINCT row) >= 30
+), counts AS (SELECT lang, source, term, count(*) AS n FROM each JOIN kept USING (lang, term) GROUP BY 1, 2, 3
+), groups_ AS (
+  SELECT lang, source, coalesce((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0)::HUGEINT AS size, (SELECT count(*) FROM kept k WHERE k.lang = g.lang)::HUGEINT AS v
+  FROM (SELECT DISTINCT lang, source FROM docs) g
+), p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, (1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (size + 5 * v))::BIGINT AS p
+  FROM groups_ JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), q AS (
+  SELECT lang, term, (1 + (1000000000::HUGEINT * (total + 5)) // ((sum(total) OVER (PARTITION BY lang))::HUGEINT + 5 * count(*) OVER (PARTITION BY lang)))::BIGINT AS q FROM kept
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce((SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM groups_ a JOIN groups_ b ON a.lang = b.lang AND a.source <> b.source
+), found AS (
+  SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank FROM found) WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def queries() -> dict:
     return {
         "op1_source_mixing": mixing.op1_source_mixing,
@@ -114,8 +169,11 @@ def queries() -> dict:
         "op8_simhash": simhash.op8_simhash,
         "op9_embedding_dedup": nn_descent.op9_embedding_dedup,
         "op10_substring_dedup": substring.op10_substring_dedup,
+        "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+        "op12_html_text": html_blocks.op12_html_text,
+        "op13_source_divergence": divergence.op13_source_divergence,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mixing": _OP1_SQL, "op4_url_filters": _OP4_SQL, "op9_embedding_dedup": _OP9_SQL, "op10_substring_dedup": _OP10_SQL}
+    return {"op1_source_mixing": _OP1_SQL, "op4_url_filters": _OP4_SQL, "op9_embedding_dedup": _OP9_SQL, "op10_substring_dedup": _OP10_SQL, "op11_prefix_trie": _OP11_SQL, "op13_source_divergence": _OP13_SQL}
