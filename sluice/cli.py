@@ -8,12 +8,12 @@ import datetime
 from pyspark.sql import functions as F
 
 from . import pipeline
-from .export import dictionary, document, tabular
+from .export import dictionary, document, tabular, zipped
 from .extraction import backfill, extract, facts
 from .functions.amounts import parse_amount
 from .functions.titles import clean_title
 from .operators.ledger import last_runs
-from .operators.match import folder_titles
+from .operators.match import chronological, folder_titles
 from .schemas import EXPORT_TABLES, TABLES
 from .session import local_session
 from .sources import html_tables, links, normalize, rest
@@ -57,7 +57,8 @@ def cmd_export(archive, args):
     dictionary.schema_rows(archive.spark, tables).withColumn("generated_at", F.lit(at)).coalesce(1).write.mode("overwrite").json(f"{args.to}/schema")
     tabular.write_parquet(tables, args.to)
     flat = {t: d.select(*(F.to_json(c).alias(c) if kind.startswith("array") else F.col(c) for c, kind in d.dtypes)) for t, d in tables.items()}
-    tabular.zip_csv(archive.spark, tabular.write_csv(flat, args.to), f"{args.to}/tables.zip")
+    tabular.write_csv(flat, args.to)
+    zipped.zip_csv({t: tabular.published(d) for t, d in tables.items()}, f"{args.to}/tables.zip")
 
 
 def cmd_manifest(archive, args):
@@ -79,11 +80,12 @@ def cmd_enrich_titles(archive, args):
     """Items, reports and bids from cached agenda pages named by their meeting; then the link passes."""
     pages = rest.cached_pages(archive.spark, args.pages)
     pages = pages.withColumnRenamed("stem", "meeting")
-    items = pages.lateralJoin(html_tables.AgendaItems(F.col("html").outer(), F.col("meeting").outer())).select("reference", "meeting", "title")
-    pdfs = pages.lateralJoin(html_tables.AgendaPdfs(F.col("html").outer(), F.col("meeting").outer())).select("url", "reference")
-    bids = pages.lateralJoin(html_tables.BidTables(F.col("html").outer(), F.col("meeting").outer())).select("reference", "document_number", "bidder_name_raw", "bid_price", "hst_basis", "price_header", F.lit("bid_award_panel").alias("source"))
+    placed = chronological(F.col("meeting")).alias("_meeting"), F.monotonically_increasing_id().alias("_row")  # rows of a page stay together
+    items = pages.lateralJoin(html_tables.AgendaItems(F.col("html").outer(), F.col("meeting").outer())).select("reference", "meeting", "title", *placed)
+    pdfs = pages.lateralJoin(html_tables.AgendaPdfs(F.col("html").outer(), F.col("meeting").outer())).select("url", "reference", *placed)
+    bids = pages.lateralJoin(html_tables.BidTables(F.col("html").outer(), F.col("meeting").outer())).select("reference", "document_number", "bidder_name_raw", "bid_price", "hst_basis", "price_header", F.lit("bid_award_panel").alias("source"), *placed)
     for name, rows, mode in (("council_item", items, "overwrite"), ("background_pdf", pdfs, "backfill"), ("bid", bids, "overwrite")):
-        print(name, *archive.upsert(name, rows, mode))
+        print(name, *archive.upsert(name, rows, mode, seq=F.struct(F.col("_meeting"), F.col("_row"))))
     runs = pipeline.link_passes(archive, panel=panel(archive, args.pages, args.archived))
     pipeline.record(archive, runs)
     print(pipeline.summary(runs))

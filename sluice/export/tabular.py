@@ -1,10 +1,7 @@
-"""A file set a table: Parquet with declared types, CSV with nulls as empty fields, zipped CSV."""
+"""A file set a table: Parquet with declared types, CSV with nulls as empty fields (zipped: ``zipped``)."""
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 #: Columns that aren't published.
@@ -31,28 +28,3 @@ def write_csv(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
 
 def read_back(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-def zip_csv(spark: SparkSession, paths: dict[str, str], target: str) -> str:
-    """One zip of a CSV a table: its part files in the order of their names, each without its header
-    but the first. Lines stream through a file of bounded memory."""
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
-    with tempfile.SpooledTemporaryFile(64 << 20) as spooled:
-        with zipfile.ZipFile(spooled, "w", zipfile.ZIP_DEFLATED) as archive:
-            for name, path in paths.items():
-                folder = hadoop(path)
-                parts = sorted(f.getPath().toString() for f in folder.getFileSystem(conf).listStatus(folder) if f.getPath().getName().startswith("part-"))
-                with archive.open(f"{name}.csv", "w") as out:
-                    for k, part in enumerate(parts):
-                        for i, row in enumerate(spark.read.text(part).toLocalIterator()):
-                            if i or not k:
-                                out.write(row.value.encode() + b"\n")
-        spooled.seek(0)
-        at = hadoop(target)
-        stream = at.getFileSystem(conf).create(at, True)
-        try:
-            while chunk := spooled.read(1 << 20):
-                stream.write(bytearray(chunk))
-        finally:
-            stream.close()
-    return target

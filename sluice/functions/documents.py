@@ -82,10 +82,11 @@ TITLE_PATTERNS = (
     r"(?m)^\s*\d{1,2}\.\d{1,2}\s+([A-Z][^\n]{10,160})",
 )
 HEAD_RULES = (
-    ("councillor_letter", r"(?m)City Councillor\s*$|Toronto City Councillor"),
+    ("councillor_letter", r"(?m)Toronto City Councillor|City Councillor\s*$"),
     ("minutes", r"(?im)^\s*(PRESENT\b|MINUTES OF|MEMBERS PRESENT)"),
     ("agenda", r"(?im)^\s*(AGENDA|ORDER OF BUSINESS|NOTICE OF MEETING)"),
 )
+#: Attachments by their first words, and the subjects of titles.
 ATTACHMENT = r"(?i)^\s*(At+ach?ment|Appendi?x|Figure|Map|Schedule)\s*\d*\s*[:.\-]"
 SUBJECT_RULES = (
     ("procurement_award", r"REQUEST FOR (TENDER|PROPOSAL|QUOT|PREQUAL|SUPPLIER)|\bRF[TPQ]\b|RFSQ|VENDOR[S]? OF RECORD|\bVOR\b|CONTRACT AWARD|TENDER AWARD|AWARD OF|SOLE SOURCE|SINGLE SOURCE|BLANKET CONTRACT|NON-?COMPETITIVE|PROCUREMENT OF"),

@@ -1,9 +1,9 @@
-"""Sequential choices inside a bounded group: unique names, size-balanced batches, probes."""
+"""Sequential choices: unique names inside a bounded listing, size-balanced batches over a bounded histogram, probes."""
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,17 +48,67 @@ def balance(sizes: list[tuple[int, int]], batches: int, cap: int = 80_000) -> di
     return out
 
 
+def place(classes: list[tuple[int, int]], batches: int) -> list[tuple[list[int], list[int]]]:
+    """The choices of ``balance`` for classes (size, how many), largest first: of each class the batches of
+    its first documents one by one, then the order in which all batches take turns. Once the lightest
+    batch, made heavier, is the heaviest, each takes one in turn and their order stays."""
+    import bisect
+
+    order = [(0, 0, b) for b in range(batches)]
+    out = []
+    for size, n in classes:
+        lead: list[int] = []
+        while n:
+            load, count, b = order[0]
+            after = (load + size, count + 1, b)
+            if after > order[-1]:
+                break
+            order.pop(0)
+            bisect.insort(order, after)
+            lead.append(b)
+            n -= 1
+        turns = [b for _, _, b in order]
+        rounds, rest = divmod(n, batches)
+        order = sorted((load + size * (rounds + (k < rest)), count + rounds + (k < rest), b) for k, (load, count, b) in enumerate(order))
+        out.append((lead, turns))
+    return out
+
+
+def ranked(rows: DataFrame, group: str, *order) -> DataFrame:
+    """rows with their ``rank`` in the group, from 0, by a total order: ranks within the ranges of a sort and
+    counts of the ranges before, so that no task ranks a whole group."""
+    group_order = F.struct(F.col(group).isNull(), F.col(group))
+    ranges = rows.repartitionByRange(group_order, *order).withColumn("_range", F.spark_partition_id())
+    sizes = ranges.groupBy(group, "_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(F.col(group).alias("_group"), F.col("_range").alias("_of"), before.alias("_start"))
+    place_ = F.row_number().over(Window.partitionBy(group, "_range").orderBy(*order)) - 1
+    held = ranges.withColumn("_place", place_).join(starts, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of")))
+    return held.withColumn("rank", F.col("_start") + F.col("_place")).drop("_range", "_place", "_group", "_of", "_start")
+
+
 def size_balanced(docs: DataFrame, key: str, size: str, batches: int, group: str, cap: int = 80_000) -> DataFrame:
-    """(group, key, size, batch): a group's documents over so many batches. A group is a manifest,
-    which is bounded; a whole table is dealt by a group of its own making, a manifest at a time."""
+    """(group, key, size, batch): a group's documents over so many batches, as ``balance`` places them. Only a
+    histogram of a group meets one task: its sizes up to cap, so cap + 1 rows at most. A document finds its batch
+    by its rank. A null size counts as nothing."""
     rows = docs.select(group, key, size)
-    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.IntegerType())])
+    bounded = F.least(F.coalesce(F.col(size), F.lit(0)), F.lit(cap)).cast("long")
+    placed = ranked(rows, group, F.coalesce(F.col(size), F.lit(0)).desc(), F.col(key)).withColumn("_class", bounded)
+    classes = rows.groupBy(F.col(group).alias("_group"), bounded.alias("_size")).agg(F.count("*").alias("_n"))
+    some = T.ArrayType(T.IntegerType())
+    schema = T.StructType([T.StructField("_group", rows.schema[group].dataType)]).add("_size", T.LongType()).add("_first", T.LongType()).add("_lead", some).add("_turns", some)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        placed = balance(list(zip(pdf[key], pdf[size])), batches, cap)
-        return pdf.assign(batch=pdf[key].map(placed).astype("int32"))
-
-    return rows.groupBy(group).applyInPandas(run, schema)
+        pdf = pdf.sort_values("_size", ascending=False)
+        found = place(list(zip(pdf["_size"].tolist(), pdf["_n"].tolist())), batches)
+        first = pdf["_n"].cumsum() - pdf["_n"]
+        return pd.DataFrame({"_group": pdf["_group"].to_numpy(), "_size": pdf["_size"].to_numpy(), "_first": first.to_numpy(), "_lead": [x for x, _ in found], "_turns": [x for _, x in found]})
+
+    plan = classes.groupBy("_group").applyInPandas(run, schema)
+    joined = placed.join(plan, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_class") == F.col("_size")))
+    k = F.col("rank") - F.col("_first")
+    batch = F.when(k < F.size("_lead"), F.get("_lead", k.cast("int"))).otherwise(F.get("_turns", ((k - F.size("_lead")) % batches).cast("int")))
+    return joined.select(group, key, size, batch.alias("batch"))
 
 
 def probes(docs: DataFrame, key: str, size: str, k: int = 6) -> DataFrame:

@@ -1,7 +1,9 @@
 """Bag-of-words baselines for document classes, on Spark ML: TF-IDF of word or character n-grams
 with logistic regression, linear SVMs one against the rest, or naive Bayes, cross-validated.
 
-Features are hashed, so the vocabulary never meets the driver.
+Features are hashed, so the vocabulary never meets the driver. Folds are stratified exactly, by
+ranks that no task takes for a whole class; out-of-fold predictions are written to a table in the
+shared folder, so that what is returned holds no fitted model.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest
 from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, StringIndexer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _WORDS = "filter(split(lower(text), '[^\\\\p{L}\\\\p{N}]+'), w -> w <> '')"
@@ -19,6 +21,8 @@ TERMS = {
     "word 1-2": f"SELECT *, concat(w, zip_with(slice(w, 1, greatest(size(w) - 1, 0)), slice(w, 2, size(w)), (a, b) -> concat(a, ' ', b))) AS terms FROM (SELECT *, {_WORDS} AS w FROM __THIS__)",
     "char 3-5": "SELECT *, flatten(transform(sequence(3, 5), n -> CASE WHEN length(t) >= n THEN transform(sequence(1, length(t) - n + 1), i -> substring(t, i, n)) ELSE array() END)) AS terms FROM (SELECT *, lower(regexp_replace(text, '\\\\s+', ' ')) AS t FROM __THIS__)",
 }
+#: Parts a class is dealt to on the way to its ranks.
+PARTS = 256
 
 
 def model(kind: str, terms: str = "word 1-2", features: int = 1 << 12) -> Pipeline:
@@ -30,20 +34,38 @@ def model(kind: str, terms: str = "word 1-2", features: int = 1 << 12) -> Pipeli
     return Pipeline(stages=[SQLTransformer(statement=TERMS[terms]), HashingTF(inputCol="terms", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="x"), learners[kind]])
 
 
-def cross_validate(docs: DataFrame, key: str, label: str, kinds: dict[str, tuple[str, str]], folds: int = 2) -> DataFrame:
-    """(model, n, correct): out-of-fold predictions of docs (key, text, label); folds by hash of
-    the key within each class, so every class is in every fold."""
-    from pyspark.sql.window import Window
+def with_folds(docs: DataFrame, key: str, label: str, folds: int) -> DataFrame:
+    """docs with column ``fold``: of each class every fold has as many rows, give or take one. A row's
+    rank in its class is the size of the parts before its own and its rank there, so the
+    largest task ranks a part of a class."""
+    part = F.pmod(F.xxhash64(key), F.lit(PARTS))
+    dealt = docs.withColumn("_part", part)
+    sizes = dealt.groupBy(label, "_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(label).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select(F.col(label).alias("_label"), F.col("_part").alias("_of"), F.coalesce(before, F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(label, "_part").orderBy(F.xxhash64(key), key))
+    ranked = dealt.withColumn("_place", place).join(starts, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_part") == F.col("_of")))
+    return ranked.withColumn("fold", ((F.col("_start") + F.col("_place")) % folds).cast("int")).drop("_part", "_place", "_label", "_of", "_start")
 
-    fold = (F.row_number().over(Window.partitionBy(label).orderBy(F.xxhash64(key), key)) % folds).alias("fold")
-    rows = docs.select(key, "text", label, fold)
-    indexed = StringIndexer(inputCol=label, outputCol="y", stringOrderType="alphabetAsc").fit(rows).transform(rows)
-    parts = []
+
+def out_of_fold(docs: DataFrame, key: str, label: str, kinds: dict[str, tuple[str, str]], root: str, folds: int = 2) -> DataFrame:
+    """(model, fold, key, label, predicted) of docs (key, text, label) with a text and a label, kept as a table
+    under ``root``, a folder that all executors share."""
+    spark = docs.sparkSession
+    rows = with_folds(docs.select(key, "text", label).filter(F.col("text").isNotNull() & F.col(label).isNotNull()), key, label, folds)
+    indexer = StringIndexer(inputCol=label, outputCol="y", stringOrderType="alphabetAsc").fit(rows)
+    names = F.array(*(F.lit(x) for x in indexer.labels))
+    indexer.transform(rows).write.parquet(f"{root}/rows")
+    indexed = spark.read.parquet(f"{root}/rows")
     for name, (kind, terms) in kinds.items():
         for k in range(folds):
             fitted = model(kind, terms).fit(indexed.filter(F.col("fold") != k))
-            parts.append(fitted.transform(indexed.filter(F.col("fold") == k)).select(F.lit(name).alias("model"), (F.col("prediction") == F.col("y")).alias("ok")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("model").agg(F.count("*").alias("n"), F.count_if("ok").alias("correct"))
+            scored = fitted.transform(indexed.filter(F.col("fold") == k))
+            scored.select(F.lit(name).alias("model"), "fold", key, label, F.get(names, F.col("prediction").cast("int")).alias("predicted")).write.mode("append").parquet(f"{root}/scores")
+    return spark.read.parquet(f"{root}/scores")
+
+
+def cross_validate(docs: DataFrame, key: str, label: str, kinds: dict[str, tuple[str, str]], root: str, folds: int = 2) -> DataFrame:
+    """(model, n, correct) of the out-of-fold predictions."""
+    scores = out_of_fold(docs, key, label, kinds, root, folds)
+    return scores.groupBy("model").agg(F.count("*").alias("n"), F.count_if(F.col("predicted") == F.col(label)).alias("correct"))

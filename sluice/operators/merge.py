@@ -77,6 +77,17 @@ def write_batch(target: DataFrame, batch: DataFrame, spec: TableSpec, seq: Colum
     return merge_upsert(target, derived(batch, spec), list(spec.keys), seq, mode, spec.nullable_keys, now)
 
 
+def key_value(c: str, spec: TableSpec) -> Column:
+    """A key part as merges compare it."""
+    return _key(c, c in spec.nullable_keys)
+
+
+def healed_keys(batch: DataFrame, spec: TableSpec) -> DataFrame:
+    """batch with all key columns, of their declared types."""
+    types = {f.name: f.dataType for f in spec.schema}
+    return batch.withColumns({k: (F.col(k) if k in batch.columns else F.lit(None)).cast(types[k]) for k in spec.keys})
+
+
 def heal(df: DataFrame, spec: TableSpec) -> DataFrame:
     """df with the declared columns it lacks as nulls and its types as declared; no row is lost,
     and no column either."""

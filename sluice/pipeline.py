@@ -7,6 +7,8 @@ on. Link passes are table to table and may be repeated.
 from __future__ import annotations
 
 import datetime
+import functools
+import operator
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -19,7 +21,7 @@ from .functions.suppliers import supplier_key
 from .functions.titles import is_placeholder_title
 from .operators import dimension, match, merge
 from .schemas import TABLES
-from .store import Archive
+from .store import ARRIVAL, Archive
 
 #: Tables that name suppliers: (primary key, name column).
 NAMED = {
@@ -53,6 +55,8 @@ def run_source(archive: Archive, source: Source) -> Run:
     try:
         raw = source.read().cache()
         try:
+            if ARRIVAL not in raw.columns:
+                raise ValueError(f"{source.name}: the order in which its records came is unknown")
             run.fetched = raw.count()
             for name, rows in source.normalize(raw).items():
                 run.upserted += archive.upsert(name, rows, source.mode)[0]
@@ -68,23 +72,24 @@ def record(archive: Archive, runs: list[Run]) -> None:
     """Append runs to the ledger: one write for all."""
     if not runs:
         return
-    spark, old = archive.spark, archive.read("sync_run")
-    last = old.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
+    spark = archive.spark
+    last = archive.read("sync_run").agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
     now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
     rows = [(last + 1 + i, r.source, r.started, now, r.status, r.fetched, r.upserted, r.error) for i, r in enumerate(runs)]
-    archive.replace("sync_run", old.unionByName(spark.createDataFrame(rows, TABLES["sync_run"].ddl), allowMissingColumns=True))
+    archive.put("sync_run", spark.createDataFrame(rows, TABLES["sync_run"].ddl))
 
 
 def clean_titles(archive: Archive) -> None:
-    t = archive.read("solicitation")
-    archive.replace("solicitation", merge.update_where(t, is_placeholder_title(F.col("title")), title=F.lit(None).cast("string")))
+    t = archive.read("solicitation").filter(is_placeholder_title(F.col("title")))
+    archive.put("solicitation", t.withColumn("title", F.lit(None).cast("string")))
 
 
 def bridge_postings(archive: Archive) -> None:
     spine = archive.read("solicitation").select("document_number", "posting_link")
     by_event = spine.select(rfx_id(F.col("posting_link")).alias("_rfx"), "document_number").filter("_rfx is not null").groupBy("_rfx").agg(F.min("document_number").alias("_doc"))
     p = archive.read("ariba_posting").join(by_event, F.col("rfx_id") == F.col("_rfx"), "left")
-    archive.replace("ariba_posting", p.withColumn("document_number", F.coalesce("document_number", "_doc")).drop("_rfx", "_doc"))
+    bridged = p.filter("document_number is null and _doc is not null").withColumn("document_number", F.col("_doc"))
+    archive.put("ariba_posting", bridged.drop("_rfx", "_doc"))
 
 
 @dataclass(frozen=True)
@@ -118,7 +123,8 @@ def link_references(archive: Archive, panel: Panel) -> None:
 
 
 def _name(archive: Archive, titles: DataFrame, source: str, over: tuple[str, ...] = ()) -> None:
-    archive.replace("solicitation", match.name_rows(archive.read("solicitation"), titles, source, over))
+    named = match.name_rows(archive.read("solicitation").withColumn("_before", F.col("title")), titles, source, over)
+    archive.put("solicitation", named.filter(~F.col("title").eqNullSafe(F.col("_before"))).drop("_before"))
 
 
 def titles_from_items(archive: Archive) -> None:
@@ -149,21 +155,24 @@ def backfill_amounts(archive: Archive) -> None:
         names = spec.schema.fieldNames()
         columns = [n for n in names if f"{n}_numeric" in names and n != "bid_price"]
         if columns and archive.version(name):
-            t = archive.read(name)
-            archive.replace(name, t.withColumns({f"{c}_numeric": F.coalesce(F.col(f"{c}_numeric"), parse_amount(F.col(c))) for c in columns}))
+            late = [F.col(f"{c}_numeric").isNull() & parse_amount(F.col(c)).isNotNull() for c in columns]
+            t = archive.read(name).filter(functools.reduce(operator.or_, late))
+            archive.put(name, t.withColumns({f"{c}_numeric": F.coalesce(F.col(f"{c}_numeric"), parse_amount(F.col(c))) for c in columns}))
 
 
 def apply_labels(archive: Archive, labels: DataFrame | None) -> None:
     """People's verdicts on raw strings, beside the machine's amounts and never in their place."""
     if labels is None:
         return
-    lab = F.broadcast(labels.select(F.col("raw").alias("_raw"), F.col("value").alias("_value"), F.col("verdict").alias("_verdict")))
+    lab = labels.select(F.col("raw").alias("_raw"), F.col("value").alias("_value"), F.col("verdict").alias("_verdict"))
     for name, spec in TABLES.items():
         names = spec.schema.fieldNames()
         for c in [n for n in names if f"{n}_verdict" in names]:
             if archive.version(name):
-                t = archive.read(name).join(lab, F.col(c) == F.col("_raw"), "left")
-                archive.replace(name, t.withColumns({f"{c}_labelled": F.when(F.col("_raw").isNotNull(), F.col("_value")).otherwise(F.col(f"{c}_labelled")), f"{c}_verdict": F.coalesce("_verdict", f"{c}_verdict")}).drop("_raw", "_value", "_verdict"))
+                t = archive.read(name).join(lab, F.col(c) == F.col("_raw"))
+                verdict = F.coalesce("_verdict", f"{c}_verdict")
+                told = t.filter(~F.col(f"{c}_labelled").eqNullSafe(F.col("_value")) | ~F.col(f"{c}_verdict").eqNullSafe(verdict))
+                archive.put(name, told.withColumns({f"{c}_labelled": F.col("_value"), f"{c}_verdict": verdict}).drop("_raw", "_value", "_verdict"))
 
 
 def rebuild_suppliers(archive: Archive) -> None:
@@ -172,7 +181,8 @@ def rebuild_suppliers(archive: Archive) -> None:
     archive.replace("supplier", d.select("supplier_key", "display_name", "variants"))
     for n, (t, _, col) in sources.items():
         if archive.version(n):
-            archive.replace(n, t.withColumn("supplier_id", F.when(supplier_key(F.col(col)) != "", F.xxhash64(supplier_key(F.col(col))))))
+            found = t.withColumn("_id", F.when(supplier_key(F.col(col)) != "", F.xxhash64(supplier_key(F.col(col)))))
+            archive.put(n, found.filter(~F.col("supplier_id").eqNullSafe(F.col("_id"))).withColumn("supplier_id", F.col("_id")).drop("_id"))
 
 
 def link_passes(archive: Archive, labels: DataFrame | None = None, panel: Panel = Panel()) -> list[Run]:

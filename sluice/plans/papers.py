@@ -391,11 +391,23 @@ def archived_titles(spark, sf_dir):
 
 @query("bow_classifiers")
 def bow_classifiers(spark, sf_dir):
-    """Quality classes by bag of words, out of fold."""
+    """Quality classes by bags of words and of character n-grams, out of fold."""
     from ..operators.classify import cross_validate
+    from ..streaming.upsert import shared_root
 
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "text", F.col("quality").cast("string").alias("kind"))
-    return cross_validate(d, "doc_id", "kind", {"word 1gram + logistic": ("logistic", "word 1"), "word 1gram + bayes": ("bayes", "word 1")})
+    kinds = {"word 1gram + logistic": ("logistic", "word 1"), "word 1gram + bayes": ("bayes", "word 1"), "word 1-2gram + svm": ("svm", "word 1-2"), "char 3-5gram + svm": ("svm", "char 3-5")}
+    return cross_validate(d, "doc_id", "kind", kinds, shared_root(spark))
+
+
+@query("stratified_folds", """
+WITH r AS (SELECT p_brand, count(*) AS n FROM part GROUP BY 1)
+SELECT p_brand, fold, (n // 3 + CASE WHEN (fold + 2) % 3 < n % 3 THEN 1 ELSE 0 END)::BIGINT AS n FROM r, range(3) f(fold) WHERE n // 3 + CASE WHEN (fold + 2) % 3 < n % 3 THEN 1 ELSE 0 END > 0""")
+def stratified_folds(spark, sf_dir):
+    """Ranks 1, 2, 3, ... of each class modulo three: no fold of a class is larger than another by more than one."""
+    from ..operators.classify import with_folds
+
+    return with_folds(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_partkey", "p_brand", 3).groupBy("p_brand", F.col("fold").cast("long").alias("fold")).agg(F.count("*").alias("n"))
 
 
 @query("download_queue", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN sha256('%PDF' || page_id) END AS sha256, CASE WHEN page_id % 3 = 1 THEN 'not the expected kind of file' WHEN page_id % 3 = 2 THEN 'no answer' END AS error FROM pages WHERE page_id % 4 <> 0")

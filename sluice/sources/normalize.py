@@ -25,6 +25,13 @@ FEEDS = {
 }
 
 
+def _came(raw: DataFrame, *more: str) -> list[Column]:
+    """The order in which records came, where raw has it; rows of one record in the order of ``more``."""
+    if "_arrival" not in raw.columns:
+        return []
+    return [F.struct(F.col("_arrival").alias("record"), *more).alias("_arrival") if more else F.col("_arrival")]
+
+
 def odata_solicitations(raw: DataFrame) -> dict[str, DataFrame]:
     """One solicitation and as many awards as there are named suppliers."""
     base = raw.withColumn("document_number", document_number(F.col("Solicitation_Document_Number"))).filter("document_number is not null")
@@ -33,11 +40,11 @@ def odata_solicitations(raw: DataFrame) -> dict[str, DataFrame]:
         "document_number", c("Status").alias("status"), c("Solicitation_Document_Type").alias("solicitation_type"), c("Solicitation_Form_Type").alias("form_type"), clean_title(c("Posting_Title")).alias("title"),
         c("Solicitation_Document_Description").alias("description"), c("High_Level_Category").alias("category"), c("Issue_Date").alias("issue_date"), c("Closing_Date").alias("submission_deadline"),
         clean_feed_list(F.col("Client_Division")).alias("division"), c("Buyer_Name").alias("buyer_name"), c("Buyer_Email").alias("buyer_email"), c("Buyer_Phone_Number").alias("buyer_phone"),
-        clean_feed_list(F.col("Wards")).alias("wards"), c("Ariba_Discovery_Posting_Link").alias("posting_link"), F.lit("odata").alias("source"),
+        clean_feed_list(F.col("Wards")).alias("wards"), c("Ariba_Discovery_Posting_Link").alias("posting_link"), F.lit("odata").alias("source"), *_came(raw),
     )
-    awards = base.select("document_number", F.explode("Awarded_Suppliers").alias("a")).select(
+    awards = base.select("document_number", *_came(raw), F.posexplode("Awarded_Suppliers").alias("place", "a")).select(
         "document_number", clean_feed(F.col("a.Successful_Bidder")).alias("supplier_name_raw"), clean_feed(F.col("a.Award_Amount")).alias("award_amount"),
-        F.coalesce(clean_feed(F.col("a.Date_Awarded")), clean_feed(F.col("a.AwardedDate"))).alias("award_date"), F.lit("odata").alias("source"),
+        F.coalesce(clean_feed(F.col("a.Date_Awarded")), clean_feed(F.col("a.AwardedDate"))).alias("award_date"), F.lit("odata").alias("source"), *_came(raw, "place"),
     ).filter("supplier_name_raw is not null")
     return {"solicitation": spine, "award": awards}
 
@@ -47,7 +54,7 @@ def odata_noncompetitive(raw: DataFrame) -> dict[str, DataFrame]:
     first = F.get("Awarded_Suppliers", F.lit(0))
     rows = raw.select(
         clean_feed(F.col("Non_Competitive_Reference_Number")).alias("workspace_number"), clean_feed(F.col("Non_Competitive_Reason")).alias("reason"), clean_feed(first.Successful_Bidder).alias("supplier_name_raw"),
-        clean_feed(first.Award_Amount).alias("contract_amount"), clean_feed(first.Date_Awarded).alias("contract_date"), clean_feed_list(F.col("Client_Division")).alias("division"), F.lit("odata").alias("source"),
+        clean_feed(first.Award_Amount).alias("contract_amount"), clean_feed(first.Date_Awarded).alias("contract_date"), clean_feed_list(F.col("Client_Division")).alias("division"), F.lit("odata").alias("source"), *_came(raw),
     )
     return {"noncompetitive": rows.filter("workspace_number is not null")}
 
@@ -60,12 +67,12 @@ def _portal_spine(raw: DataFrame, status: str, **more: Column) -> DataFrame:
     return raw.select(
         document_number(F.col("`Document Number`")).alias("document_number"), F.lit(status).alias("status"), _portal("RFx (Solicitation) Type").alias("solicitation_type"), _portal("High Level Category").alias("category"),
         _portal("Division").alias("division"), _portal("Buyer Name").alias("buyer_name"), _portal("Buyer Email").alias("buyer_email"), _portal("Buyer Phone Number").alias("buyer_phone"),
-        _portal("Solicitation Document Description").alias("description"), _portal("Wards").alias("wards"), F.lit("ckan").alias("source"), *(c.alias(n) for n, c in more.items()),
+        _portal("Solicitation Document Description").alias("description"), _portal("Wards").alias("wards"), F.lit("ckan").alias("source"), *(c.alias(n) for n, c in more.items()), *_came(raw),
     ).filter("document_number is not null")
 
 
 def portal_awarded(raw: DataFrame) -> dict[str, DataFrame]:
-    awards = raw.select(document_number(F.col("`Document Number`")).alias("document_number"), _portal("Successful Supplier").alias("supplier_name_raw"), _portal("Award").alias("award_amount"), _portal("Award Authority Obtained Date").alias("award_date"), F.lit("ckan").alias("source"))
+    awards = raw.select(document_number(F.col("`Document Number`")).alias("document_number"), _portal("Successful Supplier").alias("supplier_name_raw"), _portal("Award").alias("award_amount"), _portal("Award Authority Obtained Date").alias("award_date"), F.lit("ckan").alias("source"), *_came(raw))
     return {"solicitation": _portal_spine(raw, "Awarded"), "award": awards.filter("document_number is not null and supplier_name_raw is not null")}
 
 
@@ -74,7 +81,7 @@ def portal_open(raw: DataFrame) -> dict[str, DataFrame]:
 
 
 def portal_noncompetitive(raw: DataFrame) -> dict[str, DataFrame]:
-    rows = raw.select(_portal("Workspace Number").alias("workspace_number"), _portal("Reason").alias("reason"), _portal("Supplier Name").alias("supplier_name_raw"), _portal("Contract Amount").alias("contract_amount"), _portal("Contract Date").alias("contract_date"), _portal("Division").alias("division"), _portal("Supplier Address").alias("supplier_address"), F.lit("ckan").alias("source"))
+    rows = raw.select(_portal("Workspace Number").alias("workspace_number"), _portal("Reason").alias("reason"), _portal("Supplier Name").alias("supplier_name_raw"), _portal("Contract Amount").alias("contract_amount"), _portal("Contract Date").alias("contract_date"), _portal("Division").alias("division"), _portal("Supplier Address").alias("supplier_address"), F.lit("ckan").alias("source"), *_came(raw))
     return {"noncompetitive": rows.filter("workspace_number is not null")}
 
 
@@ -88,7 +95,7 @@ CAPITAL = {
 def portal_capital(raw: DataFrame) -> dict[str, DataFrame]:
     """Projects, with the construction contract number that their name carries."""
     name = _portal("Name and Construction Contract Number")
-    rows = raw.select(name.alias("name"), contract_number(name).alias("contract_number"), *(_portal(f).alias(c) for f, c in CAPITAL.items()), F.lit("ckan_pipeline").alias("source"))
+    rows = raw.select(name.alias("name"), contract_number(name).alias("contract_number"), *(_portal(f).alias(c) for f, c in CAPITAL.items()), F.lit("ckan_pipeline").alias("source"), *_came(raw))
     return {"capital_project": rows.filter("name is not null")}
 
 

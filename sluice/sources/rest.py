@@ -4,7 +4,9 @@ Options: ``url``; ``style`` (``odata``: $skip and $top, rows under ``value``; ``
 and limit, rows under ``result.records``); ``page_size``; ``total`` (asked of the server where it
 isn't given); ``filter`` and ``orderby`` for odata, so that the server filters. Each page is a
 partition, read by an executor; equality filters on columns are pushed to an odata server.
-The rows are JSON strings in column ``record``.
+The rows are JSON strings in column ``record``, with their place in the feed; ``read_feed`` gives the
+declared fields and ``_arrival``. As a stream (``spark.readStream``) the offset is a place: each batch
+reads what the feed has gained, a page a partition, and a run that died goes on at its checkpoint's place.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import urllib.request
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, InputPartition
 
 
 def get(url: str, params: dict | None = None, retries: int = 3, pause: float = 0.5, data: bytes | None = None, timeout: float = 30) -> bytes:
@@ -78,8 +80,11 @@ class PagedReader(DataSourceReader):
             return answer["result"]["records"], int(answer["result"].get("total", 0))
         return answer["value"], int(answer.get("@odata.count", 0))
 
+    def count(self) -> int:
+        return int(self.total) if self.total is not None else self._page(0, 1)[1]
+
     def partitions(self):
-        total = int(self.total) if self.total is not None else self._page(0, 1)[1]
+        total = self.count()
         starts = list(range(0, total, self.size)) or [0]
         return [Page(k, self.size, k == starts[-1]) for k in starts]
 
@@ -91,22 +96,56 @@ class PagedReader(DataSourceReader):
             records = self._page(at, partition.size if partition.last else end - at)[0]
             if not records or records == before:
                 return
-            for record in records:
-                yield (json.dumps(record, ensure_ascii=False),)
+            for k, record in enumerate(records):
+                yield json.dumps(record, ensure_ascii=False), at + k
             at, before = at + len(records), records
 
 
+class PagedStream(DataSourceStreamReader):
+    """The feed as it grows: an offset is the number of records before it. A feed that shrank is an error,
+    as its places no longer mean what they did."""
+
+    def __init__(self, options: dict):
+        self.pages = PagedReader(options)
+
+    def initialOffset(self) -> dict:
+        return {"place": 0}
+
+    def latestOffset(self) -> dict:
+        return {"place": self.pages.count()}
+
+    def partitions(self, start: dict, end: dict):
+        if end["place"] < start["place"]:
+            raise ValueError(f"the feed shrank from {start['place']} to {end['place']} records")
+        size = self.pages.size
+        return [Page(k, min(size, end["place"] - k), False) for k in range(start["place"], end["place"], size)]
+
+    def read(self, partition: Page):
+        n = 0
+        for row in self.pages.read(partition):
+            n += 1
+            yield row
+        if n < partition.size:
+            raise ValueError(f"the feed gave {n} of {partition.size} records from {partition.skip} on")
+
+    def commit(self, end: dict) -> None:
+        """Nothing to let go of: a server keeps its records."""
+
+
 class PagedRest(DataSource):
     @classmethod
     def name(cls) -> str:
         return "paged_rest"
 
     def schema(self) -> str:
-        return "record string"
+        return "record string, place long"
 
     def reader(self, schema) -> DataSourceReader:
         return PagedReader(dict(self.options))
 
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return PagedStream(dict(self.options))
+
 
 def read_feed(spark: SparkSession, url: str, fields: str, **options) -> DataFrame:
     """A feed's records with its declared fields."""
@@ -115,16 +154,32 @@ def read_feed(spark: SparkSession, url: str, fields: str, **options) -> DataFram
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PagedRest)
     raw = spark.read.format("paged_rest").option("url", url).options(**options).load()
-    return raw.select(F.from_json("record", fields).alias("r")).select("r.*")
+    return raw.select(F.from_json("record", fields).alias("r"), F.col("place").alias("_arrival")).select("r.*", "_arrival")
+
+
+def stream_feed(spark: SparkSession, url: str, fields: str, **options) -> DataFrame:
+    """read_feed as a stream."""
+    from pyspark.sql import functions as F
+
+    spark.dataSource.register(PagedRest)
+    raw = spark.readStream.format("paged_rest").option("url", url).options(**options).load()
+    return raw.select(F.from_json("record", fields).alias("r"), F.col("place").alias("_arrival")).select("r.*", "_arrival")
 
 
 def landed(spark: SparkSession, folder: str, fields: str) -> DataFrame:
-    """Records that were landed as JSON lines."""
-    return spark.read.schema(fields).json(folder)
+    """Records that were landed as JSON lines, with the order in which they came in ``_arrival``: files by
+    their paths, which ``land`` makes ascend, ranges of a file by their starts, lines within a range."""
+    from pyspark.sql import functions as F
+
+    raw = spark.read.schema(fields).option("recursiveFileLookup", True).json(folder)
+    return raw.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line")).alias("_arrival"))
 
 
-def land(records: DataFrame, folder: str) -> None:
-    records.write.mode("append").json(folder)
+def land(records: DataFrame, folder: str) -> str:
+    """Append records, in the order of their partitions, in a folder of their own whose name ascends with time."""
+    at = f"{folder}/landed={time.time_ns():020d}"
+    records.drop("_arrival").write.json(at)
+    return at
 
 
 def cached_pages(spark: SparkSession, folder: str) -> DataFrame:

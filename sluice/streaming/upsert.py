@@ -1,9 +1,9 @@
 """Idempotent keyed upserts of a stream.
 
-Each micro-batch is folded and merged into a versioned Parquet table: a version is written
-whole and then becomes the current one, since a table cannot be overwritten while it is read.
-Because the fold remembers at which ``seq`` each value came, a batch that is replayed, or whose
-records come late, changes nothing it should not: late nulls never erase, older values never win.
+Each micro-batch is folded and merged into a keyed table, of which only the buckets it touches are
+rewritten; the commit remembers the batch, so one that is replayed after a crash changes nothing.
+Because the fold remembers at which ``seq`` each value came, records that come late change nothing
+they should not: late nulls never erase, older values never win.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..keyed import KeyedTable
+
 
 def folded(batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """One row a key; each value as struct(seq, value) of its latest non-null record."""
@@ -26,41 +28,38 @@ def plain(state: DataFrame, keys: list[str]) -> DataFrame:
     return state.select(*keys, *(F.col(f"{c}.v").alias(c) for c in state.columns if c not in keys))
 
 
-class VersionedTable:
-    """The state as ``root/v=N``; the newest whole version counts. The folder must be shared."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root, self.version = spark, root.rstrip("/"), 0
-
-    def read(self) -> DataFrame | None:
-        return self.spark.read.parquet(f"{self.root}/v={self.version}") if self.version else None
-
-    def write(self, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/v={self.version + 1}")
-        self.version += 1
-
-
-def upsert_sink(state: VersionedTable, keys: list[str], seq: str):
+def upsert_sink(state: KeyedTable, keys: list[str], seq: str, name: str = "upserts"):
     """A ``foreachBatch`` function that merges each micro-batch into state."""
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        new, old = folded(batch, keys, seq), state.read()
-        if old is not None:
-            both = old.unionByName(new, allowMissingColumns=True)
-            new = both.groupBy(*keys).agg(*(F.max(c).alias(c) for c in both.columns if c not in keys))
-        state.write(new)
+    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        if old is None:
+            return new
+        both = old.unionByName(new, allowMissingColumns=True)
+        return both.groupBy(*keys).agg(*(F.max(c).alias(c) for c in both.columns if c not in keys))
+
+    def run(batch: DataFrame, number: int) -> None:
+        batch = folded(batch, keys, seq).persist()  # folded once for its buckets and its rows
+        try:
+            state.change(batch, merge, stream=(name, number))
+        finally:
+            batch.unpersist()
 
-    return merge
+    return run
 
 
 def shared_root(spark: SparkSession) -> str:
-    at = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="sluice-")
+    """A new folder's name where all executors can reach it; machine-local only where all run in one JVM."""
+    if not (at := spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()):
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        at = tempfile.mkdtemp(prefix="sluice-")
+        spark.sparkContext.setCheckpointDir(at)
     return f"{at.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def upsert_stream(stream: DataFrame, keys: list[str], seq: str, root: str, available_now: bool = True) -> tuple[VersionedTable, object]:
+def upsert_stream(stream: DataFrame, keys: list[str], seq: str, root: str, available_now: bool = True) -> tuple[KeyedTable, object]:
     """Start the upsert of a streaming DataFrame; (the table, the running query)."""
-    state = VersionedTable(stream.sparkSession, f"{root}/table")
+    state = KeyedTable(stream.sparkSession, f"{root}/table", keys)
     writer = stream.writeStream.foreachBatch(upsert_sink(state, keys, seq)).option("checkpointLocation", f"{root}/checkpoint")
     return state, (writer.trigger(availableNow=True) if available_now else writer).start()
 
@@ -92,8 +91,8 @@ def replay_counts(batch: DataFrame, time: str, by: str) -> DataFrame:
     root = shared_root(spark)
     batch.write.parquet(f"{root}/landing")
     stream = spark.readStream.schema(batch.schema).parquet(f"{root}/landing")
-    state = VersionedTable(spark, f"{root}/counts")
-    sink = lambda df, _id: state.write(df if state.read() is None else state.read().join(df.select("window", by), ["window", by], "left_anti").unionByName(df))
+    state = KeyedTable(spark, f"{root}/counts", ["starts", by])
+    sink = lambda df, _id: state.put(df.select(F.col("window.start").alias("starts"), by, "n"))
     running = windowed_counts(stream, time, by).writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     running.awaitTermination()
-    return state.read().select(F.col("window.start").alias("starts"), by, "n")
+    return state.read().select("starts", by, "n")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice import pipeline
-from sluice.export import dictionary, document, tabular
+from sluice.export import dictionary, document, tabular, zipped
 from sluice.extraction import backfill, dedup_contracts, extract, facts, with_fallback
 from sluice.functions.documents import EXTRACTION
 from sluice.schemas import EXPORT_TABLES
@@ -130,7 +130,7 @@ def test_paged_rest(spark):
 
 def test_zipped_csv_keeps_rows_like_the_header(spark, tmp_path):
     t = spark.createDataFrame([("a", "b"), ("x", "y"), ("a", "b"), (None, "z")], "a string, b string").repartition(3)
-    z = tabular.zip_csv(spark, tabular.write_csv({"t": t}, str(tmp_path)), f"{tmp_path}/t.zip")
+    z = zipped.zip_csv({"t": t}, f"{tmp_path}/t.zip")
     with zipfile.ZipFile(z) as f:
         lines = f.read("t.csv").decode().splitlines()
     assert lines[0] == "a,b" and sorted(lines[1:]) == [",z", "a,b", "a,b", "x,y"]
@@ -241,7 +241,7 @@ def test_export(archive):
     assert json.loads(next(r.value for r in a.spark.read.text(paths["solicitations"]).collect()))["generated_at"] == "now"
     flat = {t: tables[t] for t in ("award", "sync_run")}
     tabular.write_parquet(flat, f"{root}/out")
-    z = tabular.zip_csv(a.spark, tabular.write_csv(flat, f"{root}/out"), f"{root}/out/t.zip")
+    z = zipped.zip_csv(flat, f"{root}/out/t.zip")
     with zipfile.ZipFile(z) as f:
         assert sorted(f.namelist()) == ["award.csv", "sync_run.csv"] and len(f.read("award.csv").splitlines()) == 3
     m = {r.name: r.bytes for r in dictionary.manifest(a.spark, [z, f"{root}/out/parquet", f"{root}/nothing"]).collect()}
