@@ -356,7 +356,7 @@ def _nodes_across(stairs: DataFrame, low: _Minima, least: _Minima, before: np.nd
         return pd.Series(least.over(start.to_numpy(), end.to_numpy()))
 
     asks = stairs.filter("value >= 0").withColumn("lb", left_block("block", "side", "value")).withColumn("rb", right_block("block", "side", "value"))
-    sums = spark_sums(stairs.sparkSession, before)
+    sums = _before(stairs.sparkSession, before)
     known = stairs.join(sums, "block").select("block", "side", "value", "pos", *((F.col(c) + F.col(f"before_{c}")).alias(c) for c in SUMS), "own_new", "own_words", "len", "ends", "least")
     left = _nearest(asks.select("block", "side", "value", F.col("lb").alias("target")), known.filter("side = 'R'"), "l")
     right = _nearest(asks.filter(F.col("rb") < n).select("block", "side", "value", F.col("rb").alias("target")), known.filter("side = 'L'"), "r")
@@ -370,17 +370,19 @@ def _nodes_across(stairs: DataFrame, low: _Minima, least: _Minima, before: np.nd
     return whole.withColumn("parts", F.sum("equal").over(Window.partitionBy("lb", "lpos", "value")))
 
 
-def spark_sums(spark, before: np.ndarray) -> DataFrame:
+def _before(spark, before: np.ndarray) -> DataFrame:
     """The sums of all blocks before each: a row a block."""
     return F.broadcast(spark.createDataFrame([(k, *(int(x) for x in row)) for k, row in enumerate(before[:-1])], "block long, " + ", ".join(f"before_{c} long" for c in SUMS)))
 
 
 def _nearest(asks: DataFrame, known: DataFrame, name: str) -> DataFrame:
-    """For each (block, side, value) the entry of the target block's staircase with the greatest smaller value."""
+    """For each (block, side, value) the entry of the target block's staircase with the greatest smaller value.
+    Blocks that ask the same are one question, so a target has no more of them than depths."""
     entry = F.struct(*(c for c in known.columns if c not in ("block", "side")))
-    both = asks.withColumn("kind", F.lit(0)).unionByName(known.select(F.col("block").alias("target"), "value", entry.alias(name), F.lit(1).alias("kind")), allowMissingColumns=True)
+    both = asks.select("target", "value").distinct().withColumn("kind", F.lit(0)).unionByName(known.select(F.col("block").alias("target"), "value", entry.alias(name), F.lit(1).alias("kind")), allowMissingColumns=True)
     smaller = Window.partitionBy("target").orderBy("value", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(name, F.last(name, ignorenulls=True).over(smaller)).filter("kind = 0").select("block", "side", "value", name)
+    told = both.withColumn(name, F.last(name, ignorenulls=True).over(smaller)).filter("kind = 0").select("target", "value", name)
+    return asks.join(told, ["target", "value"]).select("block", "side", "value", name)
 
 
 def _across_filled(across: DataFrame) -> DataFrame:
