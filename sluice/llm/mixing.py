@@ -6,11 +6,12 @@ and again) until every marginal holds its target within ``tolerance``. What is r
 odds of a cell's documents, and what a cell gives is its tokens by its odds, at most all: a
 full cell stays full and the others are raked on, so no document is asked for twice and no
 target is given up. The scale is a share ``keep`` of all tokens, or less where a marginal value has too
-few: no value gives more than ``fill`` of its tokens. A document is kept with the probability
+few: no value gives more than ``fill`` of its tokens. But it doesn't fall below ``least``, however scarce a value
+is: what a full one lacks of its target is shared out among the others of its marginal in proportion to theirs. A document is kept with the probability
 of its cell; the draw is a hash of its id: the same documents whatever the partitioning.
 
-Should targets contradict each other over the cells that exist, raking ends after ``rounds``
-with the shares nearest to them that it reached; ``report`` shows every marginal's target and what is expected.
+Should targets contradict each other over the cells that exist, raking ends after ``rounds`` with a
+warning that says how far off it is; ``report`` shows every marginal's target and what is expected.
 
 DataFrame functions only. The cells are as many as the marginals' values allow, apart from the
 documents; only they are iterated on, and a source that holds a third of all documents is a
@@ -25,7 +26,9 @@ ids are kept or dropped together, as null ids are. Extra columns, clashing names
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import warnings
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD_PATTERN, free_name, spool, table
@@ -65,13 +68,30 @@ def shares(cells: DataFrame, margin: str, named: dict[str, float]) -> DataFrame:
     return values.select(margin, "n", target.alias("share"))
 
 
-def rake(cells: DataFrame, margins: list[str], targets: dict[str, dict[str, float]], keep: float = 0.5, fill: float = 0.8, tolerance: float = 5e-3, rounds: int = 60) -> DataFrame:
+def within_reach(values: DataFrame, wanted: float, fill: float) -> DataFrame:
+    """values (n, share) with the shares of ``wanted`` tokens that they can give: at most ``fill`` of what each
+    has; what a full one lacks goes to the others in proportion to their shares. The shares are
+    least(limit, level x share), and the level rises, an aggregate a step, until it fills no other value."""
+    limit = F.col("n") * F.lit(fill / wanted)
+    level = 1.0
+    while True:
+        full = F.lit(level) * F.col("share") > limit
+        held, open_, n = values.agg(F.coalesce(F.sum(F.when(full, limit)), F.lit(0.0)), F.coalesce(F.sum(F.when(~full, F.col("share"))), F.lit(0.0)), F.count_if(full)).first()
+        higher = (1 - held) / open_ if open_ > 0 else level
+        if not n or higher <= level * (1 + 1e-12):
+            break
+        level = higher
+    return values.withColumn("share", F.least(limit, F.lit(level) * F.col("share")))
+
+
+def rake(cells: DataFrame, margins: list[str], targets: dict[str, dict[str, float]], keep: float = 0.5, fill: float = 0.8, least: float = 0.25, tolerance: float = 5e-3, rounds: int = 60) -> DataFrame:
     """cells (margins, tokens) with ``odds``, by which tokens meet the target marginals. Each step
     is a partial aggregate by one marginal, joined back: no value's cells meet in one task."""
     whole = float(cells.agg(F.sum("tokens")).first()[0] or 1)
     wanted = {m: shares(cells, m, targets.get(m, {})) for m in margins}
     reach = [x.agg(F.min(F.col("n") / F.lit(whole) / F.col("share"))).first()[0] for x in wanted.values()]
-    scale = min([float(keep), *(float(fill) * x for x in reach if x is not None)])
+    scale = max(float(min(keep, least)), min([float(keep), *(float(fill) * x for x in reach if x is not None)]))
+    wanted = {m: within_reach(x, whole * scale, fill) for m, x in wanted.items()}
     w = cells.withColumn("odds", F.lit(scale))
     for m, values in wanted.items():
         w = w.join(values.select(m, (F.col("share") * F.lit(whole * scale)).alias(f"_target_{m}")), m)
@@ -82,10 +102,13 @@ def rake(cells: DataFrame, margins: list[str], targets: dict[str, dict[str, floa
             gives = w.groupBy(m).agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), "odds")).alias("_sum"))
             factor = F.col(f"_target_{m}") / F.col("_sum")
             w = w.join(gives, m).withColumn("_off", F.greatest("_off", F.abs(1 / factor - 1))).withColumn("odds", F.col("odds") * factor).drop("_sum")
-        off = Observation()
-        w = spool(w.observe(off, F.max("_off").alias("off")).drop("_off"), "raked")
-        if (off.get["off"] or 0.0) <= tolerance:
+        spooled = spool(w, "raked")
+        off = spooled.agg(F.max("_off")).first()[0] or 0.0
+        w = spooled.drop("_off")
+        if off <= tolerance:
             break
+    else:
+        warnings.warn(f"raking ended after {rounds} rounds with a marginal {off:.1%} off its target", stacklevel=2)
     return w.select(*margins, "tokens", "odds")
 
 

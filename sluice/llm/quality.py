@@ -7,8 +7,8 @@ content lines decides whether it is kept, after the counting rules (too few word
 many repeated passages).
 
 The field is fitted on the driver on a bounded sample of labelled rows: at most
-``train_documents`` (parameter) documents, those whose ids hash lowest; of each only the
-feature masks and lengths of its lines travel. Labels are of documents, so the lines' are latent:
+``train_documents`` (parameter) rows, those whose ids hash lowest, however many rows an id has; of each only the
+feature masks and lengths of its first ``train_lines`` (parameter) lines travel. Labels are of documents, so the lines' are latent:
 in good documents a line starts as content, unless it has rights or licence wording; in bad ones
 as what its features speak for, by their odds between bad and good documents. Then, in turns, a field is
 fitted and the lines take the labels it decodes, as long as a bad document keeps a boilerplate line
@@ -229,13 +229,13 @@ def fit_lines(documents: list[tuple[list[int], list[int], int]], turns: int = 2,
     return field, labels
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str, text: str, target: str = "quality", train_documents: int = 2000) -> Field:
-    """A field fitted on at most ``train_documents`` labelled documents."""
-    return fit_lines(sample(docs, labels, key, text, target, train_documents))[0]
+def train(docs: DataFrame, labels: DataFrame, key: str, text: str, target: str = "quality", train_documents: int = 2000, train_lines: int = 2000) -> Field:
+    """A field fitted on at most ``train_documents`` labelled rows, ``train_lines`` lines of each."""
+    return fit_lines(sample(docs, labels, key, text, target, train_documents, train_lines))[0]
 
 
-def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, target: str = "quality", train_documents: int = 2000) -> list[tuple[list[int], list[int], int]]:
-    """(masks, sizes, good) of at most ``train_documents`` labelled documents with lines."""
+def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, target: str = "quality", train_documents: int = 2000, train_lines: int = 2000) -> list[tuple[list[int], list[int], int]]:
+    """(masks, sizes, good) of at most ``train_documents`` labelled rows with lines, of the first ``train_lines`` lines of each."""
     chosen = labels.filter(F.col(key).isNotNull() & F.col(target).isNotNull()).select(F.col(key).cast("long").alias("_k"), F.col(target).cast("int").alias("_y"))
     chosen = chosen.groupBy("_k").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_k"), "_k").limit(train_documents)
     of = docs.select(F.col(key).cast("long").alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "_k").select("_k", "_y", "text")
@@ -244,9 +244,10 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, target: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             profiles = [Profile(t) for t in b.column(2).to_pylist()]
-            yield batch(schema, [b.column(0), b.column(1), [p.masks for p in profiles], [p.sizes for p in profiles]])
+            yield batch(schema, [b.column(0), b.column(1), [p.masks[:train_lines] for p in profiles], [p.sizes[:train_lines] for p in profiles]])
 
-    rows = of.mapInArrow(run, "k long, y int, masks array<int>, sizes array<int>").collect()
+    profiled = of.mapInArrow(run, "k long, y int, masks array<int>, sizes array<int>").filter("size(masks) > 0")
+    rows = profiled.orderBy(F.xxhash64("k"), "k", F.xxhash64("masks", "sizes")).limit(train_documents).collect()  # a heap a task
     rows.sort(key=lambda r: (r["k"], r["masks"], r["sizes"]))
     return [(r["masks"], r["sizes"], int(r["y"] > 0)) for r in rows if r["masks"]]
 

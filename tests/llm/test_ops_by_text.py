@@ -319,6 +319,30 @@ def test_full_cells_are_fixed_and_the_rest_raked_on(spark):
     assert abs(sum(v[0] for k, v in got.items() if k[1] == "x") - 0.6 * whole) < 0.01 * whole
 
 
+def test_a_scarce_value_does_not_empty_the_corpus(spark):
+    """One document of a value that should be a tenth: it gives what it has, the others share the rest."""
+    docs = spark.range(2000).selectExpr("id AS doc_id", "'one two three four' AS text", "if(id = 7, 'src0', concat('s', id % 4)) AS source", "'en' AS lang", "'t' AS topic")
+    cells = mixing.odds(mixing.weights(docs, "doc_id", "text"), NAMES, mixing.TARGETS)
+    got = {r.source: r.probability for r in cells.collect()}
+    assert abs(got["src0"] - 0.8) < 0.01 and all(abs(got[f"s{k}"] - 0.25) < 0.01 for k in range(4))
+    assert 400 < mixing.sample(docs, "doc_id", "text").count() < 600
+    table_ = spark.createDataFrame([("a", 0.6, 10.0), ("b", 0.3, 90.0), ("c", 0.1, 900.0)], "source string, share double, n double")
+    assert [round(r.share, 9) for r in mixing.within_reach(table_, 500.0, 1.0).orderBy("source").collect()] == [0.02, 0.18, 0.8]
+
+
+def test_raking_says_how_far_off_it_ended(spark):
+    cells = spark.createDataFrame([("a", "x", "t", 10.0), ("b", "y", "t", 90.0)], "source string, lang string, topic string, tokens double")
+    with pytest.warns(UserWarning, match="off its target"):
+        mixing.rake(cells, NAMES, {"source": {"a": 0.05, "b": 0.95}, "lang": {"x": 0.1, "y": 0.9}, "topic": {}}, rounds=2)
+
+
+def test_training_is_bounded_in_rows_and_lines(spark):
+    docs = spark.range(500).selectExpr("1L AS doc_id", "repeat('some words here\n', 50) AS text").union(spark.range(2, 40).selectExpr("id AS doc_id", "'other words'"))
+    labels = spark.range(1, 40).selectExpr("id AS doc_id", "int(id % 2) AS quality")
+    rows = quality.sample(docs, labels, "doc_id", "text", train_documents=10, train_lines=7)
+    assert len(rows) == 10 and max(len(masks) for masks, _, _ in rows) <= 7
+
+
 def test_own_topics_and_unnamed_values(spark):
     docs = spark.range(900).selectExpr("id AS doc_id", "'one two three four' AS text", "if(id % 3 = 0, 'hot', null) AS source", "'en' AS lang", "if(id % 10 = 0, 'rare', 'often') AS topic")
     cells = mixing.odds(mixing.weights(docs, "doc_id", "text"), NAMES, {"topic": {"rare": 0.2}, "source": {}, "lang": {"en": 1.0, "xx": 1.0}})
