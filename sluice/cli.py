@@ -8,15 +8,19 @@ import datetime
 from pyspark.sql import functions as F
 
 from . import pipeline
-from .export import dictionary, document, tabular, zipped
+from .export import dictionary, document, publish, tabular, zipped
 from .extraction import backfill, extract, facts
 from .functions.amounts import parse_amount
 from .functions.titles import clean_title
+from .keyed import KeyedTable
+from .operators import evaluate
 from .operators.ledger import last_runs
 from .operators.match import chronological, folder_titles
 from .schemas import EXPORT_TABLES, TABLES
 from .session import local_session
-from .sources import html_tables, links, normalize, rest
+from .settings import setting
+from .sources import html_tables, landing, links, normalize, rest
+from .sources.bundles import Bundles
 from .store import Archive
 
 
@@ -71,8 +75,15 @@ def cmd_record_step(archive, args):
 
 
 def cmd_nightly(archive, args):
+    before = {r["table_name"]: r["n"] for r in archive.counts().collect()}
     runs = pipeline.nightly(archive, sources(archive, args.landing), [], lambda: cmd_export(archive, args))
-    print(pipeline.summary(runs))
+    after = {r["table_name"]: r["n"] for r in archive.counts().collect()}
+    size = None
+    if runs[-1].status == "ok":
+        size = sum(r["bytes"] for r in dictionary.manifest(archive.spark, [f"{args.to}/json"]).collect())
+    told = pipeline.summary(runs, pipeline.growth(before, after), size, exported=True)
+    print(told)
+    pipeline.post(told, setting("SLUICE_WEBHOOK"), print)
     return int(any(r.status != "ok" for r in runs))
 
 
@@ -113,6 +124,99 @@ def cmd_extract(archive, args):
             print(name, archive.rebuild(name, rows))
 
 
+def cmd_enrich_council(archive, args):
+    """Items' titles and decisions, and the files they link, from landed item pages named by their reference."""
+    pages = rest.cached_pages(archive.spark, args.pages).withColumnRenamed("stem", "reference")
+    items = pages.lateralJoin(html_tables.CouncilItem(F.col("html").outer())).persist()
+    try:
+        print("council_item", *archive.upsert("council_item", items.filter("title IS NOT NULL").select("reference", "title", "decision_text"), "overwrite"))
+        files = items.select("reference", F.explode("pdfs").alias("url")).groupBy("url").agg(F.min("reference").alias("reference"))
+        print("background_pdf", *archive.upsert("background_pdf", files.withColumn("kind", F.lit("council")), "backfill"))
+    finally:
+        items.unpersist()
+
+
+def cmd_enrich_awards(archive, args):
+    """Award summaries among the uploaded files of landed records: queued for download where they are new."""
+    records = archive.spark.read.schema("id string, uploadedFilesStaff array<struct<name string, url string>>").json(args.records)
+    files = normalize.award_summary_files(records).filter("url IS NOT NULL").groupBy("url").agg(F.min("id").alias("reference"))
+    print("background_pdf", *archive.upsert("background_pdf", files.withColumn("kind", F.lit("award_summary")), "backfill"))
+    waiting = archive.read("background_pdf").filter("kind = 'award_summary' AND sha256 IS NULL").count()
+    print(f"{waiting} award summaries still to be fetched")
+
+
+def cmd_enrich_agencies(archive, args):
+    """The reports that landed agendas of the boards link, the buyers, and the supplier dimension; a part that fails
+    is named at the end."""
+    failed = []
+
+    def reports():
+        pages = rest.cached_pages(archive.spark, args.pages).withColumnRenamed("stem", "meeting")
+        pdfs = pages.lateralJoin(html_tables.AgendaPdfs(F.col("html").outer(), F.col("meeting").outer())).groupBy("url").agg(F.min("reference").alias("reference"))
+        print("background_pdf", *archive.upsert("background_pdf", pdfs.withColumn("kind", F.lit("agency_board")), "backfill"))
+
+    for name, step in (("buyers", lambda: print("buyer", *archive.upsert("buyer", landing.buyers(archive.spark), "overwrite"))), ("reports", reports), ("suppliers", lambda: pipeline.rebuild_suppliers(archive))):
+        try:
+            step()
+        except Exception as e:  # the others go on
+            failed.append(name)
+            print(f"FAILED {name}: {e}")
+    return int(bool(failed))
+
+
+def cmd_committee_awards(archive, args):
+    """Reports of award items in landed voting records (CSV), found on the items' landed pages."""
+    spark = archive.spark
+    votes = spark.read.option("header", True).option("multiLine", True).csv(args.votes)
+    items = normalize.voting_record(votes.withColumn("_place", F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id())), "_place")
+    pages = rest.cached_pages(spark, args.pages)
+    found = items.join(pages, F.col("reference") == F.col("stem")).lateralJoin(html_tables.ReportLink(F.col("html").outer(), F.col("document_number").outer())).filter("url IS NOT NULL")
+    rows = found.groupBy("url").agg(F.min(F.struct("reference", "document_number")).alias("x")).select("url", "x.*", F.lit("committee").alias("kind"))
+    print("background_pdf", *archive.upsert("background_pdf", rows, "backfill"))
+
+
+def cmd_attachments(archive, args):
+    """Index bundles of a folder: those that are new or changed, or with --reindex all of them."""
+    held = Bundles.at(archive.spark, f"{archive.root}/_bundles")
+    if args.reindex:
+        held.reindex(args.folder)
+    else:
+        held.stream(args.folder, f"{archive.root}/_bundles/checkpoint").awaitTermination()
+    index = held.index.read()
+    if index is not None:
+        archive.replace("ariba_attachment", index.select("document_number", "path", "filename", "file_size", "crc32"))
+        bad = held.held.read().filter("error IS NOT NULL")
+        for r in bad.orderBy("document_number").collect():
+            print(f"unreadable: {r['zip_name']}: {r['error']}")
+        print("ariba_attachment", archive.table("ariba_attachment").commit().count)
+
+
+def cmd_extract_validate(archive, args):
+    """Cached extractions beside a file of documents that people have read."""
+    spark = archive.spark
+    one = "id: string, url: string, none_present: boolean, entries: array<struct<company: string, contract: string>>"
+    truth = spark.read.schema(f"documents array<struct<{one}>>").option("multiLine", True).json(args.truth)
+    report = evaluate.against_truth(truth.select(F.explode("documents").alias("d")).select("d.*"), archive.read("background_pdf"), archive.read("extraction_cache"), args.version).persist()
+    try:
+        s = evaluate.truth_summary(report).first()
+        print(f"compared {s['compared']}, entries {s['total_gt']}, TP {s['tp']}, FN {s['fn']}, FP {s['fp']}, recall {s['recall']:.1%}, precision {s['precision']:.1%}")
+        told = report.filter("status <> 'compared' OR size(missed) > 0 OR size(count_flags) > 0")
+        for r in told.orderBy("url").toLocalIterator():
+            print(f"{r['url']}: {r['status']}", *(f"missed {m['supplier']}" for m in r["missed"] or ()), *(f"{f['reference']} declared {f['declared']}, got {f['actual']}" for f in r["count_flags"] or ()), sep="; ")
+    finally:
+        report.unpersist()
+
+
+def cmd_publish(archive, args):
+    """Check an export against the last published one and record it; exports that may go are listed."""
+    paths = [f"{args.to}/{p}" for p in ("json", "schema", "parquet", "csv", "tables.zip")]
+    log = KeyedTable(archive.spark, f"{archive.root}/_published", ["version", "name"])
+    at = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    versions = publish.publish(log, dictionary.manifest(archive.spark, paths), args.name or at.strftime("%Y%m%d%H%M%S"), at)
+    for r in versions.orderBy("at").collect():
+        print(r["version"], r["bytes"], r["why"] or "may go", sep="\t")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sluice")
     p.add_argument("--archive", required=True)
@@ -120,6 +224,9 @@ def parser() -> argparse.ArgumentParser:
     for name, f, options in (
         ("sync", cmd_sync, [("--landing", {"required": True}), ("--only", {"nargs": "*"}), ("--pages", {}), ("--archived", {})]), ("status", cmd_status, []), ("export", cmd_export, [("--to", {"required": True})]), ("manifest", cmd_manifest, [("--to", {"required": True})]),
         ("record-step", cmd_record_step, [("name", {}), ("status", {"choices": ["ok", "failed"]}), ("--error", {})]), ("nightly", cmd_nightly, [("--landing", {"required": True}), ("--to", {"required": True})]),
+        ("enrich-council", cmd_enrich_council, [("--pages", {"required": True})]), ("enrich-awards", cmd_enrich_awards, [("--records", {"required": True})]), ("enrich-agencies", cmd_enrich_agencies, [("--pages", {"required": True})]),
+        ("enrich-committee-awards", cmd_committee_awards, [("--votes", {"required": True}), ("--pages", {"required": True})]), ("enrich-attachments", cmd_attachments, [("folder", {}), ("--reindex", {"action": "store_true"})]),
+        ("extract-validate", cmd_extract_validate, [("truth", {}), ("--version", {"default": "v1"})]), ("publish", cmd_publish, [("--to", {"required": True}), ("--name", {})]),
         ("enrich-titles", cmd_enrich_titles, [("--pages", {"required": True}), ("--archived", {})]), ("amounts", cmd_amounts, []), ("extract", cmd_extract, [("--version", {"default": "v1"}), ("--limit", {"type": int}), ("--backfill", {"action": "store_true"})]),
     ):
         one = sub.add_parser(name, help=f.__doc__)

@@ -25,6 +25,38 @@ def corpus_report(scores: DataFrame, empty: float | None = None) -> DataFrame:
     return total.select("*", *rates(F.col("tp"), F.col("fn"), F.col("fp"), empty))
 
 
+def against_truth(truth: DataFrame, documents: DataFrame, cache: DataFrame, version: str) -> DataFrame:
+    """Extractions beside what people read in the same documents: a row a document of truth (id, url, none_present,
+    entries: array of (company, contract)). status is not_in_db (no such document), not_extracted, or compared;
+    then come the counts over distinct (name, contract), bids and awards alike, recall and precision (1 where there
+    is nothing to find or nothing was found), what was missed, and contracts with fewer bids than declared."""
+    from ..functions.documents import EXTRACTION, declared_count_flags
+    from ..functions.text import fold
+
+    pair = lambda name, contract: F.struct(fold(F.coalesce(name, F.lit(""))).alias("supplier"), F.coalesce(contract, F.lit("")).alias("contract"))
+    named = lambda c, kind: F.transform(F.coalesce(c[kind], F.array()), lambda b: pair(b.supplier_name, c.reference))
+    held = documents.select("url", "sha256").join(cache.filter(F.col("extractor_version") == version).select("sha256", "result_json"), "sha256", "left")
+    joined = truth.join(held.select(F.col("url").alias("_url"), "sha256", F.from_json("result_json", EXTRACTION).alias("_r")), F.col("url") == F.col("_url"), "left")
+    status = F.when(F.col("_url").isNull(), "not_in_db").when(F.col("_r").isNull(), "not_extracted").otherwise("compared")
+    wanted = F.when(F.coalesce("none_present", F.lit(False)), F.array().cast("array<struct<supplier:string,contract:string>>")).otherwise(F.array_distinct(F.transform(F.coalesce("entries", F.array()), lambda e: pair(e.company, e.contract))))
+    contracts = F.coalesce(F.col("_r.contracts"), F.array())
+    found = F.array_distinct(F.flatten(F.transform(contracts, lambda c: F.concat(named(c, "bids"), named(c, "awards")))))
+    each = joined.withColumns({"status": status, "_t": wanted, "_f": found})
+    scored = each.withColumns({"missed": F.array_sort(F.array_except("_t", "_f")), "tp": F.size(F.array_intersect("_t", "_f")).cast("long"), "fp": F.size(F.array_except("_f", "_t")).cast("long")})
+    scored = scored.withColumns({"fn": F.size("missed").cast("long"), "gt_count": F.size("_t").cast("long"), "extracted_count": F.size("_f").cast("long"), "count_flags": declared_count_flags(F.col("_r"))})
+    kept = ("gt_count", "extracted_count", "tp", "fn", "fp", "missed", "count_flags")
+    compared = F.col("status") == "compared"
+    out = scored.select("id", "url", "status", *(F.when(compared, F.col(c)).alias(c) for c in kept))
+    recall, precision = rates(F.col("tp"), F.col("fn"), F.col("fp"), 1.0)
+    return out.select("*", F.when(compared, recall).alias("recall"), F.when(compared, precision).alias("precision"))
+
+
+def truth_summary(report: DataFrame) -> DataFrame:
+    """One row: (compared, total_gt, tp, fn, fp, recall, precision) of against_truth's compared documents."""
+    total = report.filter("status = 'compared'").agg(F.count("*").alias("compared"), *(F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("gt_count", "total_gt"), ("tp", "tp"), ("fn", "fn"), ("fp", "fp"))))
+    return total.select("*", *rates(F.col("tp"), F.col("fn"), F.col("fp"), 1.0))
+
+
 def decide(votes: DataFrame, key: str) -> DataFrame:
     """Votes (key, voter, kind, flag, evidence) to one row a document: kind by majority, null if
     disputed; the flag if any vote has it, since a miss costs more than a wasted look; the

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime
 import functools
+import json
 import operator
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -48,6 +49,12 @@ class Run:
     upserted: int = 0
     error: str | None = None
     started: datetime.datetime = field(default_factory=lambda: datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None))
+    added: int = 0
+    seconds: float = 0.0
+
+    def ended(self) -> Run:
+        self.seconds = (datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None) - self.started).total_seconds()
+        return self
 
 
 def run_source(archive: Archive, source: Source) -> Run:
@@ -59,13 +66,14 @@ def run_source(archive: Archive, source: Source) -> Run:
                 raise ValueError(f"{source.name}: the order in which its records came is unknown")
             run.fetched = raw.count()
             for name, rows in source.normalize(raw).items():
-                run.upserted += archive.upsert(name, rows, source.mode)[0]
+                issued, added = archive.upsert(name, rows, source.mode)
+                run.upserted, run.added = run.upserted + issued, run.added + added
         finally:
             raw.unpersist()
         run.status = "ok"
     except Exception as e:  # one source's failure is its own
         run.status, run.error = "failed", str(e)[:1000]
-    return run
+    return run.ended()
 
 
 def record(archive: Archive, runs: list[Run]) -> None:
@@ -199,7 +207,7 @@ def link_passes(archive: Archive, labels: DataFrame | None = None, panel: Panel
             run.status = "ok"
         except Exception as e:  # a pass that fails leaves its table as it was
             run.status, run.error = "failed", str(e)[:1000]
-        out.append(run)
+        out.append(run.ended())
     return out
 
 
@@ -223,15 +231,47 @@ def nightly(archive: Archive, sources: list[Source], steps: list[tuple[str, Call
             run.status = "ok"
         except Exception as e:  # isolation is the contract
             run.status, run.error = "failed", str(e)[:1000]
-        runs.append(run)
+        runs.append(run.ended())
         record(archive, [run])
     return runs
 
 
-def summary(runs: list[Run], growth: list[tuple[str, int]] = ()) -> str:
-    """A text report of a run: what failed, what grew."""
+def elapsed(seconds: float) -> str:
+    m, s = divmod(int(seconds), 60)
+    return f"{m}m{s:02d}s" if m else f"{s}s"
+
+
+def growth(before: dict[str, int], after: dict[str, int], skip: tuple[str, ...] = ("sync_run", "buyer")) -> list[tuple[str, int, int]]:
+    """(table, rows now, change) of the tables that changed; nothing where the counts before aren't known, as
+    a change from a number that nobody took would be made up."""
+    return [(t, n, n - before.get(t, 0)) for t, n in after.items() if before and t not in skip and n != before.get(t, 0)]
+
+
+def summary(runs: list[Run], grown: list[tuple] = (), export_bytes: int | None = None, exported: bool = False) -> str:
+    """A text report of a run: how long it took, its steps, what each source gave, what grew, the export's size, what
+    failed. Total over a partial report: it mustn't be what fails the run that it reports."""
     failed = [r for r in runs if r.status != "ok"]
-    lines = [f"{len(runs)} steps, {len(failed)} failed"]
+    lines = [f"{len(runs)} steps, {len(failed)} failed, {elapsed(sum(r.seconds for r in runs))}"]
+    lines += [f"  {r.source}: {r.status}, {elapsed(r.seconds)}" for r in runs if r.seconds >= 1]
+    lines += [f"  {r.source}: {r.fetched:,} fetched" for r in runs if r.fetched]
+    lines += [f"  {t}: {n:,} ({d[0]:+,})" if d else f"  {t}: {n:+,}" for t, n, *d in grown]
+    if exported:
+        lines.append("  export FAILED" if export_bytes is None else f"  export {export_bytes / (1 << 20):.1f} MiB")
     lines += [f"  {r.source}: {r.error}" for r in failed]
-    lines += [f"  {t}: {d:+,}" for t, d in growth]
     return "\n".join(lines)
+
+
+def post(text: str, webhook: str | None, log: Callable[[str], None] = lambda line: None) -> bool:
+    """Send a report to a webhook; whether it went out. Without one nothing happens; a failure is logged by its kind
+    alone, as its message may hold the address, and never fails the run."""
+    import urllib.request
+
+    if not webhook:
+        return False
+    try:
+        request = urllib.request.Request(webhook, json.dumps({"text": text}).encode(), {"Content-Type": "application/json"})
+        with urllib.request.urlopen(request, timeout=15) as answer:
+            return answer.status < 400
+    except Exception as e:
+        log(f"report not sent: {type(e).__name__} {getattr(e, 'code', '')}".rstrip())
+        return False

@@ -210,3 +210,57 @@ def similar_names_join(spark, sf_dir):
     name = F.lower(F.concat_ws(" ", "p_name", "p_type", "p_brand"))
     wrong = F.when(F.col("p_partkey") % 3 == 0, F.replace(name, F.lit("widget"), F.lit("wigdet"))).when(F.col("p_partkey") % 3 == 1, F.concat(name, F.lit(" co"))).otherwise(F.substring(name, 2, 100))
     return suppliers.similar_names(p.select(wrong.alias("name")), p.select(name.alias("label")))
+
+
+@query("meeting_terms", """
+WITH RECURSIVE probe AS (SELECT DISTINCT c_nationkey AS t, c_custkey // 25 + 1 AS n, 2000 + c_custkey // 400 AS y FROM customer), hi AS (SELECT t, max(n) AS hi FROM probe GROUP BY 1),
+w AS (SELECT t, hi, 0::BIGINT AS n, 2000::BIGINT AS year, 0 AS missed, 0 AS found FROM hi
+  UNION ALL SELECT w.t, hi, w.n + 1, coalesce(p.y, w.year), CASE WHEN p.y IS NULL THEN missed + 1 ELSE 0 END, found + (p.y IS NOT NULL)::INTEGER
+  FROM w LEFT JOIN probe p ON p.t = w.t AND p.n = w.n + 1 AND p.y IN (w.year, w.year + 1) WHERE w.n < hi AND missed < 2)
+SELECT CAST(t AS VARCHAR) AS term, year::INTEGER AS year, n::INTEGER AS last, missed >= 2 AS over, found AS n_found FROM w QUALIFY row_number() OVER (PARTITION BY t ORDER BY n DESC) = 1""")
+def meeting_terms(spark, sf_dir):
+    """Customers of a nation as its meetings: two numbers in a row without one end a term; the year advances by one at a time."""
+    from ..sources.discovery import meetings
+
+    c = table(spark, sf_dir, "customer")
+    log = c.select(F.col("c_nationkey").cast("string").alias("term"), F.floor(F.col("c_custkey") / 25 + 1).cast("int").alias("number"), F.floor(2000 + F.col("c_custkey") / 400).cast("int").alias("year"), F.lit(True).alias("found"))
+    terms = log.select("term").distinct().withColumns({"first": F.lit(1), "first_year": F.lit(2000)})
+    return meetings(log, terms, misses=2).select("term", "year", "last", "over", F.size("found").alias("n_found"))
+
+
+_TRUTH = """
+WITH truth AS (SELECT DISTINCT l_orderkey AS id, lower(l_returnflag) AS s, l_linestatus AS c FROM lineitem),
+found AS (SELECT l_orderkey AS id, lower(l_returnflag) AS s, l_linestatus AS c FROM lineitem WHERE l_quantity > 10 UNION SELECT o_orderkey, 'extra', 'F' FROM orders WHERE o_orderkey % 2 = 0),
+docs AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'not_in_db' WHEN o_orderkey % 3 = 0 THEN 'not_extracted' ELSE 'compared' END AS status FROM orders),
+t AS (SELECT id, count(*) AS gt FROM truth GROUP BY 1), f AS (SELECT id, count(*) AS n FROM found GROUP BY 1), b AS (SELECT id, count(*) AS tp FROM truth JOIN found USING (id, s, c) GROUP BY 1),
+r AS (SELECT id, status, CASE WHEN status = 'compared' THEN coalesce(gt, 0) END AS gt_count, CASE WHEN status = 'compared' THEN coalesce(tp, 0) END AS tp, CASE WHEN status = 'compared' THEN coalesce(gt, 0) - coalesce(tp, 0) END AS fn, CASE WHEN status = 'compared' THEN coalesce(n, 0) - coalesce(tp, 0) END AS fp
+  FROM docs LEFT JOIN t USING (id) LEFT JOIN f USING (id) LEFT JOIN b USING (id))"""
+
+
+def _against_truth(spark, sf_dir):
+    from ..operators.evaluate import against_truth
+
+    o, line = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    read = line.groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_list(F.struct(F.col("l_returnflag").alias("company"), F.col("l_linestatus").alias("contract"))).alias("entries"))
+    truth = o.select(F.col("o_orderkey").alias("id"), F.concat(F.lit("u"), "o_orderkey").alias("url"), F.lit(False).alias("none_present")).join(read, "id", "left")
+    documents = o.filter("o_orderkey % 5 <> 0").select(F.concat(F.lit("u"), "o_orderkey").alias("url"), F.concat(F.lit("s"), "o_orderkey").alias("sha256"))
+    bids = line.filter("l_quantity > 10").select("l_orderkey", "l_linestatus", F.struct(F.concat(F.lit(" "), F.upper("l_returnflag"), F.lit("  ")).alias("supplier_name")).alias("b"))
+    contracts = bids.groupBy("l_orderkey", "l_linestatus").agg(F.struct(F.col("l_linestatus").alias("reference"), F.collect_list("b").alias("bids")).alias("c")).groupBy("l_orderkey").agg(F.collect_list("c").alias("cs"))
+    award = F.when(F.col("o_orderkey") % 2 == 0, F.to_json(F.array(F.struct(F.lit("F").alias("reference"), F.array(F.struct(F.lit("Extra").alias("supplier_name"))).alias("awards"))))).otherwise("[]")
+    both = o.join(contracts, F.col("l_orderkey") == F.col("o_orderkey"), "left").select("o_orderkey", F.coalesce(F.to_json("cs"), F.lit("[]")).alias("a"), award.alias("b"))
+    inner = lambda c: F.substring(c, F.lit(2), F.length(c) - 2)
+    joined = F.concat_ws(",", F.nullif(inner(F.col("a")), F.lit("")), F.nullif(inner(F.col("b")), F.lit("")))
+    cache = both.filter("o_orderkey % 3 <> 0").select(F.concat(F.lit("s"), "o_orderkey").alias("sha256"), F.lit("v1").alias("extractor_version"), F.concat(F.lit('{"contracts":['), joined, F.lit("]}")).alias("result_json"))
+    return against_truth(truth, documents, cache, "v1")
+
+
+@query("ground_truth_report", _TRUTH + " SELECT id, status, gt_count, tp, fn, fp, CASE WHEN status = 'compared' THEN coalesce(tp / nullif(gt_count, 0), 1.0) END AS recall FROM r")
+def ground_truth_report(spark, sf_dir):
+    return _against_truth(spark, sf_dir).select("id", "status", "gt_count", "tp", "fn", "fp", "recall")
+
+
+@query("ground_truth_summary", _TRUTH + " SELECT count(*) AS compared, sum(gt_count)::BIGINT AS total_gt, sum(tp)::BIGINT AS tp, sum(fn)::BIGINT AS fn, sum(fp)::BIGINT AS fp, sum(tp) / sum(gt_count) AS recall, sum(tp) / (sum(tp) + sum(fp)) AS precision FROM r WHERE status = 'compared'")
+def ground_truth_summary(spark, sf_dir):
+    from ..operators.evaluate import truth_summary
+
+    return truth_summary(_against_truth(spark, sf_dir))
