@@ -6,7 +6,7 @@ import importlib
 from collections.abc import Callable
 
 #: Modules of this package that define QUERIES (name -> function) and ORACLES (name -> SQL).
-FAMILIES = ("scalars", "merges", "linking", "reports", "papers", "holdings")
+FAMILIES = ("scalars", "merges", "linking", "reports", "papers", "holdings", "layouts")
 
 
 def _collect(attribute: str) -> dict:
