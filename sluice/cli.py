@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from . import pipeline
 from .export import dictionary, document, publish, tabular, zipped
-from .extraction import backfill, extract, facts
+from .extraction import CORPORA, backfill, extract, extract_and_backfill, facts
 from .functions.amounts import parse_amount
+from .functions.text import pdf_kind
 from .functions.titles import clean_title
 from .keyed import KeyedTable
 from .operators import evaluate
@@ -93,7 +94,7 @@ def cmd_enrich_titles(archive, args):
     pages = pages.withColumnRenamed("stem", "meeting")
     placed = chronological(F.col("meeting")).alias("_meeting"), F.monotonically_increasing_id().alias("_row")  # rows of a page stay together
     items = pages.lateralJoin(html_tables.AgendaItems(F.col("html").outer(), F.col("meeting").outer())).select("reference", "meeting", "title", *placed)
-    pdfs = pages.lateralJoin(html_tables.AgendaPdfs(F.col("html").outer(), F.col("meeting").outer())).select("url", "reference", *placed)
+    pdfs = pages.lateralJoin(html_tables.AgendaPdfs(F.col("html").outer(), F.col("meeting").outer())).select("url", "reference", pdf_kind(F.col("url")).alias("kind"), *placed)
     bids = pages.lateralJoin(html_tables.BidTables(F.col("html").outer(), F.col("meeting").outer())).select("reference", "document_number", "bidder_name_raw", "bid_price", "hst_basis", "price_header", F.lit("bid_award_panel").alias("source"), *placed)
     for name, rows, mode in (("council_item", items, "overwrite"), ("background_pdf", pdfs, "backfill"), ("bid", bids, "overwrite")):
         print(name, *archive.upsert(name, rows, mode, seq=F.struct(F.col("_meeting"), F.col("_row"))))
@@ -114,7 +115,13 @@ def cmd_amounts(archive, args):
 
 
 def cmd_extract(archive, args):
-    """Extract the facts of held texts and write them back by source."""
+    """Extract the facts of held texts and write them back by source; with --corpus, of one corpus, whose rows are
+    rebuilt from what is cached."""
+    if args.corpus:
+        labels = archive.spark.createDataFrame([], "key string, flag boolean")
+        for name, n in extract_and_backfill(archive, args.corpus, args.version, labels, limit=args.limit).items():
+            print(name, n)
+        return
     pdfs = archive.read("background_pdf").withColumns({"key": F.col("url"), "source": F.coalesce("kind", F.lit("other"))})
     none = archive.spark.createDataFrame([], "key string, flag boolean")
     done = extract(pdfs.filter("sha256 is not null"), archive.read("extraction_cache"), none, args.version, limit=args.limit).filter("error is null")
@@ -131,7 +138,7 @@ def cmd_enrich_council(archive, args):
     try:
         print("council_item", *archive.upsert("council_item", items.filter("title IS NOT NULL").select("reference", "title", "decision_text"), "overwrite"))
         files = items.select("reference", F.explode("pdfs").alias("url")).groupBy("url").agg(F.min("reference").alias("reference"))
-        print("background_pdf", *archive.upsert("background_pdf", files.withColumn("kind", F.lit("council")), "backfill"))
+        print("background_pdf", *archive.upsert("background_pdf", files.withColumn("kind", pdf_kind(F.col("url"))), "backfill"))
     finally:
         items.unpersist()
 
@@ -171,7 +178,7 @@ def cmd_committee_awards(archive, args):
     items = normalize.voting_record(votes.withColumn("_place", F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id())), "_place")
     pages = rest.cached_pages(spark, args.pages)
     found = items.join(pages, F.col("reference") == F.col("stem")).lateralJoin(html_tables.ReportLink(F.col("html").outer(), F.col("document_number").outer())).filter("url IS NOT NULL")
-    rows = found.groupBy("url").agg(F.min(F.struct("reference", "document_number")).alias("x")).select("url", "x.*", F.lit("committee").alias("kind"))
+    rows = found.groupBy("url").agg(F.min(F.struct("reference", "document_number")).alias("x")).select("url", "x.*", F.lit("committee_award").alias("kind"))
     print("background_pdf", *archive.upsert("background_pdf", rows, "backfill"))
 
 
@@ -227,7 +234,7 @@ def parser() -> argparse.ArgumentParser:
         ("enrich-council", cmd_enrich_council, [("--pages", {"required": True})]), ("enrich-awards", cmd_enrich_awards, [("--records", {"required": True})]), ("enrich-agencies", cmd_enrich_agencies, [("--pages", {"required": True})]),
         ("enrich-committee-awards", cmd_committee_awards, [("--votes", {"required": True}), ("--pages", {"required": True})]), ("enrich-attachments", cmd_attachments, [("folder", {}), ("--reindex", {"action": "store_true"})]),
         ("extract-validate", cmd_extract_validate, [("truth", {}), ("--version", {"default": "v1"})]), ("publish", cmd_publish, [("--to", {"required": True}), ("--name", {})]),
-        ("enrich-titles", cmd_enrich_titles, [("--pages", {"required": True}), ("--archived", {})]), ("amounts", cmd_amounts, []), ("extract", cmd_extract, [("--version", {"default": "v1"}), ("--limit", {"type": int}), ("--backfill", {"action": "store_true"})]),
+        ("enrich-titles", cmd_enrich_titles, [("--pages", {"required": True}), ("--archived", {})]), ("amounts", cmd_amounts, []), ("extract", cmd_extract, [("--version", {"default": "v1"}), ("--limit", {"type": int}), ("--backfill", {"action": "store_true"}), ("--corpus", {"choices": sorted(CORPORA)})]),
     ):
         one = sub.add_parser(name, help=f.__doc__)
         for option, how in options:

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from .functions import documents as docs
 from .functions.text import fold, none_if_blank
+from .operators import merge
 from .operators.ledger import cache_gate
+from .schemas import TABLES
 
 PROMPT = "List every contract in the text below, with its bids and awards, as JSON.\n\n"
 
@@ -45,7 +47,7 @@ def with_fallback(models: list[Callable[[str], str]], retries: int = 2, pause: f
 def extract(documents: DataFrame, cache: DataFrame, labels: DataFrame, version: str, client: Callable[[str], str] = stub, limit: int | None = None, max_chars: int = 400_000) -> DataFrame:
     """(sha256, extractor_version, result_json, chunks, error) of the documents that pass the
     gates, each text once; ``limit`` counts these, in order of key."""
-    todo = cache_gate(documents, cache, labels, version).filter("gate = 'to_do'").groupBy("sha256").agg(F.min("key").alias("key"), F.first("text").alias("text"))
+    todo = cache_gate(documents, cache, labels, version).filter("gate = 'to_do'").groupBy("sha256").agg(F.min("key").alias("key"), F.min("text").alias("text"))
     if limit is not None:
         todo = todo.orderBy("key").limit(limit)
     chunks = todo.select("sha256", F.posexplode(docs.split_document(F.col("text"), max_chars)).alias("place", "chunk"))
@@ -110,3 +112,45 @@ def names_by_document(found: DataFrame, key: str = "url") -> DataFrame:
     """(key, names): the folded bidder names of each document."""
     bids = found.select(key, F.explode("contract.bids").alias("b")).filter("coalesce(b.supplier_name, '') <> ''")
     return bids.groupBy(key).agg(F.collect_set(fold(F.col("b.supplier_name"))).alias("names"))
+
+
+#: Which documents make up each corpus.
+CORPORA = {
+    "trca": "kind = 'agency_board' AND url LIKE '%escribemeetings%'",
+    "ep": "kind = 'agency_board' AND url LIKE '%/ep/%'",
+    "zoo": "kind = 'agency_board' AND url LIKE '%/zb/%'",
+    "award_summary": "kind = 'award_summary'",
+    "committee": "kind = 'committee_award'",
+    "composite": "kind = 'bgrd'",
+}
+
+
+def corpus(archive, name: str) -> DataFrame:
+    """The documents of a corpus whose bytes are held, with ``key`` and ``source`` as extraction wants them."""
+    if name not in CORPORA:
+        raise ValueError(f"no corpus {name!r}: one of {', '.join(CORPORA)}")
+    held = archive.read("background_pdf").filter(CORPORA[name]).filter("sha256 IS NOT NULL")
+    return held.withColumns({"key": F.col("url"), "source": F.lit(name)})
+
+
+def extract_and_backfill(archive, name: str, version: str, labels: DataFrame, client: Callable[[str], str] | None = None, limit: int | None = None) -> dict[str, int]:
+    """Extract what a corpus has that isn't cached, then rebuild its rows from the cache: rows written by
+    table. Without a client a corpus must be cached whole. Bids and awards of the source are replaced, unless none
+    was derived; solicitations are only filled in."""
+    documents, done = corpus(archive, name), archive.read("extraction_cache")
+    if client is not None:
+        fresh = extract(documents, done, labels, version, client, limit).filter("error IS NULL")
+        archive.upsert("extraction_cache", fresh.select("sha256", "extractor_version", "result_json"), "overwrite")
+    elif missing := cache_gate(documents, done, labels, version).filter("gate = 'to_do'").count():
+        raise ValueError(f"{missing} documents of {name} aren't extracted, and there is no client to do it")
+    found = facts(archive.read("extraction_cache"), documents, version)
+    written = {}
+    for table, rows in backfill(found).items():
+        spec = TABLES[table]
+        told = F.to_json(F.struct(*sorted(rows.columns)))  # documents of a corpus have no order of arrival
+        if table == "agency_solicitation":
+            written[table] = archive.upsert(table, rows, "backfill", seq=told)[0]
+        else:
+            whole = merge.healed_keys(rows, spec).withColumn("_told", told)
+            written[table] = archive.rebuild(table, merge.fold_batch(whole, list(spec.keys), F.col("_told"), nullable=spec.nullable_keys).drop("_told"))
+    return written

@@ -109,7 +109,7 @@ def test_council_and_awards(home, capsys):
     (root / "records" / "r.json").write_text(json.dumps({"id": "9", "uploadedFilesStaff": [{"name": "Award Summary.pdf", "url": "https://x/s.pdf"}, {"name": "o.pdf", "url": "u"}]}))
     assert run(a, "enrich-awards", "--records", root / "records") == 0 and run(a, "enrich-awards", "--records", root / "records") == 0
     assert "1 award summaries still to be fetched" in capsys.readouterr().out
-    assert {r.url: r.kind for r in a.read("background_pdf").collect()} == {"https://x/r.pdf": "council", "https://x/s.pdf": "award_summary"}
+    assert {r.url: r.kind for r in a.read("background_pdf").collect()} == {"https://x/r.pdf": "other", "https://x/s.pdf": "award_summary"}
 
 
 def test_committee_awards_and_agencies(home, capsys):
@@ -120,7 +120,7 @@ def test_committee_awards_and_agencies(home, capsys):
     (root / "gg" / "2026.GG1.1.html").write_text("<p>Doc 2243000002 <a href='https://x/backgroundfile-1.pdf'>r</a></p>")
     assert run(a, "enrich-committee-awards", "--votes", root / "votes", "--pages", root / "gg") == 0
     held = {r.url: r for r in a.read("background_pdf").collect()}
-    assert held["https://x/backgroundfile-1.pdf"].document_number == "2243000002" and held["https://x/backgroundfile-1.pdf"].kind == "committee"
+    assert held["https://x/backgroundfile-1.pdf"].document_number == "2243000002" and held["https://x/backgroundfile-1.pdf"].kind == "committee_award"
     (root / "boards").mkdir()
     (root / "boards" / "2019.ZB1.html").write_text("<h3>ZB1.2 - Works</h3><a href='https://x/zb/bgrd/backgroundfile-2.pdf'>r</a>")
     assert run(a, "enrich-agencies", "--pages", root / "boards") == 0
@@ -154,6 +154,31 @@ def test_attachments_validation_and_publishing(home, spark, capsys):
         run(a, "publish", "--to", out, "--name", "v2")
 
 
+def test_a_corpus_is_rebuilt_from_its_cache(spark, tmp_path):
+    from sluice.extraction import extract_and_backfill
+
+    a = Archive(spark, f"{tmp_path}/a")
+    zoo = [(f"https://x/zb/{k}.pdf", "agency_board", f"h{k}", f"text {k}") for k in range(3)]
+    a.upsert("background_pdf", spark.createDataFrame([*zoo, ("https://x/ep/1.pdf", "agency_board", "h9", "other")], "url string, kind string, sha256 string, text string"), "overwrite")
+    labels = spark.createDataFrame([("https://x/zb/2.pdf", False)], "key string, flag boolean")
+    with pytest.raises(ValueError, match="2 documents"):
+        extract_and_backfill(a, "zoo", "v1", labels)
+    with pytest.raises(ValueError, match="no corpus"):
+        extract_and_backfill(a, "moon", "v1", labels)
+
+    def client(prompt):
+        one = {"reference": "R1", "title": "Works", "bids": [{"supplier_name": "A", "amount_raw": "$5"}, {"supplier_name": "B", "amount_raw": "$6"}], "awards": [{"supplier_name": "A", "amount_raw": "$5"}]}
+        return json.dumps({"contracts": [one]})
+
+    written = extract_and_backfill(a, "zoo", "v1", labels, client)
+    assert written["agency_bid"] == 2 and written["agency_award"] == 1  # two documents that say the same
+    assert extract_and_backfill(a, "zoo", "v1", labels)["agency_bid"] == 2
+    assert sorted((r.native_ref, r.bidder_name_raw, r.bid_price_numeric) for r in a.read("agency_bid").collect()) == [("R1", "A", 5.0), ("R1", "B", 6.0)]
+    assert [(r.buyer_id, r.native_ref, r.status) for r in a.read("agency_solicitation").collect()] == [("zoo", "R1", "awarded")]
+    with pytest.raises(ValueError):
+        extract_and_backfill(a, "ep", "v1", labels)
+
+
 def test_summary_and_growth():
     runs = [pipeline.Run("a", "ok", fetched=1200, seconds=75), pipeline.Run("b", "failed", error="no")]
     text = pipeline.summary(runs, pipeline.growth({"award": 5, "bid": 2, "sync_run": 1}, {"award": 8, "bid": 2, "sync_run": 9}), 3 << 20, exported=True)
