@@ -19,16 +19,18 @@ _WORDS = "filter(split(lower(text), '[^\\\\p{L}\\\\p{N}]+'), w -> w <> '')"
 TERMS = {
     "word 1": f"SELECT *, {_WORDS} AS terms FROM __THIS__",
     "word 1-2": f"SELECT *, concat(w, zip_with(slice(w, 1, greatest(size(w) - 1, 0)), slice(w, 2, size(w)), (a, b) -> concat(a, ' ', b))) AS terms FROM (SELECT *, {_WORDS} AS w FROM __THIS__)",
-    "char 3-5": "SELECT *, flatten(transform(sequence(3, 5), n -> CASE WHEN length(t) >= n THEN transform(sequence(1, length(t) - n + 1), i -> substring(t, i, n)) ELSE array() END)) AS terms FROM (SELECT *, lower(regexp_replace(text, '\\\\s+', ' ')) AS t FROM __THIS__)",
+    # joined from single characters: a substring by its place would be sought from the text's start
+    "char 3-5": "SELECT *, flatten(transform(sequence(3, 5), n -> CASE WHEN size(c) >= n THEN transform(sequence(0, size(c) - n), i -> concat(c[i], c[i + 1], c[i + 2], CASE WHEN n > 3 THEN c[i + 3] ELSE '' END, CASE WHEN n > 4 THEN c[i + 4] ELSE '' END)) ELSE array() END)) AS terms FROM (SELECT *, filter(split(lower(regexp_replace(text, '\\\\s+', ' ')), ''), x -> x <> '') AS c FROM __THIS__)",
 }
 #: Parts a class is dealt to on the way to its ranks.
 PARTS = 256
 
 
-def model(kind: str, terms: str = "word 1-2", features: int = 1 << 12) -> Pipeline:
+def model(kind: str, terms: str = "word 1-2", features: int = 1 << 12, classes: int = 3) -> Pipeline:
+    svm = LinearSVC(maxIter=30, regParam=0.01, labelCol="y", featuresCol="x")
     learners = {
         "logistic": LogisticRegression(labelCol="y", featuresCol="x", maxIter=20, regParam=0.01),
-        "svm": OneVsRest(classifier=LinearSVC(maxIter=30, regParam=0.01), labelCol="y", featuresCol="x"),
+        "svm": svm if classes == 2 else OneVsRest(classifier=svm, labelCol="y", featuresCol="x"),
         "bayes": NaiveBayes(labelCol="y", featuresCol="x", smoothing=0.2),
     }
     return Pipeline(stages=[SQLTransformer(statement=TERMS[terms]), HashingTF(inputCol="terms", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="x"), learners[kind]])
@@ -59,7 +61,7 @@ def out_of_fold(docs: DataFrame, key: str, label: str, kinds: dict[str, tuple[st
     indexed = spark.read.parquet(f"{root}/rows")
     for name, (kind, terms) in kinds.items():
         for k in range(folds):
-            fitted = model(kind, terms).fit(indexed.filter(F.col("fold") != k))
+            fitted = model(kind, terms, classes=len(indexer.labels)).fit(indexed.filter(F.col("fold") != k))
             scored = fitted.transform(indexed.filter(F.col("fold") == k))
             scored.select(F.lit(name).alias("model"), "fold", key, label, F.get(names, F.col("prediction").cast("int")).alias("predicted")).write.mode("append").parquet(f"{root}/scores")
     return spark.read.parquet(f"{root}/scores")

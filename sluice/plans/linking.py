@@ -250,7 +250,7 @@ WITH l AS (SELECT * FROM (VALUES ('1-URGENT', 'amount', 100.0::DOUBLE), ('2-HIGH
 SELECT o_orderkey, verdict, value AS labelled FROM orders LEFT JOIN l ON raw = o_orderpriority""")
 def label_broadcast(spark, sf_dir):
     labels = spark.createDataFrame([("1-URGENT", "amount", 100.0), ("2-HIGH", "not_an_award", None), ("5-LOW", "unknown", None)], "raw string, verdict string, labelled double")
-    return table(spark, sf_dir, "orders").join(F.broadcast(labels), F.col("o_orderpriority") == F.col("raw"), "left").select("o_orderkey", "verdict", "labelled")
+    return table(spark, sf_dir, "orders").join(labels, F.col("o_orderpriority") == F.col("raw"), "left").select("o_orderkey", "verdict", "labelled")
 
 
 @query("pending_work_anti_join", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")

@@ -103,7 +103,7 @@ def rebuild_empty_is_noop(spark, sf_dir):
 def prune_unheld_rows(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "event_type")
     first = e.agg(F.min("event_type").alias("event_type"))
-    stale = e.filter("event_id % 7 = 0").join(F.broadcast(first), "event_type", "left_semi")
+    stale = e.filter("event_id % 7 = 0").join(first, "event_type", "left_semi")
     return merge.prune(e, stale, ["event_id"]).select("event_id")
 
 

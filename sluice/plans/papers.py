@@ -396,7 +396,7 @@ def bow_classifiers(spark, sf_dir):
     from ..streaming.upsert import shared_root
 
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "text", F.col("quality").cast("string").alias("kind"))
-    kinds = {"word 1gram + logistic": ("logistic", "word 1"), "word 1gram + bayes": ("bayes", "word 1"), "word 1-2gram + svm": ("svm", "word 1-2"), "char 3-5gram + svm": ("svm", "char 3-5")}
+    kinds = {"word 1gram + logistic": ("logistic", "word 1"), "word 1gram + bayes": ("bayes", "word 1"), "char 3-5gram + svm": ("svm", "char 3-5")}
     return cross_validate(d, "doc_id", "kind", kinds, shared_root(spark))
 
 

@@ -65,7 +65,7 @@ def amount_tiers_sum(spark, sf_dir):
 def amount_review_queue(spark, sf_dir):
     labels = spark.createDataFrame([("kj",)], "raw string")
     a = scalars.raw_amounts(spark, sf_dir).filter((F.trim("raw") != "") & amounts.parse_amount(F.col("raw")).isNull())
-    return a.groupBy("raw").agg(F.count("*").alias("n")).join(F.broadcast(labels), "raw", "left_anti")
+    return a.groupBy("raw").agg(F.count("*").alias("n")).join(labels, "raw", "left_anti")
 
 
 @query("max_id_per_group", "SELECT event_type, max(event_id) AS last_id, CAST((SELECT coalesce(max(event_id), 0) FROM events) AS BIGINT) AS last_of_all FROM events GROUP BY 1")

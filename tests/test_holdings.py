@@ -350,3 +350,26 @@ def test_folds_and_scores(spark, tmp_path):
     scores = out_of_fold(docs, "k", "kind", {"b": ("bayes", "word 1"), "s": ("svm", "char 3-5")}, f"{tmp_path}/f")
     assert scores.count() == 180 and scores.filter("predicted <> kind").count() == 0
     assert scores.groupBy("model", "k").count().filter("count > 1").isEmpty()
+
+
+def test_fuzzy_scoring_names_is_exact(spark, sf):
+    from sluice.functions.suppliers import scoring_key
+    from sluice.plans.scalars import _FUZZY, fuzzy_scoring_names
+
+    keys = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", scoring_key(F.expr(_FUZZY)).alias("a"), scoring_key(F.col("c_name")).alias("b")).collect()
+    want = {r.c_custkey: r.a == r.b or SequenceMatcher(None, r.a, r.b).ratio() >= 0.88 for r in keys}
+    assert {r.c_custkey: r.matched for r in fuzzy_scoring_names(spark, sf).collect()} == want and len(set(want.values())) == 2
+
+
+def test_classifiers_after_the_session_was_observed(spark, sf):
+    """A session that has observed a frame can't be serialized: no result may hold a fitted model's summary."""
+    from pyspark.sql import Observation
+
+    from sluice.plans.papers import bow_classifiers
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 3
+    got = {r.model: (r.n, r.correct) for r in bow_classifiers(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("text IS NOT NULL AND quality IS NOT NULL")
+    assert len(got) == 3 and all(n == docs.count() and n >= ok > n * 0.5 for n, ok in got.values())
