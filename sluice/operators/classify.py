@@ -2,13 +2,13 @@
 with logistic regression, linear SVMs one against the rest, or naive Bayes, cross-validated.
 
 Features are hashed, so the vocabulary never meets the driver. Folds are stratified exactly, by
-ranks that no task takes for a whole class; out-of-fold predictions are written to a table in the
+ranks that no task takes for a whole class; models and out-of-fold predictions are kept in the
 shared folder, so that what is returned holds no fitted model.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest
 from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, StringIndexer
 from pyspark.sql import DataFrame, Window
@@ -59,9 +59,13 @@ def out_of_fold(docs: DataFrame, key: str, label: str, kinds: dict[str, tuple[st
     names = F.array(*(F.lit(x) for x in indexer.labels))
     indexer.transform(rows).write.parquet(f"{root}/rows")
     indexed = spark.read.parquet(f"{root}/rows")
-    for name, (kind, terms) in kinds.items():
+    for parts, (name, (kind, terms)) in enumerate(kinds.items()):
         for k in range(folds):
             fitted = model(kind, terms, classes=len(indexer.labels)).fit(indexed.filter(F.col("fold") != k))
+            # as kept, a model has no training summary, which would take the session to the executors with it
+            at = f"{root}/models/{parts}-{k}"
+            fitted.write().save(at)
+            fitted = PipelineModel.load(at)
             scored = fitted.transform(indexed.filter(F.col("fold") == k))
             scored.select(F.lit(name).alias("model"), "fold", key, label, F.get(names, F.col("prediction").cast("int")).alias("predicted")).write.mode("append").parquet(f"{root}/scores")
     return spark.read.parquet(f"{root}/scores")
