@@ -8,7 +8,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import cache
+from collections.abc import Callable
+from functools import cache, lru_cache
 
 import numpy as np
 import regex
@@ -101,6 +102,11 @@ class Proof:
         self.whole = whole_tokens(path, self.odd)
 
 
+@lru_cache(maxsize=2)
+def proof(path: str) -> Proof:
+    return Proof(path)
+
+
 def whole_tokens(path: str, odd: str) -> list[str]:
     """Vocabulary strings that are a pre-token by themselves and that the library encodes,
     alone, as one token. A string that merges cannot reach isn't among them."""
@@ -180,6 +186,17 @@ class TokenCounter:
             self.counts, self.held = dict(self.whole), 0
 
 
+_COUNTERS: dict[str, TokenCounter] = {}
+
+
+def counter(path: str, proof: Callable[[], Proof]) -> TokenCounter:
+    """The counter of a vocabulary, one a worker: tasks that follow each other there share its tables."""
+    if path not in _COUNTERS:
+        _COUNTERS.clear()  # one vocabulary at a time
+        _COUNTERS[path] = TokenCounter(proof())
+    return _COUNTERS[path]
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes, equal to the library's. Where ids follow
     the merges, the rank-based encoder does it, several times as fast; very long runs without
@@ -199,3 +216,9 @@ class Encoder:
             return self.fast.encode_to_numpy(text, allowed_special=self.special, disallowed_special=()).astype("<u4", copy=False).tobytes()
         self.tok = self.tok or load(self.path)
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str, odd: str) -> Encoder:
+    """The encoder of a vocabulary, one a worker."""
+    return Encoder(path, odd)

@@ -34,11 +34,11 @@ def count_tokens(docs: DataFrame, key: str, text: str, path: str | None = None,
     spark = docs.sparkSession
     arrow_rows(spark)
     path = path or vocabulary()
-    proof = spark.sparkContext.broadcast(bpe.Proof(path))  # bounded by the vocabulary
+    proof = spark.sparkContext.broadcast(bpe.proof(path))  # bounded by the vocabulary
     schema = pa.schema([("key", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = bpe.TokenCounter(proof.value)
+        counter = bpe.counter(path, lambda: proof.value)
         for b in batches:
             n = counter.count(b.column(1).to_pylist())
             yield batch(schema, [b.column(0), b.column(2), n, [x > limit for x in n]])
