@@ -126,7 +126,7 @@ def pack_documents(docs: DataFrame, key: str, text: str, path: str | None = None
     schema = pa.schema([(n, pa.int64()) for n, _ in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, node = bpe.Encoder(path, odd), TaskContext.get().partitionId()
+        encoder, node = bpe.encoder(path, odd), TaskContext.get().partitionId()
         packer = Packer(window, open_windows, least_cut, node << 32)
         for b in batches:
             cols: list[list] = [[] for _ in range(7)]
