@@ -26,14 +26,19 @@ TERMS = {
 PARTS = 256
 
 
-def model(kind: str, terms: str = "word 1-2", features: int = 1 << 12, classes: int = 3) -> Pipeline:
+def counts(terms: str = "word 1-2", features: int = 1 << 12) -> PipelineModel:
+    """Term counts of a text, ``tf``: nothing in it is fitted, so they are the same for all folds."""
+    return PipelineModel([SQLTransformer(statement=TERMS[terms]), HashingTF(inputCol="terms", outputCol="tf", numFeatures=features)])
+
+
+def model(kind: str, classes: int = 3) -> Pipeline:
     svm = LinearSVC(maxIter=30, regParam=0.01, labelCol="y", featuresCol="x")
     learners = {
         "logistic": LogisticRegression(labelCol="y", featuresCol="x", maxIter=20, regParam=0.01),
         "svm": svm if classes == 2 else OneVsRest(classifier=svm, labelCol="y", featuresCol="x"),
         "bayes": NaiveBayes(labelCol="y", featuresCol="x", smoothing=0.2),
     }
-    return Pipeline(stages=[SQLTransformer(statement=TERMS[terms]), HashingTF(inputCol="terms", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="x"), learners[kind]])
+    return Pipeline(stages=[IDF(inputCol="tf", outputCol="x"), learners[kind]])
 
 
 def with_folds(docs: DataFrame, key: str, label: str, folds: int) -> DataFrame:
@@ -58,10 +63,12 @@ def out_of_fold(docs: DataFrame, key: str, label: str, kinds: dict[str, tuple[st
     indexer = StringIndexer(inputCol=label, outputCol="y", stringOrderType="alphabetAsc").fit(rows)
     names = F.array(*(F.lit(x) for x in indexer.labels))
     indexer.transform(rows).write.parquet(f"{root}/rows")
-    indexed = spark.read.parquet(f"{root}/rows")
+    for n, terms in enumerate(used := sorted({t for _, t in kinds.values()})):  # counted once, read by every pass of every fold
+        counts(terms).transform(spark.read.parquet(f"{root}/rows")).select("fold", key, label, "y", "tf").write.parquet(f"{root}/counts-{n}")
     for parts, (name, (kind, terms)) in enumerate(kinds.items()):
+        indexed = spark.read.parquet(f"{root}/counts-{used.index(terms)}")
         for k in range(folds):
-            fitted = model(kind, terms, classes=len(indexer.labels)).fit(indexed.filter(F.col("fold") != k))
+            fitted = model(kind, classes=len(indexer.labels)).fit(indexed.filter(F.col("fold") != k))
             # as kept, a model has no training summary, which would take the session to the executors with it
             at = f"{root}/models/{parts}-{k}"
             fitted.write().save(at)
