@@ -91,7 +91,7 @@ def reports_by_layout(spark, sf_dir):
     return p.lateralJoin(html_tables.ReportLink(F.col("html").outer(), F.col("wanted").outer())).select("page_id", "url")
 
 
-_AWARDS = f"""concat('<p>', {_each("'BA3.', i, ' - Award of Call ', page_id, CASE WHEN i = 2 THEN ' 1234567899' ELSE '' END, ' to Big ', i, ' Co. for Works is ', CASE WHEN i = 3 THEN 'unknown' ELSE concat('$', page_id, ',', 100 + i, '.50') END, ' net of all applicable taxes. '")}, '</p>')"""
+_AWARDS = f"""concat('<p>', {_each("'BA3.', i, ' - Award of Call ', page_id, CASE WHEN i = 2 THEN ' 1234567899' ELSE '' END, ' to Big ', i, ' Co. for Works is ', CASE WHEN i = 3 THEN 'unknown' ELSE concat('$', format_number(page_id * 1000 + 100 + i, 0), '.50') END, ' net of all applicable taxes. '")}, '</p>')"""
 
 
 @query("awards_by_layout", "SELECT page_id, '2016.BA3.' || i AS reference, 'Big ' || i || ' Co.' AS winner_raw, (page_id::VARCHAR || (100 + i) || '.50')::DOUBLE AS award_value FROM pages, range(1, 5) r(i) WHERE i <= page_id % 4 + 1 AND i NOT IN (2, 3)")

@@ -313,3 +313,13 @@ def test_sweep_needs_permission(spark):
         sweep(spark, {"slug": "x", "enabled": True}, [1, 2], page)
     got = sweep(spark, {"slug": "x", "enabled": True, "permission": "letter"}, [1, 2], page).collect()
     assert len(got) == 5 and {r.status_code for r in got} == {1}
+
+
+def test_awards_of_pages_with_long_numbers(spark, tmp_path):
+    """Pages from 1000 on: their values are written as amounts are, with each thousand set apart."""
+    from sluice.plans.layouts import awards_by_layout
+
+    ids = [0, 3, 999, 1003, 2499, 150003]
+    spark.createDataFrame([(i,) for i in ids], "page_id long").write.parquet(f"{tmp_path}/pages.parquet")
+    want = {(p, f"2016.BA3.{i}", f"Big {i} Co.", float(f"{p}{100 + i}.50")) for p in ids for i in (1, 4) if i <= p % 4 + 1}
+    assert set(map(tuple, awards_by_layout(spark, str(tmp_path)).collect())) == want
