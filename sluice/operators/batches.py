@@ -3,35 +3,58 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def unique_in(names: list[str]) -> list[str]:
-    """Later duplicates get _2, _3 before the extension, and never an existing name."""
+def unique_in(names: list[str | None]) -> list[str | None]:
+    """Later duplicates get _2, _3 before the extension, and never an existing name. What was used stays
+    used, so a name goes on from the number where it stopped. Null stays null."""
     used: set[str] = set()
+    last: dict[str, int] = {}
     out = []
     for name in names:
-        stem, dot, ext = name.rpartition(".")
-        made, i = name, 1
-        while made in used:
-            i += 1
-            made = f"{stem}_{i}.{ext}" if dot else f"{name}_{i}"
+        made = name
+        if name is not None and name in used:
+            stem, dot, ext = name.rpartition(".")
+            i = last.get(name, 1)
+            while made in used:
+                i += 1
+                made = f"{stem}_{i}.{ext}" if dot else f"{name}_{i}"
+            last[name] = i
         used.add(made)
         out.append(made)
     return out
 
 
+def family(name: Column) -> Column:
+    """What a name is without the numbers that end it before its extension: what ``unique_in`` makes of a name
+    stays in its family, so names of two families never meet."""
+    return F.regexp_replace(name, F.when(F.contains(name, F.lit(".")), F.lit(r"(?:_[1-9][0-9]*)+(?=\.[^.]*\z)")).otherwise(F.lit(r"(?:_[1-9][0-9]*)+\z")), F.lit(""))
+
+
 def unique_names(rows: DataFrame, group: str, order: str, name: str) -> DataFrame:
-    """(group, order, name, unique_name): one listing at a time, in order; a listing is bounded."""
-    schema = T.StructType([*rows.select(group, order, name).schema.fields, T.StructField("unique_name", T.StringType())])
+    """(group, order, name, unique_name): in order, as ``unique_in`` names a listing. A name alone in its family gets its
+    rank as number, and no task meets all its rows; a family of several names, of which one may be
+    what another would become, is one task's, in order."""
+    held = rows.select(group, order, name)
+    schema = T.StructType([*held.schema.fields, T.StructField("unique_name", T.StringType())])
+    tagged = held.withColumn("_family", family(F.col(name)))
+    several = tagged.groupBy(group, "_family").agg(F.min(name).alias("_a"), F.max(name).alias("_z")).filter("_a < _z").select(F.col(group).alias("_g"), F.col("_family").alias("_f"))
+    mine = F.col(group).eqNullSafe(F.col("_g")) & F.col("_family").eqNullSafe(F.col("_f"))
+    # nothing but group and order is ranked: both uses of the ranges are one exchange then
+    alone = tagged.join(several, mine, "left_anti").select(F.struct(F.col(group).alias("g"), F.col(name).alias("n")).alias("_of_name"), order)
+    ranks = ranked(alone, "_of_name", order).select(F.col("_of_name.g").alias(group), order, F.col("_of_name.n").alias(name), "rank")
+    extension = F.regexp_extract(name, r"\.[^.]*\z", 0)
+    numbered = F.concat(F.substring(F.col(name), F.lit(1), F.length(name) - F.length(extension)), F.lit("_"), (F.col("rank") + 1).cast("string"), extension)
+    single = ranks.select(group, order, name, F.when(F.col("rank") == 0, F.col(name)).otherwise(numbered).alias("unique_name"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
+        pdf = pdf.sort_values(order, kind="stable").drop(columns="_family")
         return pdf.assign(unique_name=unique_in(pdf[name].tolist()))
 
-    return rows.select(group, order, name).groupBy(group).applyInPandas(run, schema)
+    return single.unionByName(tagged.join(several, mine, "left_semi").groupBy(group, "_family").applyInPandas(run, schema))
 
 
 def balance(sizes: list[tuple[int, int]], batches: int, cap: int = 80_000) -> dict[int, int]:

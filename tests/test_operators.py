@@ -95,6 +95,30 @@ def test_unique_names():
     assert batches.unique_in(["a.pdf", "a.pdf", "a_2.pdf", "a.pdf", "b", "b"]) == ["a.pdf", "a_2.pdf", "a_2_2.pdf", "a_3.pdf", "b", "b_2"]
 
 
+def test_unique_names_are_given_in_linear_time():
+    """60,000 equal names: each went through all numbers before its own."""
+    import time
+
+    begin = time.process_time()
+    got = batches.unique_in(["a.pdf"] * 60_000 + ["a_7.pdf"])
+    assert got[-2:] == ["a_60000.pdf", "a_7_2.pdf"] and len(set(got)) == len(got) and time.process_time() - begin < 20
+
+
+def test_unique_names_by_families(spark):
+    """As one listing at a time gives them, whatever names meet: numbers, dots, none, nulls."""
+    import random
+
+    r = random.Random(4)
+    pool = ["a.pdf", "a_2.pdf", "a_2_2.pdf", "a_3.pdf", "a_02.pdf", "x.y_2", "x_2.y_2", "x.y", "b", "b_2", "b_2_3", ".c", "_2.c", "d.", "d_2.", "e.f.g", "e_2.f.g", "e.f_2.g", "z\n", "z_2\n", "", "_2", None]
+    rows = [(r.choice(["g", "h", None]), k, r.choice(pool)) for k in range(900)]
+    want = {}
+    for g in ("g", "h", None):
+        mine = [x for x in rows if x[0] == g]
+        want |= dict(zip([x[1] for x in mine], batches.unique_in([x[2] for x in mine])))
+    got = batches.unique_names(spark.createDataFrame(rows, "g string, k long, n string").repartition(5), "g", "k", "n").collect()
+    assert len(got) == 900 and {x.k: x.unique_name for x in got} == want and {(x.g, x.k, x.n) for x in got} == set(rows)
+
+
 def test_balance_is_greedy():
     placed = batches.balance([(1, 50), (2, 40), (3, 30), (4, 20)], 2)
     assert placed == {1: 0, 2: 1, 3: 1, 4: 0}
