@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..keyed import KeyedTable
 
+_OWED = "document_number string, key string, name string, fingerprint string"
 _FETCHED = "document_number string, key string, name string, fingerprint string, sha256 string, size long, content binary, error string"
 
 
@@ -66,24 +67,39 @@ class Captures:
         """Capture a listing as far as it goes; the number of files still owed. ``fetch(document_number, key)`` gives
         bytes; what it raises is that file's gap."""
         planned = self.plan(listing)
-        owed = self.owed(planned)
-        waves = -(-owed.count() // wave)
-        errors = []
-        for k in range(waves):
-            # a file's wave hangs on its key alone, so what is owed shrinks wave by wave
-            mine = owed.filter(F.pmod(F.xxhash64("document_number", "key"), F.lit(waves)) == k)
-            at = f"{self.root}/blobs/{uuid.uuid4().hex}"
-            fetched = mine.select("document_number", "key", "name", "fingerprint").repartition(tasks, "document_number", "key").mapInPandas(_fetching(fetch), _FETCHED)
-            fetched.write.parquet(at)
-            kept = self.spark.read.parquet(at).drop("content")
-            self.captured.put(kept.filter("error IS NULL").drop("error"))
-            errors.append(kept.filter("error IS NOT NULL").select("document_number", "key", "error"))
-        failed = errors[0] if errors else self.spark.createDataFrame([], "document_number string, key string, error string")
-        for e in errors[1:]:
-            failed = failed.unionByName(e)
+        at = f"{self.root}/owed/{uuid.uuid4().hex}"
+        waves = self._waves(self.owed(planned), wave, f"{at}/files")
+        fetched = []
+        for k in waves:
+            mine = self.spark.read.schema(_OWED).parquet(f"{at}/files/wave={k}")
+            fetched.append(f"{self.root}/blobs/{uuid.uuid4().hex}")
+            mine.repartition(tasks, "document_number", "key").mapInPandas(_fetching(fetch), _FETCHED).write.parquet(fetched[-1])
+            self.captured.put(self.spark.read.schema(_FETCHED).parquet(fetched[-1]).drop("content").filter("error IS NULL").drop("error"))
+        ddl = "document_number string, key string, error string"
+        if fetched:  # many small files are read once for their errors
+            self.spark.read.schema(_FETCHED).parquet(*fetched).filter("error IS NOT NULL").select("document_number", "key", "error").write.parquet(f"{at}/failed")
+        failed = self.spark.read.schema(ddl).parquet(f"{at}/failed") if fetched else self.spark.createDataFrame([], ddl)
         missing = self.owed(planned).join(failed.groupBy("document_number", "key").agg(F.max("error").alias("error")), ["document_number", "key"], "left")
         self.finish(planned.select("document_number", "fingerprint").distinct(), missing)
-        return missing.count()
+        n = missing.count()
+        self.captured.files.delete(at)
+        return n
+
+    def _waves(self, owed: DataFrame, wave: int, at: str) -> list[int]:
+        """Write what is owed under ``at``, by waves of about ``wave`` files; the numbers of those that have any. A wave is a range
+        of buckets of ``captured``, which gets more where they are too few: a run reads what is owed and
+        rewrites a bucket once, however many waves it takes."""
+        many, buckets = -(-owed.count() // wave), self.captured.commit().buckets
+        grown = buckets
+        while grown < many:
+            grown *= 2
+        if grown > buckets:
+            if self.captured.commit().number:
+                self.captured.rebucket(grown)
+            self.captured.buckets = grown
+        of = F.floor(self.captured.bucket(grown) / max(1, grown // max(1, many))).cast("int")
+        owed.select("document_number", "key", "name", "fingerprint", of.alias("wave")).repartition(max(1, many), "wave").write.partitionBy("wave").parquet(at)
+        return sorted(int(n[5:]) for n in self.captured.files.names(at) if n.startswith("wave="))
 
     def finish(self, documents: DataFrame, missing: DataFrame) -> None:
         """Gap rows, then bundles, then the gaps of complete documents are cleared."""

@@ -256,6 +256,23 @@ def test_capture_killed_and_resumed(spark, tmp_path):
     assert [r.document_number for r in c.empty(spark.createDataFrame([("D0",), ("D8",)], "document_number string")).collect()] == ["D8"]
 
 
+def test_capture_reads_and_writes_once_however_many_waves(spark, tmp_path):
+    """Waves are ranges of buckets: each wave writes buckets of its own, and what is owed is asked for twice a run."""
+    listing = spark.createDataFrame([(f"D{i % 3}", f"k{i}", f"file {i}") for i in range(60)], "document_number string, key string, name string")
+    c = Captures(spark, f"{tmp_path}/c", buckets=2)
+    owed, asked = c.owed, []
+    c.owed = lambda planned: asked.append(1) or owed(planned)
+    assert c.run(listing, lambda d, key: key.encode(), wave=15, tasks=1) == 0 and len(asked) == 2
+    written = [c.captured.commit(n).written for n in c.captured.commits()]
+    assert sorted(b for w in written for b in w) == [0, 1, 2, 3] and len(written) == 4
+    # a table that is there gets more buckets, and what was captured stays
+    changed = listing.withColumn("name", F.when(F.col("document_number") == "D1", F.upper("name")).otherwise(F.col("name")))
+    assert c.run(changed, lambda d, key: b"new", wave=4, tasks=1) == 0 and c.captured.commit().buckets == 8 and len(asked) == 4
+    rows = c.captured.read().collect()
+    assert len(rows) == 60 and {(r.key, r.size == 3, r.name.isupper()) for r in rows if r.document_number == "D1"} == {(f"k{i}", True, True) for i in range(1, 60, 3)}
+    assert c.bundle.read().filter("complete").count() == 3 and c.gap.read().count() == 0
+
+
 def test_zip_of_many_parts(spark, tmp_path):
     rows = [(i, "x\ry" if i % 3 else None, 'say "hi", then\nbye' if i % 2 else "") for i in range(2000)]
     t = spark.createDataFrame(rows, "i long, a string, b string").repartitionByRange(5, "i").sortWithinPartitions("i")
