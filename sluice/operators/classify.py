@@ -8,11 +8,15 @@ shared folder, so that what is returned holds no fitted model.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest
 from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, StringIndexer
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _WORDS = "filter(split(lower(text), '[^\\\\p{L}\\\\p{N}]+'), w -> w <> '')"
 #: Terms by kind of n-gram, over column text.
@@ -22,8 +26,13 @@ TERMS = {
     # joined from single characters: a substring by its place would be sought from the text's start
     "char 3-5": "SELECT *, flatten(transform(sequence(3, 5), n -> CASE WHEN size(c) >= n THEN transform(sequence(0, size(c) - n), i -> concat(c[i], c[i + 1], c[i + 2], CASE WHEN n > 3 THEN c[i + 3] ELSE '' END, CASE WHEN n > 4 THEN c[i + 4] ELSE '' END)) ELSE array() END)) AS terms FROM (SELECT *, filter(split(lower(regexp_replace(text, '\\\\s+', ' ')), ''), x -> x <> '') AS c FROM __THIS__)",
 }
+#: The shortest and the longest n-gram of kinds whose terms are counted from the text's bytes, and the text that they are of.
+CHARS = {"char 3-5": (3, 5)}
+_CHARS_OF = "lower(regexp_replace(text, '\\\\s+', ' '))"
 #: Parts a class is dealt to on the way to its ranks.
 PARTS = 256
+#: Texts whose counts go to Spark at once, and bytes of a row group of counts: what a task holds of them, writing and reading.
+TEXTS, GROUP = 256, 1 << 21
 
 
 def counts(terms: str = "word 1-2", features: int = 1 << 12) -> PipelineModel:
@@ -31,6 +40,62 @@ def counts(terms: str = "word 1-2", features: int = 1 << 12) -> PipelineModel:
     return PipelineModel([SQLTransformer(statement=TERMS[terms]), HashingTF(inputCol="terms", outputCol="tf", numFeatures=features)])
 
 
+def _mixed(k: np.ndarray) -> np.ndarray:
+    k = k * np.uint32(0xCC9E2D51)
+    return (k << np.uint32(15) | k >> np.uint32(17)) * np.uint32(0x1B873593)
+
+
+def _char_counts(text: bytes, shortest: int, longest: int, features: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and counts by HashingTF's hash (32-bit Murmur 3, seed 42) of a UTF-8 text's n-grams of characters: all at once,
+    none is made a string."""
+    b = np.frombuffer(text + bytes(4), np.uint8).astype(np.uint32)
+    words = b[:-3] | b[1:-2] << np.uint32(8) | b[2:-1] << np.uint32(16) | b[3:] << np.uint32(24)
+    starts = np.append(np.flatnonzero((b[:-4] & 0xC0) != 0x80), len(text))
+    sizes = [n for n in range(shortest, longest + 1) if n < len(starts)]
+    if not sizes:
+        return np.zeros(0, np.int32), np.zeros(0, np.float64)
+    at = np.concatenate([starts[:-n] for n in sizes])
+    size = np.concatenate([starts[n:] for n in sizes]) - at
+    h = np.full(len(at), 42, np.uint32)
+    for k in range(int(size.max()) // 4):
+        has = size >= 4 * (k + 1)
+        mixed = h[has] ^ _mixed(words[at[has] + 4 * k])
+        h[has] = (mixed << np.uint32(13) | mixed >> np.uint32(19)) * np.uint32(5) + np.uint32(0xE6546B64)
+    rest = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF], np.uint32)[size & 3]
+    h ^= _mixed(words[at + (size & ~3)] & rest) ^ size.astype(np.uint32)
+    h = (h ^ h >> np.uint32(16)) * np.uint32(0x85EBCA6B)
+    h = (h ^ h >> np.uint32(13)) * np.uint32(0xC2B2AE35)
+    tally = np.bincount((h ^ h >> np.uint32(16)).view(np.int32) % features)
+    places = np.flatnonzero(tally)
+    return places.astype(np.int32), tally[places].astype(np.float64)
+
+
+def _vectors(texts: pa.Array, shortest: int, longest: int, features: int) -> pa.Array:
+    """Sparse vectors, as VectorUDT lays them out, of the counts of texts."""
+    places, values = zip(*(_char_counts(t, shortest, longest, features) for t in texts.cast(pa.binary()).to_pylist()))
+    ends = np.cumsum([0, *map(len, places)], dtype=np.int32)
+    lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (places, values)]
+    fixed = [pa.array(np.full(len(places), x, kind)) for x, kind in ((0, np.int8), (features, np.int32))]
+    return pa.StructArray.from_arrays([*fixed, *lists], names=["type", "size", "indices", "values"])
+
+
+def counted(rows: DataFrame, terms: str, features: int = 1 << 12) -> DataFrame:
+    """rows (..., text) with the counts of their terms, ``tf``, instead of the text: those of ``counts``, whatever the way."""
+    if terms not in CHARS:
+        return counts(terms, features).transform(rows).select(*(c for c in rows.columns if c != "text"), "tf")
+    source = rows.withColumn("text", F.expr(_CHARS_OF)).select(*(c for c in rows.columns if c != "text"), "text")
+    shortest, longest = CHARS[terms]
+
+    def run(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(start, TEXTS)
+                *others, texts = batch.columns
+                yield pa.RecordBatch.from_arrays([*others, _vectors(texts, shortest, longest, features)], names=[*batch.schema.names[:-1], "tf"])
+
+    return source.mapInArrow(run, StructType(source.schema.fields[:-1]).add("tf", VectorUDT()))
+
+
 def model(kind: str, classes: int = 3) -> Pipeline:
     svm = LinearSVC(maxIter=30, regParam=0.01, labelCol="y", featuresCol="x")
     learners = {
@@ -60,11 +125,13 @@ def out_of_fold(docs: DataFrame, key: str, label: str, kinds: dict[str, tuple[st
     under ``root``, a folder that all executors share."""
     spark = docs.sparkSession
     rows = with_folds(docs.select(key, "text", label).filter(F.col("text").isNotNull() & F.col(label).isNotNull()), key, label, folds)
+    rows.write.parquet(f"{root}/rows")
+    rows = spark.read.parquet(f"{root}/rows")
     indexer = StringIndexer(inputCol=label, outputCol="y", stringOrderType="alphabetAsc").fit(rows)
     names = F.array(*(F.lit(x) for x in indexer.labels))
-    indexer.transform(rows).write.parquet(f"{root}/rows")
     for n, terms in enumerate(used := sorted({t for _, t in kinds.values()})):  # counted once, read by every pass of every fold
-        counts(terms).transform(spark.read.parquet(f"{root}/rows")).select("fold", key, label, "y", "tf").write.parquet(f"{root}/counts-{n}")
+        tallied = counted(indexer.transform(rows), terms).select("fold", key, label, "y", "tf")
+        tallied.write.option("parquet.block.size", GROUP).parquet(f"{root}/counts-{n}")
     for parts, (name, (kind, terms)) in enumerate(kinds.items()):
         indexed = spark.read.parquet(f"{root}/counts-{used.index(terms)}")
         for k in range(folds):

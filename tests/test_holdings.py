@@ -17,7 +17,7 @@ from sluice import keyed
 from sluice.export import publish, zipped
 from sluice.functions.suppliers import similar_names
 from sluice.operators import batches, merge
-from sluice.operators.classify import out_of_fold, with_folds
+from sluice.operators.classify import counted, counts, out_of_fold, with_folds
 from sluice.sources import rest
 from sluice.sources.bundles import Bundles
 from sluice.sources.capture import Captures
@@ -381,6 +381,31 @@ def test_folds_and_scores(spark, tmp_path):
     assert scores.groupBy("model", "k").count().filter("count > 1").isEmpty()
 
 
+def test_character_counts_of_bytes_are_those_of_strings(spark, sf):
+    rows = [(1, "Hello  World\n\tab"), (2, ""), (3, "ab"), (4, "abc"), (5, "ÄÖÜ straße \U0001f600\U0001f601x日本語テキスト"), (6, "x" * 5000), (7, "   İI")]
+    odd = spark.createDataFrame(rows, "k long, text string")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("k"), "text").filter("text IS NOT NULL")
+    for given, features in ((odd, 1 << 12), (odd, 1000), (docs, 1 << 12)):
+        got = counted(given, "char 3-5", features)
+        assert got.columns == ["k", "tf"] and "MapInArrow" in got._jdf.queryExecution().toString()
+        want = {r.k: r.tf for r in counts("char 3-5", features).transform(given).collect()}
+        assert {r.k: r.tf for r in got.collect()} == want and len(want) == given.count()
+    assert [r.tf for r in counted(odd, "word 1").orderBy("k").collect()] == [r.tf for r in counts("word 1").transform(odd).orderBy("k").collect()]
+
+
+def test_counts_are_kept_in_small_row_groups(spark, tmp_path, monkeypatch):
+    """A reader holds a row group's counts at once, so these don't grow with the table."""
+    import pyarrow.parquet as pq
+
+    from sluice.operators import classify
+
+    monkeypatch.setattr(classify, "GROUP", 1 << 16)
+    docs = spark.range(2000).select(F.col("id").alias("k"), F.concat_ws(" ", *(F.sha2(F.concat_ws("-", "id", F.lit(n)), 512) for n in range(4))).alias("text"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("kind"))
+    assert out_of_fold(docs.coalesce(1), "k", "kind", {"s": ("bayes", "char 3-5")}, f"{tmp_path}/f").count() == 2000
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "f" / "counts-0").glob("*.parquet")]
+    assert max(m.row_group(g).num_rows for m in files for g in range(m.num_row_groups)) <= 200
+
+
 def test_fuzzy_scoring_names_is_exact(spark, sf):
     from sluice.functions.suppliers import scoring_key
     from sluice.plans.scalars import _FUZZY, fuzzy_scoring_names
