@@ -122,10 +122,12 @@ def with_folds(docs: DataFrame, key: str, label: str, folds: int) -> DataFrame:
 
 def out_of_fold(docs: DataFrame, key: str, label: str, kinds: dict[str, tuple[str, str]], root: str, folds: int = 2) -> DataFrame:
     """(model, fold, key, label, predicted) of docs (key, text, label) with a text and a label, kept as a table
-    under ``root``, a folder that all executors share."""
+    under ``root``, a folder that all executors share. Rows of one key share a fold; folds are dealt without the texts,
+    which docs already dealt by key move no more."""
     spark = docs.sparkSession
-    rows = with_folds(docs.select(key, "text", label).filter(F.col("text").isNotNull() & F.col(label).isNotNull()), key, label, folds)
-    rows.write.parquet(f"{root}/rows")
+    kept = docs.select(key, "text", label).filter(F.col("text").isNotNull() & F.col(label).isNotNull())
+    dealt = with_folds(kept.groupBy(key).agg(F.min(label).alias(label)), key, label, folds).select(key, "fold")
+    kept.join(dealt, key, "left").withColumn("fold", F.coalesce("fold", F.lit(0))).write.parquet(f"{root}/rows")
     rows = spark.read.parquet(f"{root}/rows")
     indexer = StringIndexer(inputCol=label, outputCol="y", stringOrderType="alphabetAsc").fit(rows)
     names = F.array(*(F.lit(x) for x in indexer.labels))

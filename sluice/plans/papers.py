@@ -395,7 +395,8 @@ def bow_classifiers(spark, sf_dir):
     from ..operators.classify import cross_validate
     from ..streaming.upsert import shared_root
 
-    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "text", F.col("quality").cast("string").alias("kind"))
+    # dealt by key once, for the labels, the folds and an even share of texts a task
+    d = table(spark, sf_dir, "documents").repartition("doc_id").join(table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "text", F.col("quality").cast("string").alias("kind"))
     kinds = {"word 1gram + logistic": ("logistic", "word 1"), "word 1gram + bayes": ("bayes", "word 1"), "char 3-5gram + svm": ("svm", "char 3-5")}
     return cross_validate(d, "doc_id", "kind", kinds, shared_root(spark))
 

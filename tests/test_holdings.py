@@ -406,6 +406,13 @@ def test_counts_are_kept_in_small_row_groups(spark, tmp_path, monkeypatch):
     assert max(m.row_group(g).num_rows for m in files for g in range(m.num_row_groups)) <= 200
 
 
+def test_folds_keep_every_row(spark, tmp_path):
+    """Rows without a key, and several of one key, are scored like the others."""
+    rows = [(None if i < 3 else i // 2, f"good fine number {i}" if i % 3 else f"bad awful number {i}", "good" if i % 3 else "bad") for i in range(90)]
+    scores = out_of_fold(spark.createDataFrame(rows, "k long, text string, kind string"), "k", "kind", {"b": ("bayes", "word 1")}, f"{tmp_path}/f")
+    assert scores.count() == 90 and scores.filter("k IS NULL").count() == 3 and scores.filter("k IS NOT NULL").groupBy("k").agg(F.countDistinct("fold").alias("n")).filter("n > 1").isEmpty()
+
+
 def test_fuzzy_scoring_names_is_exact(spark, sf):
     from sluice.functions.suppliers import scoring_key
     from sluice.plans.scalars import _FUZZY, fuzzy_scoring_names
