@@ -6,16 +6,18 @@
 A bucket is a hash class of the key. A change merges its rows with those of the buckets it touches,
 writes these anew and then commits: a small file that names every bucket's write appears whole, by
 a rename that fails where the number is taken. Until then readers see the table as it was, so a crash
-changes nothing; what it left is removed by ``vacuum``. Writers that meet begin again on the new state.
+changes nothing; what it left is removed by ``vacuum``. Writers that meet begin again on the new state
+where they touched the same buckets; else what they wrote stands and only the commit is made anew.
 Rows are in no particular order. The folder must be one that all executors share.
 """
 
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +59,9 @@ class Files:
         at = self.path(folder)
         return [s.getPath().getName() for s in self.fs.listStatus(at)] if self.fs.exists(at) else []
 
+    def exists(self, at: str) -> bool:
+        return self.fs.exists(self.path(at))
+
     def read(self, at: str) -> str:
         stream = self.fs.open(self.path(at))
         try:
@@ -93,18 +98,39 @@ class KeyedTable:
 
     def __init__(self, spark: SparkSession, root: str, keys: list[str], nullable: tuple[str, ...] = (), buckets: int = 16):
         self.spark, self.root, self.keys, self.nullable, self.buckets = spark, root.rstrip("/"), list(keys), nullable, buckets
-        self.files = Files(spark, self.root)
+        self.files, self._newest, self._turn = Files(spark, self.root), 0, threading.Lock()
+        self._seen: dict[int, Commit] = {}  # the last commits, which never change
 
     def commits(self) -> list[int]:
         return sorted(int(n[:-5]) for n in self.files.names(f"{self.root}/commits") if n.endswith(".json") and n[:-5].isdigit())
 
     def commit(self, number: int | None = None) -> Commit:
         """The newest commit, or an older one; number 0 stands for a table not yet written."""
-        numbers = self.commits()
-        if not numbers or number == 0:
+        if not (number := self._last() if number is None else number):
             return Commit(0, self.buckets)
-        c = json.loads(self.files.read(f"{self.root}/commits/{numbers[-1] if number is None else number:012d}.json"))
-        return Commit(c["number"], c["buckets"], c["schema"], {int(b): w for b, w in c["at"].items()}, {int(b): n for b, n in c["rows"].items()}, c["done"], tuple(c["written"]))
+        if number in self._seen:
+            return self._seen[number]
+        c = json.loads(self.files.read(self._at(number)))
+        return self._keep(Commit(c["number"], c["buckets"], c["schema"], {int(b): w for b, w in c["at"].items()}, {int(b): n for b, n in c["rows"].items()}, c["done"], tuple(c["written"])))
+
+    def _keep(self, c: Commit) -> Commit:
+        self._seen[c.number] = c
+        for old in [n for n in list(self._seen) if n <= c.number - 32]:
+            self._seen.pop(old, None)
+        return c
+
+    def _at(self, number: int) -> str:
+        return f"{self.root}/commits/{number:012d}.json"
+
+    def _last(self) -> int:
+        """The newest commit's number, looked for from the last one seen on: numbers have no gaps, and listing all at each change would cost their square."""
+        n = self._newest
+        if not n or not self.files.exists(self._at(n)):
+            n = max(self.commits(), default=0)
+        while self.files.exists(self._at(n + 1)):
+            n += 1
+        self._newest = n
+        return n
 
     def bucket(self, n: int) -> Column:
         """Equal keys have equal buckets, whatever their numeric types."""
@@ -119,7 +145,7 @@ class KeyedTable:
     def _read(self, c: Commit, buckets) -> DataFrame:
         paths = [f"{self.root}/data/{c.at[b]}/bucket={b}" for b in sorted(buckets) if b in c.at]
         schema = T.StructType.fromJson(c.schema)
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema).limit(0)  # which the planner knows to be empty
 
     def change(self, batch: DataFrame, merge: Callable[[DataFrame | None, DataFrame], DataFrame], stream: tuple[str, int] | None = None, tries: int = 5) -> Commit:
         """``merge(old, batch)`` gives the new rows of the buckets that batch touches; old holds all their
@@ -180,20 +206,40 @@ class KeyedTable:
             f["nullable"] = True
         done = base.done | ({stream[0]: stream[1]} if stream else {})
         new = Commit(base.number + 1, base.buckets, schema, at, rows, done, tuple(touched))
-        self._commit(new)
-        return new
+        with self._turn:  # writers of one process needn't meet
+            while True:
+                if self._last() > base.number:
+                    new = self._onto(base.number, new, stream)
+                try:
+                    self._commit(new)
+                    return new
+                except Conflict:
+                    if self._last() < new.number:
+                        raise
+
+    def _onto(self, seen: int, new: Commit, stream: tuple[str, int] | None) -> Commit:
+        """new after the commits that came since ``seen``; Conflict where one of these touched its buckets, has other buckets or columns, or the stream's batch."""
+        since = [self.commit(n) for n in range(seen + 1, self._last() + 1)]
+        mine = set(new.written)
+        if any(c.buckets != new.buckets or c.schema != new.schema or mine & set(c.written) or (stream and c.done.get(stream[0], -1) >= stream[1]) for c in since):
+            raise Conflict(f"{self.root} has changed since commit {seen}")
+        last = since[-1]
+        over = lambda old, own: {b: x for b, x in old.items() if b not in mine} | {b: x for b, x in own.items() if b in mine}
+        done = last.done | ({stream[0]: stream[1]} if stream else {})
+        return replace(new, number=last.number + 1, at=over(last.at, new.at), rows=over(last.rows, new.rows), done=done)
 
     def _sizes(self, write: str) -> dict[int, int]:
         found = [int(n[7:]) for n in self.files.names(f"{self.root}/data/{write}") if n.startswith("bucket=")]
         if not found:
             return {}
-        counted = self.spark.read.parquet(f"{self.root}/data/{write}").groupBy("bucket").count()
+        counted = self.spark.read.schema("bucket int").parquet(f"{self.root}/data/{write}").groupBy("bucket").count()
         return {r["bucket"]: r["count"] for r in counted.collect()}
 
     def _commit(self, c: Commit) -> None:
         text = json.dumps({"number": c.number, "buckets": c.buckets, "schema": c.schema, "at": c.at, "rows": c.rows, "done": c.done, "written": c.written})
         if not self.files.create(f"{self.root}/commits/{c.number:012d}.json", text):
             raise Conflict(f"{self.root} has commit {c.number} already")
+        self._keep(c)
 
     def vacuum(self, keep: int = 2) -> int:
         """Remove all commits but the newest ``keep``, and every write that none of these names: those of

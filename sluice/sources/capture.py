@@ -1,8 +1,8 @@
 """Captures: all files of a listing, fetched on the executors, resumable, with a record of what is missing.
 
 A listing names the files of documents. Before anything is fetched, a manifest row says what a document's
-listing was (its fingerprint). Files are fetched in waves; each wave is kept before the next begins,
-so a run that dies loses one wave, and the next one fetches what is still owed. A listing that changed
+listing was (its fingerprint). Files are fetched in waves, a few of them at once; each is kept as soon as it is
+fetched, so a run that dies loses the waves under way, and the next one fetches what is still owed. A listing that changed
 voids what was captured of the document. Gaps are rows, written before the document's bundle and cleared
 only after a complete one: where there is no gap row, nothing is missing.
 
@@ -19,8 +19,9 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,18 +64,30 @@ class Captures:
         held = self._rows(self.captured, "document_number string, key string, name string, fingerprint string, sha256 string, size long")
         return planned.join(held.select("document_number", "key", "fingerprint"), ["document_number", "key", "fingerprint"], "left_anti")
 
-    def run(self, listing: DataFrame, fetch: Callable[[str, str], bytes], wave: int = 10_000, tasks: int = 64) -> int:
+    def run(self, listing: DataFrame, fetch: Callable[[str, str], bytes], wave: int = 10_000, tasks: int = 64, at_once: int = 8) -> int:
         """Capture a listing as far as it goes; the number of files still owed. ``fetch(document_number, key)`` gives
-        bytes; what it raises is that file's gap."""
+        bytes; what it raises is that file's gap. The ``tasks``, so the most files asked for at one time, are shared by
+        ``at_once`` waves: while some fetch, others are kept."""
         planned = self.plan(listing)
         at = f"{self.root}/owed/{uuid.uuid4().hex}"
         waves = self._waves(self.owed(planned), wave, f"{at}/files")
-        fetched = []
-        for k in waves:
+        at_once = max(1, min(at_once, tasks))
+
+        def capture(k: int) -> str:
+            to = f"{self.root}/blobs/{uuid.uuid4().hex}"
             mine = self.spark.read.schema(_OWED).parquet(f"{at}/files/wave={k}")
-            fetched.append(f"{self.root}/blobs/{uuid.uuid4().hex}")
-            mine.repartition(tasks, "document_number", "key").mapInPandas(_fetching(fetch), _FETCHED).write.parquet(fetched[-1])
-            self.captured.put(self.spark.read.schema(_FETCHED).parquet(fetched[-1]).drop("content").filter("error IS NULL").drop("error"))
+            mine.repartition(tasks // at_once, "document_number", "key").mapInArrow(_fetching(fetch), _FETCHED).write.parquet(to)
+            self.captured.put(self.spark.read.schema(_FETCHED).parquet(to).drop("content").filter("error IS NULL").drop("error"))
+            return to
+
+        with ThreadPoolExecutor(at_once) as pool:
+            under_way = [pool.submit(capture, k) for k in waves]
+            wait(under_way, return_when=FIRST_EXCEPTION)
+            for w in under_way:  # none begins after one has failed
+                w.cancel()
+        if failure := next((e for w in under_way if not w.cancelled() and (e := w.exception())), None):
+            raise failure
+        fetched = [w.result() for w in under_way]
         ddl = "document_number string, key string, error string"
         if fetched:  # many small files are read once for their errors
             self.spark.read.schema(_FETCHED).parquet(*fetched).filter("error IS NOT NULL").select("document_number", "key", "error").write.parquet(f"{at}/failed")
@@ -130,16 +143,19 @@ class Captures:
 
 
 def _fetching(fetch: Callable[[str, str], bytes]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for start in range(0, len(pdf), 32):  # a few files in memory at once
-                some, out = pdf.iloc[start : start + 32], []
-                for d, key in zip(some["document_number"], some["key"]):
+    kinds = (pa.string(), pa.int64(), pa.binary(), pa.string())
+    names = ["document_number", "key", "name", "fingerprint", "sha256", "size", "content", "error"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for start in range(0, b.num_rows, 32):  # a few files in memory at once
+                some, out = b.slice(start, 32), []
+                for d, key in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
                     try:
                         data = fetch(d, key)
                         out.append((hashlib.sha256(data).hexdigest(), len(data), data, None))
                     except Exception as e:  # one file's failure is its own
                         out.append((None, None, None, f"{type(e).__name__}: {e}"[:500]))
-                yield some.assign(**{c: pd.Series(v, index=some.index, dtype=object) for c, v in zip(("sha256", "size", "content", "error"), zip(*out))})
+                yield pa.RecordBatch.from_arrays([*some.columns, *map(pa.array, zip(*out), kinds)], names=names)
 
     return run

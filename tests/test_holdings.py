@@ -5,6 +5,7 @@ import io
 import json
 import random
 import threading
+import time
 import zipfile
 from difflib import SequenceMatcher
 from http.server import BaseHTTPRequestHandler, HTTPServer
@@ -80,6 +81,22 @@ def test_writers_that_meet(spark, tmp_path):
     assert held(t) == [(1, 11)]
 
 
+def test_writers_of_other_buckets_stand(spark, tmp_path):
+    """A writer that meets one of other buckets doesn't merge anew: only its commit is."""
+    t = keyed.KeyedTable(spark, f"{tmp_path}/t", ["k"], buckets=64)
+    t.put(spark.createDataFrame([(1, 1), (2, 2)], "k long, v long"))
+    calls = []
+
+    def add(old, new):
+        calls.append(1)
+        if len(calls) == 1:
+            keyed.KeyedTable(spark, f"{tmp_path}/t", ["k"]).put(spark.createDataFrame([(2, 20)], "k long, v long"))
+        return old.withColumn("v", F.col("v") + 1)
+
+    c = t.change(spark.createDataFrame([(1,)], "k long"), add)
+    assert held(t) == [(1, 2), (2, 20)] and len(calls) == 1 and (c.number, c.count) == (3, 2) and t.commits() == [1, 2, 3]
+
+
 def test_keys_of_odd_values(spark, tmp_path):
     t = keyed.KeyedTable(spark, f"{tmp_path}/t", ["a", "b"], nullable=("b",))
     assert t.read() is None and t.commit().count == 0
@@ -273,6 +290,28 @@ def test_capture_reads_and_writes_once_however_many_waves(spark, tmp_path):
     assert c.bundle.read().filter("complete").count() == 3 and c.gap.read().count() == 0
 
 
+def test_capture_waves_are_under_way_at_once(spark, tmp_path):
+    """A file comes only once files of two waves are asked for; each wave is still kept by itself."""
+    listing = spark.createDataFrame([("D", f"k{i}", f"file {i}") for i in range(16)], "document_number string, key string, name string")
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def fetch(d, key):
+        (asked / key).touch()
+        for _ in range(200):
+            if len(list(asked.iterdir())) > 1:
+                return key.encode()
+            time.sleep(0.1)
+        raise OSError("alone")
+
+    c = Captures(spark, f"{tmp_path}/c", buckets=2)
+    assert c.run(listing, fetch, wave=2, tasks=2, at_once=2) == 0
+    written = [c.captured.commit(n).written for n in c.captured.commits()]
+    assert c.captured.commit().buckets == 8 and all(len(w) == 1 for w in written) and len({b for w in written for b in w}) == len(written) > 2
+    assert all(len([f for f in b.iterdir() if f.name.startswith("part-")]) == 1 for b in (tmp_path / "c" / "blobs").iterdir())  # of two tasks each wave has one
+    assert [tuple(r) for r in c.bundle.read().select("n_files", "complete").collect()] == [(16, True)]
+
+
 def test_zip_of_many_parts(spark, tmp_path):
     rows = [(i, "x\ry" if i % 3 else None, 'say "hi", then\nbye' if i % 2 else "") for i in range(2000)]
     t = spark.createDataFrame(rows, "i long, a string, b string").repartitionByRange(5, "i").sortWithinPartitions("i")
