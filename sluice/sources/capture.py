@@ -42,22 +42,30 @@ class Captures:
         held = table.read()
         return held if held is not None else self.spark.createDataFrame([], ddl)
 
-    def fingerprints(self, listing: DataFrame) -> DataFrame:
-        """(document_number, fingerprint, n_files, collided) of a listing (document_number, key, name): a hash
+    def _kept(self, df: DataFrame, at: str) -> DataFrame:
+        df.write.parquet(at)
+        return self.spark.read.schema(df.schema).parquet(at)
+
+    def once(self, listing: DataFrame) -> DataFrame:
+        """(document_number, key, name, n): an entry of the listing and how often it is named."""
+        return listing.groupBy("document_number", "key").agg(F.max("name").alias("name"), F.count("*").alias("n"))
+
+    def fingerprints(self, once: DataFrame) -> DataFrame:
+        """(document_number, fingerprint, n_files, collided) of a listing's entries: a hash
         that takes no order and no repetition, so a document of any size is no group of its own."""
-        once = listing.groupBy("document_number", "key").agg(F.max("name").alias("name"), F.count("*").alias("n"))
         one = F.xxhash64("key", "name").cast("decimal(38,0)")
         two = F.xxhash64(F.lit(7), "name", "key").cast("decimal(38,0)")
         mark = F.concat_ws("-", F.count("*"), F.sum(one), F.sum(two))
         return once.groupBy("document_number").agg(mark.alias("fingerprint"), F.count("*").alias("n_files"), F.sum(F.col("n") - 1).alias("collided"))
 
-    def plan(self, listing: DataFrame) -> DataFrame:
-        """Write the manifest of what is new or changed; the documents' listings with their fingerprints."""
-        marks = self.fingerprints(listing)
+    def plan(self, listing: DataFrame, at: str) -> DataFrame:
+        """Write the manifest of what is new or changed; the documents' listings with their fingerprints. What is made of a
+        listing is kept under ``at``, as it is asked for many times."""
+        once = self._kept(self.once(listing), f"{at}/once")
+        marks = self._kept(self.fingerprints(once), f"{at}/marks")
         held = self._rows(self.manifest, "document_number string, fingerprint string, n_files long, collided long")
         self.manifest.put(marks.join(held.select("document_number", "fingerprint", "collided"), ["document_number", "fingerprint", "collided"], "left_anti"))
-        once = listing.groupBy("document_number", "key").agg(F.max("name").alias("name"))
-        return once.join(self.manifest.read().select("document_number", "fingerprint"), "document_number")
+        return once.drop("n").join(self.manifest.read().select("document_number", "fingerprint"), "document_number")
 
     def owed(self, planned: DataFrame) -> DataFrame:
         """What isn't captured under the present fingerprint."""
@@ -68,8 +76,8 @@ class Captures:
         """Capture a listing as far as it goes; the number of files still owed. ``fetch(document_number, key)`` gives
         bytes; what it raises is that file's gap. The ``tasks``, so the most files asked for at one time, are shared by
         ``at_once`` waves: while some fetch, others are kept."""
-        planned = self.plan(listing)
         at = f"{self.root}/owed/{uuid.uuid4().hex}"
+        planned = self.plan(listing, at)
         waves = self._waves(self.owed(planned), wave, f"{at}/files")
         at_once = max(1, min(at_once, tasks))
 
@@ -93,7 +101,9 @@ class Captures:
             self.spark.read.schema(_FETCHED).parquet(*fetched).filter("error IS NOT NULL").select("document_number", "key", "error").write.parquet(f"{at}/failed")
         failed = self.spark.read.schema(ddl).parquet(f"{at}/failed") if fetched else self.spark.createDataFrame([], ddl)
         missing = self.owed(planned).join(failed.groupBy("document_number", "key").agg(F.max("error").alias("error")), ["document_number", "key"], "left")
-        self.finish(planned.select("document_number", "fingerprint").distinct(), missing)
+        missing = self._kept(missing, f"{at}/missing")
+        marks = self.spark.read.schema("document_number string, fingerprint string").parquet(f"{at}/marks")
+        self.finish(marks, missing)
         n = missing.count()
         self.captured.files.delete(at)
         return n

@@ -312,6 +312,23 @@ def test_capture_waves_are_under_way_at_once(spark, tmp_path):
     assert [tuple(r) for r in c.bundle.read().select("n_files", "complete").collect()] == [(16, True)]
 
 
+def test_capture_makes_its_listing_once(spark, tmp_path):
+    """However often a run asks for the listing and for what is missing, the listing's rows are made once."""
+    log = f"{tmp_path}/log"
+
+    def name(i):
+        with open(log, "a") as f:
+            f.write(f"{i}\n")
+        return f"file {i}"
+
+    listing = spark.range(30).select(F.concat(F.lit("D"), F.col("id") % 3).alias("document_number"), F.col("id").cast("string").alias("key"), F.udf(name)("id").alias("name"))
+    c = Captures(spark, f"{tmp_path}/c")
+    assert c.run(listing, lambda d, key: {"7": b"no"}[key], wave=10, tasks=2) == 29
+    assert sorted(map(int, open(log))) == list(range(30))
+    assert c.gap.read().count() == 29 and [tuple(r) for r in c.bundle.read().collect()][0][2:] == (1, False)
+    assert not list((tmp_path / "c" / "owed").iterdir())
+
+
 def test_zip_of_many_parts(spark, tmp_path):
     rows = [(i, "x\ry" if i % 3 else None, 'say "hi", then\nbye' if i % 2 else "") for i in range(2000)]
     t = spark.createDataFrame(rows, "i long, a string, b string").repartitionByRange(5, "i").sortWithinPartitions("i")
