@@ -300,6 +300,20 @@ def test_near_dedup_keeps_rows_without_an_id(spark, sf):
     assert sorted((r.doc_id or 0) for r in kept) == [0, 0, 4]
 
 
+def test_near_dedup_judges_rows_by_their_own_text(spark, sf):
+    """Rows that repeat an id: a text of its own stays, copies go but one, and no id joins groups that have nothing in common."""
+    import corpus_pipeline
+
+    x, y, z, v = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyzv")
+    rows = [(3, x, 1), (5, x + " end", 2), (5, y, 3), (7, y + " end", 4), (8, z, 5), (8, z, 6), (8, v, 7), (9, z + " end", 8), (2, None, 9), (2, "", 10), (None, v, 11), (None, v, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    for n in (1, 4):
+        kept = corpus_pipeline.near_dedup(spark, docs.repartition(n), sf)
+        assert kept.columns == docs.columns
+        kept = kept.collect()
+        assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted([(3, x), (5, y), (8, z), (8, v), (2, ""), (0, v), (0, v)])
+
+
 def jaccard(a, b):
     def shingles(t):
         w = tools.WORDS.findall(t.lower())
